@@ -23,9 +23,12 @@ from subledger.operators import (
     tag_rejects,
     union_dates,
 )
-from subledger.plans import dims, gold, silver, views
+from subledger.plans import catalog, dims, gold, silver, views
+from subledger.plans.pipeline import run_all
 from subledger.plans.silver import flag_overlaps
-from subledger.sources import adapters
+from subledger.schemas import SUBSCRIPTION_FIELDS
+from subledger.session import scratch_path
+from subledger.sources import adapters, bronze, raw_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +63,41 @@ def _typed_subscriptions(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------------ bronze
+
+
+def _raw_events(spark, d):
+    return raw_files.write_events_ndjson(spark, d, scratch_path(spark, "raw-events"))
+
+
+def q_bronze_events(spark, d):
+    good, _ = bronze.ingest_events(spark, _raw_events(spark, d))
+    return good.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        to_utc_ntz("timestamp").alias("event_ts_utc"),
+        to_number("amount").alias("amount_num"),
+        F.regexp_extract(F.col("extras")["props"], "([0-9]+)", 1).try_cast("int").alias("props_k"),
+        "_source_line_no",
+    )
+
+
+def q_bronze_events_bad_rows(spark, d):
+    _, bad = bronze.ingest_events(spark, _raw_events(spark, d))
+    return bad.select("_source_line_no", "_error")
+
+
+def q_bronze_subscriptions(spark, d):
+    path = raw_files.write_subscriptions_json(spark, d, scratch_path(spark, "raw-subscriptions"))
+    return bronze.ingest_subscriptions(spark, path).select(*SUBSCRIPTION_FIELDS)
+
+
+def q_bronze_marketing(spark, d):
+    path = raw_files.write_marketing_csv(spark, d, scratch_path(spark, "raw-marketing"))
+    return bronze.ingest_marketing(spark, path)[0]
+
+
 # ------------------------------------------------------------------ silver
 
 
@@ -182,6 +220,48 @@ def q_vw_ltv_cac_ratio(spark, d):
     return views.vw_ltv_cac_ratio(q_ltv_cac_ratio(spark, d))
 
 
+# ----------------------------------------------------------------- catalog
+
+
+def _facts(spark, d) -> dict[str, DataFrame]:
+    ev, mk, subs = _events(spark, d), _marketing(spark, d), _subscriptions(spark, d)
+    ltv = gold.ltv_per_user(ev)
+    return {
+        "fact_daily_active_users": gold.daily_active_users(ev),
+        "fact_daily_revenue_gross": gold.daily_revenue_gross(ev),
+        "fact_daily_revenue_net": gold.daily_revenue_net(ev),
+        "fact_mrr_daily": gold.mrr_daily(subs),
+        "fact_weekly_cohort_retention": gold.weekly_cohort_retention(ev),
+        "fact_cac_by_channel": gold.cac_by_channel(ev, mk),
+        "fact_ltv_per_user": ltv,
+        "fact_ltv_cac_ratio": gold.ltv_cac_ratio(ltv, mk, ev),
+    }
+
+
+def q_fact_row_counts(spark, d):
+    """Publish the 8 facts as catalog tables; their row counts."""
+    return catalog.load_facts(spark, _facts(spark, d), scratch_path(spark, "facts"))
+
+
+def q_dim_row_counts(spark, d):
+    """Publish the 4 dimensions as catalog tables; one row of counts."""
+    ev, mk, subs = _events(spark, d), _marketing(spark, d), _subscriptions(spark, d)
+    tables = {
+        "dim_date": dims.dim_date(ev, mk, subs),
+        "dim_channel": dims.dim_channel(mk),
+        "dim_plan": dims.dim_plan(subs),
+        "dim_user": dims.dim_user(ev),
+    }
+    catalog.publish(spark, tables, scratch_path(spark, "dims"))
+    return catalog.dim_row_counts(spark)
+
+
+def q_pipeline_runs(spark, d):
+    """Whole run from raw files derived from the tables; the audit rows."""
+    raw = raw_files.write_raw_inputs(spark, d, scratch_path(spark, "raw"))
+    return run_all(spark, raw, scratch_path(spark, "lake"))
+
+
 # -------------------------------------------------------------- primitives
 
 
@@ -267,6 +347,10 @@ def q_scalar_functions(spark, d):
 
 
 QUERIES: dict[str, Query] = {
+    "bronze_events": q_bronze_events,
+    "bronze_events_bad_rows": q_bronze_events_bad_rows,
+    "bronze_subscriptions": q_bronze_subscriptions,
+    "bronze_marketing": q_bronze_marketing,
     "silver_events": q_silver_events,
     "silver_events_rejected": q_silver_events_rejected,
     "silver_marketing": q_silver_marketing,
@@ -291,6 +375,9 @@ QUERIES: dict[str, Query] = {
     "vw_user_ltv": q_vw_user_ltv,
     "vw_weekly_retention": q_vw_weekly_retention,
     "vw_ltv_cac_ratio": q_vw_ltv_cac_ratio,
+    "fact_row_counts": q_fact_row_counts,
+    "dim_row_counts": q_dim_row_counts,
+    "pipeline_runs": q_pipeline_runs,
     "reject_split": q_reject_split,
     "keep_latest": q_keep_latest,
     "overlap_flags": q_overlap_flags,
@@ -312,7 +399,81 @@ _TYPED_SUBS = """
       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS created_at_ts
     FROM orders"""
 
+_EV_TYPE = """CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'login'
+                          WHEN 'error' THEN 'refund' ELSE event_type END"""
+
+# Raw NDJSON layout (see raw_files.write_events_ndjson): file = id mod n,
+# lines ordered by (id, kind); kinds 0 blank, 1 event, 2 broken, 3 duplicate-key.
+_EVENT_LINES = f"""
+    n AS (SELECT greatest(1, CAST(ceil(COUNT(*) / {raw_files.LINES_PER_FILE}.0) AS BIGINT)) AS n FROM events),
+    l AS (SELECT event_id, 0 AS kind FROM events WHERE event_id % 50 = 0
+          UNION ALL SELECT event_id, 1 FROM events
+          UNION ALL SELECT event_id, 2 FROM events WHERE event_id % 83 = 0
+          UNION ALL SELECT event_id, 3 FROM events WHERE event_id % 97 = 0),
+    ln AS (SELECT l.event_id, kind,
+             ROW_NUMBER() OVER (PARTITION BY l.event_id % n.n ORDER BY l.event_id, kind) AS line_no FROM l, n)"""
+
+_SUB_STRINGS = """
+    SELECT CAST(k AS VARCHAR) AS subscription_id, CAST(o_custkey AS VARCHAR) AS user_id, o_orderpriority AS plan_id,
+      CAST(p AS VARCHAR) AS price, 'USD' AS currency,
+      CASE WHEN k % 11 = 0 THEN replace(CAST(sd AS VARCHAR), '-', '/') ELSE CAST(sd AS VARCHAR) END AS start_date,
+      CASE WHEN k % 50 <> 0 THEN CAST(sd + CAST(k % 365 AS INTEGER) AS VARCHAR) END AS end_date,
+      CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'F' THEN 'cancelled' ELSE 'paused' END AS status,
+      CAST(sd AS VARCHAR) || 'T00:00:00Z' AS created_at, k, p, sd
+    FROM (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS sd, CAST(o_totalprice AS DECIMAL(12,2)) AS p,
+                 o_custkey, o_orderpriority, o_orderstatus FROM orders) o"""
+
+_MK_STRINGS = """
+    SELECT CASE WHEN o_orderkey % 11 = 0 THEN replace(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '-', '/')
+                ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS date,
+      CASE WHEN o_orderkey % 7 = 0 THEN ' ch' || CAST(o_orderkey % 5 AS VARCHAR) || ' '
+           ELSE 'ch' || CAST(o_orderkey % 5 AS VARCHAR) END AS channel,
+      CAST(CAST((o_totalprice - 5000) / 1000 AS DECIMAL(18,5)) AS VARCHAR) AS spend, o_orderkey
+    FROM orders"""
+
+_FACT_CTES = {
+    "fact_daily_active_users": "dau",
+    "fact_daily_revenue_gross": "gross",
+    "fact_daily_revenue_net": "net",
+    "fact_mrr_daily": "mrr",
+    "fact_weekly_cohort_retention": "ret",
+    "fact_cac_by_channel": "cac",
+    "fact_ltv_per_user": "ltv",
+    "fact_ltv_cac_ratio": "ratio",
+}
+
 ORACLE: dict[str, str] = {
+    "bronze_events": f"""
+        WITH {_EVENT_LINES}
+        SELECT CAST(e.event_id AS VARCHAR) AS event_id, CAST(e.user_id AS VARCHAR) AS user_id,
+          {_EV_TYPE} AS event_type, e.ts AS event_ts_utc, e.value AS amount_num,
+          TRY_CAST(regexp_extract(e.props, '([0-9]+)', 1) AS INTEGER) AS props_k, ln.line_no AS _source_line_no
+        FROM events e JOIN ln ON ln.event_id = e.event_id AND ln.kind = 1
+        UNION ALL
+        SELECT 'dup' || CAST(e.event_id AS VARCHAR), CAST(e.user_id AS VARCHAR), 'signup', e.ts, NULL, NULL, ln.line_no
+        FROM events e JOIN ln ON ln.event_id = e.event_id AND ln.kind = 3""",
+    "bronze_events_bad_rows": f"""
+        WITH {_EVENT_LINES}
+        SELECT line_no AS _source_line_no, 'invalid_json' AS _error FROM ln WHERE kind = 2""",
+    "bronze_subscriptions": f"""
+        WITH s AS ({_SUB_STRINGS})
+        SELECT subscription_id, user_id, plan_id, price, currency, start_date, end_date, status, created_at FROM s
+        UNION ALL
+        SELECT subscription_id, user_id, plan_id, CAST(p + 1 AS VARCHAR), currency, start_date, end_date, status,
+          CAST(sd - 1 AS VARCHAR) || 'T12:00:00Z' FROM s WHERE k % 40 = 0
+        UNION ALL
+        SELECT 'x' || subscription_id, '  ', plan_id, price, currency, start_date, end_date, status, created_at
+        FROM s WHERE k % 97 = 0""",
+    "bronze_marketing": f"""
+        WITH m AS ({_MK_STRINGS})
+        SELECT date, channel, spend FROM m
+        UNION ALL SELECT date, channel, NULL FROM m WHERE o_orderkey % 331 = 0""",
+    "fact_row_counts": with_ctes(
+        " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {c}" for t, c in _FACT_CTES.items())
+    ),
+    "dim_row_counts": with_ctes(
+        "SELECT " + ", ".join(f"(SELECT COUNT(*) FROM {t}) AS {t}_rows" for t in catalog.DIM_TABLES)
+    ),
     "silver_events": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
           CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'login'

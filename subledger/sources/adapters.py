@@ -173,7 +173,7 @@ def bronze_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(older).unionByName(no_user)
 
 
-def bronze_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_marketing(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
     """Spend rows from orders: date = order date (every 11th as 'yyyy/MM/dd'),
     channel = 'ch' + key mod 5 (every 7th padded with spaces),
     spend = (total price - 5000) / 1000 (negative ones must be rejected)."""
@@ -186,4 +186,5 @@ def bronze_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 11 == 0, F.regexp_replace(d, "-", "/")).otherwise(d).alias("date"),
         F.when(k % 7 == 0, F.concat(F.lit(" "), ch, F.lit(" "))).otherwise(ch).alias("channel"),
         spend.cast("string").alias("spend"),
+        *([k.alias("_k")] if keep_key else []),
     )
