@@ -5,7 +5,7 @@ from subledger.operators.dedup import keep_latest
 from subledger.operators.firsts import conditional_min, first_value_by
 from subledger.operators.intervals import interval_sum_daily
 from subledger.operators.rejects import split_rejects, tag_rejects
-from subledger.operators.sequence import prev_in_order, running_sum
+from subledger.operators.sequence import prev_in_order, running_sum, running_sum_by_day
 
 __all__ = [
     "calendar_fill",
@@ -19,4 +19,5 @@ __all__ = [
     "tag_rejects",
     "prev_in_order",
     "running_sum",
+    "running_sum_by_day",
 ]

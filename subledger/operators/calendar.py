@@ -1,7 +1,7 @@
 """Calendar operators: day spines, dense (day x key) grids, date unions.
 
-Grids are built without a join: each distinct key row explodes the day range
-whose bounds come in as one scalar subquery, and the grid is merged with the
+Grids are built without a join: each distinct key row explodes the list of
+days, which comes in as one scalar subquery, and the grid is merged with the
 data by ``union`` + ``groupBy`` (partial aggregation before the shuffle), so a
 hot (day, key) cell is collapsed in the map tasks.
 """
@@ -37,16 +37,12 @@ def calendar_fill(
     ``agg="max"`` expects at most one row per cell and only fills the gaps.
     """
     vtype = df.schema[value_col].dataType
-    bounds = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    b = bounds.select(F.struct("lo", "hi")).scalar()
+    # One scalar subquery: the list of days (bounded by the calendar span).
+    days = df.agg(F.sequence(F.min(date_col), F.max(date_col)).alias("days")).scalar()
     grid = (
         df.select(*key_cols)
         .distinct()
-        .select(
-            *key_cols,
-            F.explode(F.sequence(b["lo"], b["hi"])).alias(date_col),
-            F.lit(None).cast(vtype).alias(value_col),
-        )
+        .select(*key_cols, F.explode(days).alias(date_col), F.lit(None).cast(vtype).alias(value_col))
     )
     both = df.select(date_col, *key_cols, value_col).unionByName(grid)
     aggf = F.sum if agg == "sum" else F.max

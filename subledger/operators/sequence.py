@@ -9,30 +9,42 @@ the seams between ranges are fixed with one summary row per range (the table
 of summaries is bounded by the number of partitions, hence safe to broadcast).
 
 The range id is taken from ``spark_partition_id()`` right after the range
-shuffle and pinned with a reliable ``checkpoint()`` (shared checkpoint folder):
-the range partitioner samples with a seed tied to the RDD, so two evaluations
-of the same range shuffle may cut at different keys. After the checkpoint the
-id is plain data that the per-row branch and the per-range summary branch
-share, and a lost executor re-reads the checkpoint instead of re-sampling.
+shuffle and pinned by writing the keyed rows as a Parquet table in the shared
+checkpoint folder: the range partitioner samples with a seed tied to the RDD,
+so two evaluations of the same range shuffle may cut at different keys. Read
+back, the id is plain data that the per-row branch and the per-range summary
+branch share, and a lost executor re-reads the table instead of re-sampling.
+(One write; an eager ``checkpoint()`` would compute its input twice.)
+
+``running_sum_by_day`` covers the bounded case of one row per calendar day:
+blocks are calendar months, so no sampling or lineage cut is needed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subledger.session import checkpoint_root
+from subledger.session import scratch_path
 
 _K, _PID = "_seq_key", "_seq_pid"
 
 
 def _by_range(df: DataFrame, key: Column, num_partitions: int | None) -> DataFrame:
-    checkpoint_root(df.sparkSession)
-    keyed = df.withColumn(_K, key)
-    ranged = keyed.repartitionByRange(num_partitions, _K) if num_partitions else keyed.repartitionByRange(_K)
-    return ranged.withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranged")
+    # The input is read twice (key sampling, then the shuffle): keep it for
+    # the duration of the write only.
+    keyed = df.withColumn(_K, key).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranged = keyed.repartitionByRange(num_partitions, _K) if num_partitions else keyed.repartitionByRange(_K)
+        ranged.withColumn(_PID, F.spark_partition_id()).write.mode("overwrite").parquet(path)
+    finally:
+        keyed.unpersist()
+    return spark.read.parquet(path)
 
 
 def prev_in_order(
@@ -91,3 +103,23 @@ def running_sum(
     joined = local.join(F.broadcast(offsets), _PID, "left")
     zero = F.lit(0).cast(df.schema[value_col].dataType)
     return joined.select(*cols, (F.col("_local") + F.coalesce(F.col("_off"), zero)).alias(out_col))
+
+
+def running_sum_by_day(df: DataFrame, date_col: str, value_col: str, out_col: str) -> DataFrame:
+    """Running sum over a table with one row per day (ordered by date).
+
+    Within-month sums run in parallel per month; month totals are prefixed
+    over the month table (twelve rows a year) and added back.
+    """
+    cols = df.columns
+    month = F.trunc(F.col(date_col), "month")
+    blocked = df.withColumn("_month", month)
+    within = Window.partitionBy("_month").orderBy(date_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = blocked.select(*cols, "_month", F.sum(value_col).over(within).alias("_local"))
+    totals = blocked.groupBy("_month").agg(F.sum(value_col).alias("_tot"))
+    before = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_month", F.sum("_tot").over(before).alias("_off"))
+    zero = F.lit(0).cast(df.schema[value_col].dataType)
+    return local.join(F.broadcast(offsets), "_month", "left").select(
+        *cols, (F.col("_local") + F.coalesce(F.col("_off"), zero)).alias(out_col)
+    )
