@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload is a bounded, full-refresh batch rebuild: there is no watermark,
+window, state or late-data handling to reproduce. Late or out-of-order events
+are absorbed by rebuilding and by last-write-wins de-duplication in silver
+(``subledger.plans.silver.clean_events``).
+"""
