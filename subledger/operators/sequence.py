@@ -47,6 +47,10 @@ def _by_range(df: DataFrame, key: Column, num_partitions: int | None) -> DataFra
     return spark.read.parquet(path)
 
 
+# Largest group that one task may hold in a plain window (rows).
+MAX_GROUP_ROWS = 2_000_000
+
+
 def prev_in_order(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -54,13 +58,34 @@ def prev_in_order(
     value_cols: Sequence[str],
     prefix: str = "prev_",
     num_partitions: int | None = None,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add ``prefix + v`` for each value column: its value on the immediately
     previous row of the same group under ``order`` (ascending expressions; make
     them total with a unique tie-breaker), null on a group's first row.
 
-    Equivalent to ``lag(v) OVER (PARTITION BY group ORDER BY order)``.
+    Equivalent to ``lag(v) OVER (PARTITION BY group ORDER BY order)``. The size
+    of the largest group is measured first (one partial aggregation, a single
+    number to the driver): when every group fits ``max_group_rows`` that plain
+    window is used; otherwise the range-split plan below, which cuts hot
+    groups across tasks. ``max_group_rows=None`` always uses the range plan.
     """
+    if max_group_rows is not None:
+        biggest = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0]
+        if biggest is None or biggest <= max_group_rows:
+            w = Window.partitionBy(*group_cols).orderBy(*order)
+            return df.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in value_cols])
+    return _prev_by_range(df, group_cols, order, value_cols, prefix, num_partitions)
+
+
+def _prev_by_range(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    order: Sequence[Column],
+    value_cols: Sequence[str],
+    prefix: str,
+    num_partitions: int | None,
+) -> DataFrame:
     cols = df.columns
     groups = [F.col(g) for g in group_cols]
     key = F.struct(*[g.alias(f"g{i}") for i, g in enumerate(groups)], *[o.alias(f"o{i}") for i, o in enumerate(order)])

@@ -19,14 +19,14 @@ def test_prev_in_order_matches_window_under_skew(spark):
     random.seed(7)
     rows = [("hot" if random.random() < 0.4 else f"u{random.randint(0, 30)}", random.randint(0, 500), i) for i in range(5000)]
     df = spark.createDataFrame(rows, "u string, s int, id int")
-    got = prev_in_order(df, ["u"], [F.col("s"), F.col("id")], ["id"], num_partitions=12)
+    got = prev_in_order(df, ["u"], [F.col("s"), F.col("id")], ["id"], num_partitions=12, max_group_rows=1000)
     want = df.withColumn("prev_id", F.lag("id").over(Window.partitionBy("u").orderBy("s", "id")))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_prev_in_order_hot_group_is_split(spark):
     df = spark.createDataFrame([("hot", i) for i in range(4000)], "u string, i int")
-    got = prev_in_order(df, ["u"], [F.col("i")], ["i"], num_partitions=8)
+    got = prev_in_order(df, ["u"], [F.col("i")], ["i"], num_partitions=8, max_group_rows=None)
     rows = {r.i: r.prev_i for r in got.collect()}
     assert rows[0] is None and all(rows[i] == i - 1 for i in range(1, 4000))
 
@@ -80,3 +80,9 @@ def test_interval_sum_daily_brute_force(spark):
     for d, v in got.items():
         want = sum(round(p * 100) for s, e, p in subs if s <= d and (e is None or e >= d)) / 100
         assert abs(v - want) < 1e-6
+
+
+def test_prev_in_order_plain_path_when_groups_small(spark):
+    df = spark.createDataFrame([(f"u{i % 10}", i) for i in range(200)], "u string, i int")
+    got = {r.i: r.prev_i for r in prev_in_order(df, ["u"], [F.col("i")], ["i"]).collect()}
+    assert all(got[i] == (i - 10 if i >= 10 else None) for i in range(200))
