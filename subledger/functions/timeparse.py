@@ -30,6 +30,11 @@ _HHMM_END = r"([ T][0-9]{1,2}:[0-9]{2})(Z|[+-][0-9]{2}:?[0-9]{2})?$"
 # End of text not preceded by a zone designator: append 'Z' there (naive = UTC).
 _NO_ZONE_END = r"(?<!Z)(?<![+-][0-9]{2}:[0-9]{2})(?<![+-][0-9]{4})$"
 
+# Fast paths: the common ISO layouts cast directly, without the rewrite chain.
+_ISO_ZONED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2})$"
+_ISO_NAIVE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?$"
+_ISO_DATE_PREFIX = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]|$)"
+
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -46,18 +51,25 @@ def _iso_text(c: str | Column) -> Column:
 
 def to_utc_ntz(c: str | Column) -> Column:
     """Timestamp text -> naive UTC timestamp_ntz; unparseable -> null."""
+    raw = trimmed(c)
     t = _iso_text(c)
     t = F.regexp_replace(t, _DATE_ONLY, "$1 00:00:00")
     t = F.regexp_replace(t, _HHMM_END, "$1:00$2")
     t = F.regexp_replace(t, _NO_ZONE_END, "Z")
-    micros = F.unix_micros(t.try_cast("timestamp"))
+    text = (
+        F.when(raw.rlike(_ISO_ZONED), raw)
+        .when(raw.rlike(_ISO_NAIVE), F.concat(raw, F.lit("Z")))
+        .otherwise(t)
+    )
+    micros = F.unix_micros(text.try_cast("timestamp"))
     return F.timestamp_add("MICROSECOND", micros, F.expr(_EPOCH_NTZ))
 
 
 def parse_date(c: str | Column) -> Column:
     """Lenient date text -> date: ISO date or timestamp (time part ignored),
     'yyyy/MM/dd', 'MM/dd/yyyy'. Unparseable -> null. Zone independent."""
-    return _iso_text(c).try_cast("date")
+    raw = trimmed(c)
+    return F.when(raw.rlike(_ISO_DATE_PREFIX), raw).otherwise(_iso_text(c)).try_cast("date")
 
 
 def weekday_mon0(c: str | Column) -> Column:
