@@ -18,14 +18,19 @@ _CKPT_KEY = "spark.checkpoint.dir"
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a private one only when unset."""
     root = spark.conf.get(_CKPT_KEY, None)
-    if not root:
-        root = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = root.get() if root.isDefined() else None
+    sc = None
+    try:
+        sc = spark.sparkContext
+        if not root:
+            current = sc._jsc.sc().getCheckpointDir()
+            root = current.get() if current.isDefined() else None
+    except Exception:  # noqa: BLE001  (no JVM context, e.g. a remote session)
+        sc = None
     if not root:
         root = tempfile.mkdtemp(prefix="subledger-ckpt-")
         spark.conf.set(_CKPT_KEY, root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
