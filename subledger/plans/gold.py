@@ -177,3 +177,28 @@ def ltv_cac_ratio(ltv: DataFrame, marketing: DataFrame, events: DataFrame) -> Da
     return totals.select("total_ltv", "total_spend", "paid_conversions", cac.alias("cac_overall")).withColumn(
         "ltv_cac_ratio", safe_ratio("total_ltv", "cac_overall")
     )
+
+
+# The order in which published tables are written (presentation
+# only; the sort is a range shuffle over the already-aggregated table).
+PRESENTATION_ORDER = {
+    "fact_daily_active_users": [("event_date", "asc")],
+    "fact_daily_revenue_gross": [("event_date", "asc")],
+    "fact_daily_revenue_net": [("event_date", "asc")],
+    "fact_mrr_daily": [("date", "asc")],
+    "fact_weekly_cohort_retention": [("cohort_week", "asc"), ("week_index", "asc")],
+    "fact_cac_by_channel": [("total_spend", "desc")],
+    "fact_ltv_per_user": [("ltv", "desc")],
+    "dim_date": [("date", "asc")],
+    "dim_channel": [("channel", "asc")],
+    "dim_plan": [("plan_id", "asc")],
+    "dim_user": [("user_id", "asc")],
+}
+
+
+def presentation_order(name: str, df: DataFrame) -> DataFrame:
+    """``df`` sorted the way the published table ``name`` is presented."""
+    order = PRESENTATION_ORDER.get(name)
+    if not order:
+        return df
+    return df.orderBy(*[F.asc(c) if how == "asc" else F.desc(c) for c, how in order])

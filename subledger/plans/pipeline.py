@@ -117,7 +117,7 @@ class Pipeline:
         }
 
     def _gold(self, name: str, df: DataFrame) -> tuple[int, int]:
-        return write_counted(df, f"{self.gold}/{name}"), 0
+        return write_counted(gold.presentation_order(name, df), f"{self.gold}/{name}"), 0
 
     def _ratio(self) -> tuple[int, int]:
         df = gold.ltv_cac_ratio(
@@ -145,7 +145,8 @@ class Pipeline:
             "dim_plan": dims.dim_plan(subs),
             "dim_user": dims.dim_user(ev),
         }
-        catalog.publish(self.spark, tables, f"{self.gold}/dims", self.db)
+        ordered = {n: gold.presentation_order(n, df) for n, df in tables.items()}
+        catalog.publish(self.spark, ordered, f"{self.gold}/dims", self.db)
         row = catalog.dim_row_counts(self.spark, self.db).first()
         return int(sum(row)), 0
 
