@@ -8,24 +8,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subledger.llm import licenses, toxicity
+from subledger.llm import bpe, licenses, quality, simhash, toxicity
 from subledger.llm.common import read_table
 
+#: The public vocabulary that the registered BPE query and pipeline stage use.
+RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
 
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return toxicity.toxicity(documents, labels).drop("n_clauses")
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return bpe.digests(bpe.encode_documents(documents, RANK_FILE, public_tokenizers.PATTERN))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_license_scans": op4_license_scans,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {}
