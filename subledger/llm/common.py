@@ -31,15 +31,15 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def ascii_lower(text: Column) -> Column:
-    """A-Z to a-z, every other character unchanged (``lower`` would also fold
-    letters outside ASCII)."""
-    return F.translate(text, _UPPER, _UPPER.lower())
+    """A-Z to a-z, every other character unchanged: ``lower`` would also fold
+    letters outside ASCII, so it serves texts of ASCII only."""
+    only_ascii = F.octet_length(text) == F.char_length(text)
+    return F.when(only_ascii, F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
 
 
 def word_array(text: Column) -> Column:
     """Words of a text in order; a null or wordless text has none."""
-    blank = F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), NON_WORD, " "))
-    return F.when(blank == "", F.array().cast("array<string>")).otherwise(F.split(blank, " "))
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NON_WORD), "")
 
 
 def held_out(doc_id: Column) -> Column:
