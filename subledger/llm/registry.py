@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm import bpe, decontaminate, licenses, quality, simhash, toxicity
+from subledger.llm import bpe, decontaminate, licenses, quality, simhash, topk, toxicity
 from subledger.llm.common import read_table
 
 #: The public vocabulary that the registered BPE query and pipeline stage use.
@@ -54,6 +54,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(documents, RANK_FILE, public_tokenizers.PATTERN))
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -61,6 +65,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+""",
+}
