@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm import bpe, decontaminate, licenses, quality, simhash, topk, toxicity
+from subledger.llm import bpe, decontaminate, licenses, quality, secrets, simhash, topk, toxicity
 from subledger.llm.common import read_table
 
 #: The public vocabulary that the registered BPE query and pipeline stage use.
@@ -40,6 +40,19 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan_secrets(documents, secrets.train(documents))
+    of_kind = {k: F.filter("spans", lambda s, k=k: s["kind"] == k) for k in range(3)}
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id",
+        *[F.size(of_kind[k]).cast("long").alias(f"n_{secrets.KINDS[k]}") for k in range(3)],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -62,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_license_scans": op4_license_scans,
+    "op5_secret_scans": op5_secret_scans,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
