@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.llm import bpe, decontaminate, licenses, quality, secrets, simhash, topk, toxicity
@@ -43,11 +43,14 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan_secrets(documents, secrets.train(documents))
-    of_kind = {k: F.filter("spans", lambda s, k=k: s["kind"] == k) for k in range(3)}
+
+    def of_kind(k: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+
     base = F.filter("spans", lambda s: s["kind"] < 3)
     return found.select(
         "doc_id",
-        *[F.size(of_kind[k]).cast("long").alias(f"n_{secrets.KINDS[k]}") for k in range(3)],
+        *[of_kind(k).alias(f"n_{secrets.KINDS[k]}") for k in range(3)],
         F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
         secrets.span_text(F.col("spans")).alias("spans"),
     )
