@@ -23,13 +23,11 @@ from subledger.llm.common import cut, word_array
 WINDOW = 10
 
 
-def _key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The columns of a document that the join needs; null ids share a number."""
-    return df.select(
-        F.col(id_col).alias("doc_id"),
-        F.coalesce(F.col(id_col), F.lit(-1)).cast("long").alias("did"),
-        F.xxhash64(text_col).alias("h"),
-        F.col(text_col).alias("text"),
+def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows as struct r, with the two columns that they are joined by (null
+    ids share a number)."""
+    return documents.select(
+        F.struct("*").alias("r"), F.coalesce(F.col(id_col), F.lit(-1)).cast("long").alias("did"), F.xxhash64(text_col).alias("h")
     )
 
 
@@ -50,8 +48,8 @@ def benchmark_terms(items: DataFrame) -> DataFrame:
 
 def build_index(documents: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(did, h, pos, tid): every place of a term in the documents, words from 0."""
-    docs = _key(documents, id_col, text_col)
-    tokens = docs.select("did", "h", F.posexplode(word_array(F.col("text"))).alias("pos", "term"))
+    docs = _keyed(documents, id_col, text_col)
+    tokens = docs.select("did", "h", F.posexplode(word_array(F.col("r")[text_col])).alias("pos", "term"))
     return cut(tokens.join(terms, "term").select("did", "h", "pos", "tid"), "postings")
 
 
@@ -100,6 +98,21 @@ def phrase_candidates(index: DataFrame, windows: DataFrame, places: DataFrame) -
     return alive.groupBy("did", "h").agg(F.collect_list(cand).alias("cands"))
 
 
+def _hits(documents: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    """(r, n_words, hits): the rows, and the windows that truly occur in them as
+    (at, words, item_ids)."""
+    items = benchmark_items(benchmark)
+    terms = benchmark_terms(items)
+    index = build_index(documents, terms, id_col, text_col)
+    windows, places = rarest_places(items, terms, index, window)
+    found = cut(phrase_candidates(index, windows, places), "contaminated")
+    joined = _keyed(documents, id_col, text_col).join(found, ["did", "h"], "left")
+    read = joined.select("r", word_array(F.col("r")[text_col]).alias("w"), "cands")
+    same = F.filter("cands", lambda c: F.slice("w", c["at"] + 1, F.size(c["words"])) == c["words"])
+    none = F.array().cast(found.schema["cands"].dataType)
+    return read.select("r", F.size("w").cast("long").alias("n_words"), F.coalesce(same, none).alias("hits"))
+
+
 def contamination(
     documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -112,26 +125,12 @@ def contamination(
     Null, empty and wordless texts have no words and no hits; an empty benchmark
     hits nothing. Rows that repeat stay; other columns are passed over.
     """
-    items = benchmark_items(benchmark)
-    terms = benchmark_terms(items)
-    index = build_index(documents, terms, id_col, text_col)
-    windows, places = rarest_places(items, terms, index, window)
-    found = cut(phrase_candidates(index, windows, places), "contaminated")
-    docs = _key(documents, id_col, text_col)
-    read = docs.join(found, ["did", "h"], "left").select("doc_id", word_array(F.col("text")).alias("w"), "cands")
-    exact = read.select(
-        "doc_id",
-        F.size("w").cast("long").alias("n_words"),
-        F.coalesce(
-            F.filter("cands", lambda c: F.slice("w", c["at"] + 1, F.size(c["words"])) == c["words"]),
-            F.array().cast(found.schema["cands"].dataType),
-        ).alias("hits"),
-    )
+    exact = _hits(documents.select(id_col, text_col), benchmark, window, id_col, text_col)
     covered = F.transform("hits", lambda c: F.sequence(c["at"], c["at"] + F.size(c["words"]) - 1))
     ids = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda c: F.transform(c["item_ids"], lambda i: i.cast("string"))))))
     spans = F.array_sort(F.array_distinct(F.transform("hits", lambda c: F.struct(c["at"].alias("start"), F.size(c["words"]).alias("words")))))
     return exact.select(
-        "doc_id",
+        F.col("r")[id_col].alias("doc_id"),
         "n_words",
         F.size(F.array_distinct(F.flatten(covered))).cast("long").alias("n_hit"),
         F.size(ids).cast("long").alias("n_items"),
@@ -140,6 +139,13 @@ def contamination(
     )
 
 
+def clean_documents(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents, all their columns, in which no window occurs."""
+    return _hits(documents, benchmark, window, id_col, text_col).where(F.size("hits") == 0).select("r.*")
+
+
 def proximity_matches(documents: DataFrame, benchmark: DataFrame, slop: int, window: int = WINDOW) -> DataFrame:
     """(doc_id, item_id, at): windows whose two rarest terms stand in the document
     at most ``slop`` words off the distance they have in the item, with the word
@@ -172,5 +178,5 @@ def proximity_matches(documents: DataFrame, benchmark: DataFrame, slop: int, win
     met = both.select("did", "h", "item_ids", "at0").unionByName(
         first.join(lone, ["iid", "start"]).select("did", "h", "item_ids", "at0")
     )
-    docs = _key(documents, "doc_id", "text").select("doc_id", "did", "h").distinct()
+    docs = _keyed(documents.select("doc_id", "text"), "doc_id", "text").select("r.doc_id", "did", "h").distinct()
     return docs.join(met, ["did", "h"]).select("doc_id", F.explode("item_ids").alias("item_id"), F.col("at0").alias("at")).distinct()

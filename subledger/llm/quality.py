@@ -179,3 +179,8 @@ def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = learn_model(documents, labels)
     scored = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_quality(documents, model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def good_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents, all their columns, that the classifier does not reject."""
+    return documents.where(score_quality(documents, learn_model(documents, labels)) >= THRESHOLD)

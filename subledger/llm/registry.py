@@ -12,12 +12,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.llm import bpe, decontaminate, licenses, quality, secrets, simhash, topk, toxicity
+from subledger.llm import bpe, decontaminate, html, licenses, quality, secrets, simhash, topk, toxicity, urls
 from subledger.llm.common import read_table
 
 #: The public vocabulary that the registered BPE query and pipeline stage use.
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+#: Rules of the registered URL query (fixed values).
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=10)
@@ -36,6 +45,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents")).drop("detections")
 
@@ -69,6 +82,19 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return bpe.digests(bpe.encode_documents(documents, RANK_FILE, public_tokenizers.PATTERN))
 
+#: Rules of the registered URL query (fixed values).
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read_table(spark, sf_dir, "pages"))
+
 
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
@@ -77,11 +103,13 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_url_filters": op3_url_filters,
     "op4_license_scans": op4_license_scans,
     "op5_secret_scans": op5_secret_scans,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_html_extraction": op9_html_extraction,
     "op10_exact_top_k": op10_exact_top_k,
 }
 

@@ -79,7 +79,8 @@ def fingerprint(text: str | None, shingle: int, seed: int) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle: int, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the SimHash of every row's whole text as a signed bigint."""
+    """(doc_id, h, fp): the SimHash of every row's whole text as a signed bigint,
+    and a plain hash of the text to know the row by."""
 
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series(
@@ -87,7 +88,7 @@ def fingerprints(documents: DataFrame, shingle: int, seed: int = 42, id_col: str
         )
 
     simhash = F.pandas_udf(run, "long")
-    return documents.select(F.col(id_col).alias("doc_id"), simhash(F.col(text_col)).alias("fp"))
+    return documents.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), simhash(F.col(text_col)).alias("fp"))
 
 
 def _block_counts(fp: Column) -> list[Column]:
@@ -191,6 +192,15 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def _rooted(fps: DataFrame, radius: int) -> DataFrame:
+    """(fp, first_id, root): every distinct fingerprint with its smallest doc_id
+    and the smallest fingerprint of its component."""
+    distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    roots = components(links(distinct, radius))
+    joined = distinct.join(roots, distinct["fp"] == roots["node"], "left")
+    return cut(joined.select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
 def near_duplicates(
     documents: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -203,17 +213,30 @@ def near_duplicates(
     ids only has component_id null. Other columns are passed over.
     """
     fps = cut(fingerprints(documents, shingle, seed, id_col, text_col), "fingerprints")
-    distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = components(links(distinct, radius))
-    rooted = cut(
-        distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")),
-        "rooted",
-    )
+    rooted = _rooted(fps, radius)
     smallest = cut(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids")
     named = cut(rooted.join(smallest, "root").select("fp", "component_id"), "named-fingerprints")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def representatives(
+    documents: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents, all their columns, with one row of each component: the one
+    of the smallest doc_id (null ids last), then of the smallest fingerprint and
+    text hash; of equal rows one stays."""
+    fps = cut(fingerprints(documents, shingle, seed, id_col, text_col), "fingerprints")
+    rooted = _rooted(fps, radius)
+    # Per fingerprint first: an exact copy held by a third of all rows is reduced where it is read.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "h")).alias("k")
+    per_fp = cut(fps.groupBy("fp").agg(least).select("fp", "k"), "first-of-fingerprint")
+    chosen = per_fp.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min("k").alias("k"))
+    keepers = cut(chosen.select(F.col("k.doc_id").alias("_kid"), F.col("k.h").alias("_kh")), "keepers")
+    rows = documents.withColumn("_kh", F.xxhash64(text_col)).withColumn("_kid", F.col(id_col))
+    kept = rows.join(keepers, rows["_kid"].eqNullSafe(keepers["_kid"]) & (rows["_kh"] == keepers["_kh"]), "left_semi")
+    return kept.dropDuplicates(["_kid", "_kh"]).drop("_kid", "_kh")
+
+
 def hex_fingerprint(fp: Column) -> Column:
     """16 lower-case hex digits of a fingerprint."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
