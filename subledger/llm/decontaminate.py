@@ -107,10 +107,18 @@ def _hits(documents: DataFrame, benchmark: DataFrame, window: int, id_col: str,
     windows, places = rarest_places(items, terms, index, window)
     found = cut(phrase_candidates(index, windows, places), "contaminated")
     joined = _keyed(documents, id_col, text_col).join(found, ["did", "h"], "left")
-    read = joined.select("r", word_array(F.col("r")[text_col]).alias("w"), "cands")
-    same = F.filter("cands", lambda c: F.slice("w", c["at"] + 1, F.size(c["words"])) == c["words"])
     none = F.array().cast(found.schema["cands"].dataType)
-    return read.select("r", F.size("w").cast("long").alias("n_words"), F.coalesce(same, none).alias("hits"))
+
+    def look(w: Column) -> Column:
+        # Word by word: a slice would copy the whole of a long document for each candidate.
+        def equal(c: Column) -> Column:
+            return F.forall(F.transform(c["words"], lambda x, i: F.get(w, c["at"] + i) == x), lambda ok: F.coalesce(ok, F.lit(False)))
+
+        return F.struct(F.size(w).cast("long").alias("n_words"), F.coalesce(F.filter("cands", equal), none).alias("hits"))
+
+    # The words are a lambda's argument, so that they are made once a row, not once a candidate.
+    looked = F.get(F.transform(F.array(word_array(F.col("r")[text_col])), look), F.lit(0))
+    return joined.select("r", looked.alias("x")).select("r", "x.n_words", "x.hits")
 
 
 def contamination(
@@ -128,7 +136,12 @@ def contamination(
     exact = _hits(documents.select(id_col, text_col), benchmark, window, id_col, text_col)
     covered = F.transform("hits", lambda c: F.sequence(c["at"], c["at"] + F.size(c["words"]) - 1))
     ids = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda c: F.transform(c["item_ids"], lambda i: i.cast("string"))))))
-    spans = F.array_sort(F.array_distinct(F.transform("hits", lambda c: F.struct(c["at"].alias("start"), F.size(c["words"]).alias("words")))))
+    # As one number each: distinct numbers are found by hash, distinct structs are not.
+    packed = F.array_sort(F.array_distinct(F.transform("hits", lambda c: F.shiftleft(c["at"].cast("long"), 31) + F.size(c["words"]))))
+    spans = F.transform(
+        packed,
+        lambda x: F.struct(F.shiftright(x, 31).cast("int").alias("start"), x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("words")),
+    )
     return exact.select(
         F.col("r")[id_col].alias("doc_id"),
         "n_words",
