@@ -184,7 +184,7 @@ def encode_words(words: DataFrame, ranks: dict[bytes, int], word_col: str = "wor
         return F.when(F.size(parts) < 2, parts).when(low == _NONE, parts).otherwise(merged)
 
     digits = F.hex(F.encode(F.col(word_col), "UTF-8"))
-    parts = F.transform(F.sequence(F.lit(0), F.length(digits) / 2 - 1), lambda i: F.substring(digits, (i * 2 + 1).cast("int"), F.lit(2)))
+    parts = F.transform(F.sequence(F.lit(1), F.length(digits), F.lit(2)), lambda i: F.substring(digits, i, F.lit(2)))
     folded = F.aggregate(F.sequence(F.lit(1), F.size(parts)), parts, step)
     return (
         words.select(word_col)

@@ -74,8 +74,11 @@ def top_of_block(queries: np.ndarray, own: np.ndarray, candidates: np.ndarray, i
     """(query index, vec_id, score) of the k best candidates of each query, ties to
     the smaller vec_id. ``own[i]`` is the vec_id that query i leaves out."""
     size = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * max(1, queries.shape[1])
-    if size >= 2.0**52:  # beyond what doubles hold exactly: plain integers
-        exact = [[sum(int(x) * int(y) for x, y in zip(q, c, strict=True)) for c in candidates] for q in queries]
+    if size >= 2.0**52:  # beyond what doubles hold exactly: plain integers, held within a long at the end
+        most = 2**63 - 1
+        exact = [
+            [max(-most, min(most, sum(int(x) * int(y) for x, y in zip(q, c, strict=True)))) for c in candidates] for q in queries
+        ]
         return [
             (i, v, s)
             for i, row in enumerate(exact)
@@ -130,7 +133,8 @@ def top_k(
     Rows with a null id, and vectors that are null, empty, or hold null or
     non-finite components, take no part; vectors meet only those of their own
     length. A query's own row is any with its vec_id; a repeated query row is
-    answered as often, a repeated candidate may rank as often. Other columns are
+    answered as often, a repeated candidate may rank as often. Quantised components
+    and scores beyond a long take the largest (smallest) one. Other columns are
     passed over.
     """
     usable = vectors.where(F.col(id_col).isNotNull() & _usable(F.col(vector_col)))
