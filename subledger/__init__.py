@@ -11,7 +11,8 @@ Layers (each a set of DataFrame -> DataFrame functions):
                 skew-safe ordered lag, interval sums, calendar fill, ...).
 * ``plans``     the products: silver cleaning, gold facts, dimensions, views,
                 catalog load and the end-to-end pipeline run.
-* ``streaming`` nothing: the workload is a full-refresh batch rebuild.
+* ``llm``       operators on training-data corpora; a subpackage that the rest
+                neither needs nor imports.
 """
 
 __version__ = "0.1.0"

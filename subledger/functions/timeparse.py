@@ -5,8 +5,8 @@
 as UTC. The result never depends on ``spark.sql.session.timeZone`` because the
 instant is computed from epoch microseconds, not through a local-time cast.
 
-Each step is a single ``regexp_replace`` over the previous one, so the input
-expression appears once in the generated code (no branch duplication).
+Common ISO layouts are cast directly; the others go through a list of rewrites,
+each evaluated once a row.
 """
 
 from __future__ import annotations
@@ -16,11 +16,36 @@ from pyspark.sql import functions as F
 
 from subledger.functions.text import trimmed
 
-# Accepted layouts besides ISO 8601 ('yyyy-MM-dd[ T]HH:mm[:ss[.f]][zone]').
-#   yyyy/MM/dd[ time]   -> rewritten to ISO
-#   MM/dd/yyyy[ time]   -> rewritten to ISO
-_SLASH_YMD = r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})"
-_SLASH_MDY = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})"
+# Accepted layouts besides ISO 8601 ('yyyy-MM-dd[ T]HH:mm[:ss[.f]][zone]'),
+# each a pattern and what it is rewritten to, tried in this order.
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_REWRITES = (
+    # compact: 20240105T100000[.f][zone]
+    (r"^([0-9]{4})([0-9]{2})([0-9]{2})T([0-9]{2})([0-9]{2})([0-9]{2})", "$1-$2-$3T$4:$5:$6"),
+    # 2024/01/05
+    (r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})(?![0-9])", "$1-$2-$3"),
+    # 13/01/2024 and 13-01-2024: no month is above 12, so the day stands first
+    (r"^(1[3-9]|2[0-9]|3[01])[-/](0?[1-9]|1[0-2])[-/]([0-9]{4})(?![0-9])", "$3-$2-$1"),
+    # 01/05/2024 and 01-05-2024: month first
+    (r"^([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})(?![0-9])", "$3-$1-$2"),
+    # [Fri, ]05 Jan 2024 and Jan 5, 2024 (month names are made numbers before)
+    (r"^(?:[A-Za-z]{3,9},?\s+)?([0-9]{1,2})\s+m([0-9]{2})\s+([0-9]{4})(?![0-9])", "$3-$2-$1"),
+    (r"^m([0-9]{2})\s+([0-9]{1,2}),?\s+([0-9]{4})(?![0-9])", "$3-$1-$2"),
+    # zone names and short offsets
+    (r"\s*(?<=[0-9])(?:\s?(?:UTC|GMT|utc|gmt)|z)$", "Z"),
+    (r"(:[0-9]{2}(?:\.[0-9]+)?)\s?([+-][0-9]{2})$", "$1$2:00"),
+    (r"\s?(?:EST)$", "-05:00"),
+    (r"\s?(?:EDT)$", "-04:00"),
+    (r"\s?(?:CST)$", "-06:00"),
+    (r"\s?(?:CDT)$", "-05:00"),
+    (r"\s?(?:MST)$", "-07:00"),
+    (r"\s?(?:MDT)$", "-06:00"),
+    (r"\s?(?:PST)$", "-08:00"),
+    (r"\s?(?:PDT)$", "-07:00"),
+    # an hour alone: 2024-01-05T10[zone]
+    (r"([T ][0-9]{2})(Z|[+-][0-9]{2}:[0-9]{2})?$", "$1:00$2"),
+)
+_TWELVE_HOURS = r"^(\S+)[ T]([0-9]{1,2}):([0-9]{2})(:[0-9]{2}(?:\.[0-9]+)?)?\s?([AaPp])\.?[Mm]\.?(.*)$"
 # Text that does not start with a full calendar date is blanked (so it casts
 # to null): a bare year or time of day is rejected, never completed from today.
 _NOT_FULL_DATE = r"^(?![0-9]{4}-[0-9]{1,2}-[0-9]{1,2}).*$"
@@ -33,7 +58,9 @@ _NO_ZONE_END = r"(?<!Z)(?<![+-][0-9]{2}:[0-9]{2})(?<![+-][0-9]{4})$"
 # Fast paths: the common ISO layouts cast directly, without the rewrite chain.
 _ISO_ZONED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2})$"
 _ISO_NAIVE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?$"
-_ISO_DATE_PREFIX = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]|$)"
+_ISO_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+# A whole date, with a whole time of day or none: other text after it is an error.
+_DAY_AND_TIME = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(?:[T ][0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
 
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 
@@ -42,11 +69,43 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _named_months(t: Column) -> Column:
+    """English month names as 'mNN', only where letters follow digits or start the text."""
+    out = t
+    for n, name in enumerate(_MONTHS, 1):
+        out = F.regexp_replace(out, rf"(?i)\b{name}[a-z]*\.?(?=\s+[0-9])", f"m{n:02d}")
+    return out
+
+
+def _twelve_hours(t: Column) -> Column:
+    """'... 10:00 PM' on the 24-hour clock."""
+    hour = F.regexp_extract(t, _TWELVE_HOURS, 2).try_cast("int")
+    late = F.lower(F.regexp_extract(t, _TWELVE_HOURS, 5)) == "p"
+    clock = F.lpad(((hour % 12) + F.when(late, 12).otherwise(0)).cast("string"), 2, "0")
+    rest = F.concat(F.lit(":"), F.regexp_extract(t, _TWELVE_HOURS, 3), F.regexp_extract(t, _TWELVE_HOURS, 4), F.regexp_extract(t, _TWELVE_HOURS, 6))
+    whole = F.concat(F.regexp_extract(t, _TWELVE_HOURS, 1), F.lit(" "), clock, rest)
+    return F.when(hour.between(1, 12), whole).otherwise(F.lit(""))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _rewritten(t: Column) -> Column:
+    for pattern, to in _REWRITES:
+        t = F.regexp_replace(t, pattern, to)
+    return t
+
+
 def _iso_text(c: str | Column) -> Column:
-    t = trimmed(c)
-    t = F.regexp_replace(t, _SLASH_YMD, "$1-$2-$3")
-    t = F.regexp_replace(t, _SLASH_MDY, "$3-$1-$2")
-    return F.regexp_replace(t, _NOT_FULL_DATE, "")
+    def clock(t: Column) -> Column:
+        return F.regexp_replace(F.when(t.rlike(_TWELVE_HOURS), _twelve_hours(t)).otherwise(t), _NOT_FULL_DATE, "")
+
+    def months(t: Column) -> Column:
+        return F.when(t.rlike("[A-Za-z]{3}"), _named_months(t)).otherwise(t)
+
+    return _let(trimmed(c), lambda t: _let(months(t), lambda m: _let(_rewritten(m), clock)))
 
 
 def to_utc_ntz(c: str | Column) -> Column:
@@ -67,9 +126,11 @@ def to_utc_ntz(c: str | Column) -> Column:
 
 def parse_date(c: str | Column) -> Column:
     """Lenient date text -> date: ISO date or timestamp (time part ignored),
-    'yyyy/MM/dd', 'MM/dd/yyyy'. Unparseable -> null. Zone independent."""
+    and the layouts of ``_REWRITES``. Unparseable text, or text after the date that
+    is no time of day, -> null. Zone independent."""
     raw = trimmed(c)
-    return F.when(raw.rlike(_ISO_DATE_PREFIX), raw).otherwise(_iso_text(c)).try_cast("date")
+    day = F.when(raw.rlike(_ISO_DAY), raw).otherwise(F.regexp_extract(_iso_text(c), _DAY_AND_TIME, 1))
+    return day.try_cast("date")
 
 
 def weekday_mon0(c: str | Column) -> Column:

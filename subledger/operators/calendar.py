@@ -1,9 +1,10 @@
-"""Calendar operators: day spines, dense (day x key) grids, date unions.
+"""Calendar operators: dense (day x key) grids, date unions.
 
 Grids are built without a join: each distinct key row explodes the list of
 days, which comes in as one scalar subquery, and the grid is merged with the
-data by ``union`` + ``groupBy`` (partial aggregation before the shuffle), so a
-hot (day, key) cell is collapsed in the map tasks.
+data by ``union`` + ``groupBy``. Days and keys are taken from the table already
+aggregated by (day, keys). All three readers of that table use all its columns,
+so the planner shuffles it once and reuses the exchange: one scan of the input.
 """
 
 from __future__ import annotations
@@ -15,14 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def date_spine(bounds: DataFrame, lo: str = "lo", hi: str = "hi", out: str = "date") -> DataFrame:
-    """Every day from ``lo`` to ``hi`` inclusive, from a one-row bounds frame.
-
-    Null bounds (empty input) give an empty spine.
-    """
-    return bounds.select(F.explode(F.sequence(F.col(lo), F.col(hi))).alias(out))
-
-
 def calendar_fill(
     df: DataFrame,
     date_col: str,
@@ -37,18 +30,16 @@ def calendar_fill(
     ``agg="max"`` expects at most one row per cell and only fills the gaps.
     """
     vtype = df.schema[value_col].dataType
-    # One scalar subquery: the list of days (bounded by the calendar span).
-    days = df.agg(F.sequence(F.min(date_col), F.max(date_col)).alias("days")).scalar()
-    grid = (
-        df.select(*key_cols)
-        .distinct()
-        .select(*key_cols, F.explode(days).alias(date_col), F.lit(None).cast(vtype).alias(value_col))
-    )
-    both = df.select(date_col, *key_cols, value_col).unionByName(grid)
     aggf = F.sum if agg == "sum" else F.max
-    return both.groupBy(date_col, *key_cols).agg(
-        F.coalesce(aggf(value_col), F.lit(fill).cast(vtype)).cast(vtype).alias(value_col)
-    )
+    cells = df.groupBy(date_col, *key_cols).agg(aggf(value_col).cast(vtype).alias(value_col))
+    whole = F.struct(date_col, *key_cols, value_col)
+    dated = F.when(F.col(date_col).isNotNull(), whole)
+    # One scalar subquery: the list of days (bounded by the calendar span).
+    days = cells.agg(F.sequence(F.min(dated)[date_col], F.max(dated)[date_col]).alias("days"))
+    grid = cells.groupBy(*key_cols).agg(F.max(dated).alias("_any")).where(F.col("_any").isNotNull())
+    grid = grid.select(*key_cols, F.explode(days.scalar()).alias(date_col), F.lit(None).cast(vtype).alias(value_col))
+    both = cells.select(date_col, *key_cols, value_col).unionByName(grid)
+    return both.groupBy(date_col, *key_cols).agg(F.coalesce(F.max(value_col), F.lit(fill).cast(vtype)).cast(vtype).alias(value_col))
 
 
 def union_dates(frames: Sequence[tuple[DataFrame, Column]], out: str = "date") -> DataFrame:

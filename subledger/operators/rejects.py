@@ -1,4 +1,4 @@
-"""Good/rejected split driven by an ordered list of (reason, predicate) rules."""
+"""Reject reasons from an ordered list of (reason, predicate) rules."""
 
 from __future__ import annotations
 
@@ -18,16 +18,3 @@ def tag_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]], reason_col:
     reason = F.coalesce(*[F.when(F.coalesce(pred, F.lit(False)), F.lit(name)) for name, pred in rules])
     return df.withColumn(reason_col, reason)
 
-
-def split_rejects(
-    df: DataFrame, rules: Sequence[tuple[str, Column]], reason_col: str = REASON
-) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the reason column, rejected rows with it).
-
-    Both outputs are complementary filters over one tagged plan, so every input
-    row lands in exactly one of them.
-    """
-    tagged = tag_rejects(df, rules, reason_col)
-    good = tagged.where(F.col(reason_col).isNull()).drop(reason_col)
-    bad = tagged.where(F.col(reason_col).isNotNull())
-    return good, bad

@@ -1,54 +1,23 @@
-"""Order-dependent operators that stay balanced under skew.
+"""The previous row of a group, without holding a group in one task.
 
 ``Window.partitionBy(group)`` sends a whole group to one task, so one user with
-a third of all rows would stall the job. Both operators here instead
-range-partition on the *full* order key (group first, then order columns):
-Spark samples the keys, so a large group is cut into several consecutive
-ranges. Work is done inside each range with a window over the range id, and
-the seams between ranges are fixed with one summary row per range (the table
-of summaries is bounded by the number of partitions, hence safe to broadcast).
-
-The range id is taken from ``spark_partition_id()`` right after the range
-shuffle and pinned by writing the keyed rows as a Parquet table in the shared
-checkpoint folder: the range partitioner samples with a seed tied to the RDD,
-so two evaluations of the same range shuffle may cut at different keys. Read
-back, the id is plain data that the per-row branch and the per-range summary
-branch share, and a lost executor re-reads the table instead of re-sampling.
-(One write; an eager ``checkpoint()`` would compute its input twice.)
-
-``running_sum_by_day`` covers the bounded case of one row per calendar day:
-blocks are calendar months, so no sampling or lineage cut is needed.
+a third of all rows would stall the job. Here the group is cut by a bucket, a
+monotone function of the first order expression (by default that expression
+itself, say the start date). ``lag`` runs inside (group, bucket); one summary
+row per (group, bucket), its last row, is put in front of the group's next
+bucket and serves that bucket's first row. The summaries are ordered per group,
+at most one row per group and bucket. One plan at every size, no job while the
+query is built, nothing written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subledger.session import scratch_path
-
-_K, _PID = "_seq_key", "_seq_pid"
-
-
-def _by_range(df: DataFrame, key: Column, num_partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    path = scratch_path(spark, "ranged")
-    # The input is read twice (key sampling, then the shuffle): keep it for
-    # the duration of the write only.
-    keyed = df.withColumn(_K, key).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ranged = keyed.repartitionByRange(num_partitions, _K) if num_partitions else keyed.repartitionByRange(_K)
-        ranged.withColumn(_PID, F.spark_partition_id()).write.mode("overwrite").parquet(path)
-    finally:
-        keyed.unpersist()
-    return spark.read.parquet(path)
-
-
-# Largest group that one task may hold in a plain window (rows).
-MAX_GROUP_ROWS = 2_000_000
+_BUCKET, _KEY, _VALUES, _ROW, _PREV, _MORE = "_seq_bucket", "_seq_key", "_seq_values", "_seq_row", "_seq_prev", "_seq_more"
 
 
 def prev_in_order(
@@ -57,94 +26,31 @@ def prev_in_order(
     order: Sequence[Column],
     value_cols: Sequence[str],
     prefix: str = "prev_",
-    num_partitions: int | None = None,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Add ``prefix + v`` for each value column: its value on the immediately
     previous row of the same group under ``order`` (ascending expressions; make
     them total with a unique tie-breaker), null on a group's first row.
 
-    Equivalent to ``lag(v) OVER (PARTITION BY group ORDER BY order)``. The size
-    of the largest group is measured first (one partial aggregation, a single
-    number to the driver): when every group fits ``max_group_rows`` that plain
-    window is used; otherwise the range-split plan below, which cuts hot
-    groups across tasks. ``max_group_rows=None`` always uses the range plan.
+    Equal to ``lag(v) OVER (PARTITION BY group ORDER BY order)``. ``bucket`` must
+    never decrease along the order.
     """
-    if max_group_rows is not None:
-        biggest = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0]
-        if biggest is None or biggest <= max_group_rows:
-            w = Window.partitionBy(*group_cols).orderBy(*order)
-            return df.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in value_cols])
-    return _prev_by_range(df, group_cols, order, value_cols, prefix, num_partitions)
-
-
-def _prev_by_range(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    order: Sequence[Column],
-    value_cols: Sequence[str],
-    prefix: str,
-    num_partitions: int | None,
-) -> DataFrame:
-    cols = df.columns
-    groups = [F.col(g) for g in group_cols]
-    key = F.struct(*[g.alias(f"g{i}") for i, g in enumerate(groups)], *[o.alias(f"o{i}") for i, o in enumerate(order)])
-    carry = F.struct(
-        F.struct(*[g.alias(f"g{i}") for i, g in enumerate(groups)]).alias("grp"),
-        *[F.col(v).alias(v) for v in value_cols],
-    )
-    ranged = _by_range(df, key, num_partitions)
-    # Last row of every range (partial aggregation inside each range: one row
-    # per partition), then the last row of the nearest earlier non-empty range.
-    tails = ranged.groupBy(_PID).agg(F.max_by(carry, _K).alias("_tail"))
-    seams = tails.select(_PID, F.lag("_tail").over(Window.orderBy(_PID)).alias("_seam"))
-    w = Window.partitionBy(_PID).orderBy(_K)
-    local = ranged.select(*cols, _PID, carry.alias("_cur"), F.lag(carry).over(w).alias("_prev"))
-    joined = local.join(F.broadcast(seams), _PID, "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_seam"))
-    same_group = prev["grp"].eqNullSafe(F.col("_cur")["grp"])
-    return joined.select(*cols, *[F.when(same_group, prev[v]).alias(prefix + v) for v in value_cols])
-
-
-def running_sum(
-    df: DataFrame,
-    order: Sequence[Column],
-    value_col: str,
-    out_col: str,
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Add ``out_col`` = sum of ``value_col`` over all rows up to and including
-    this one under ``order`` (a total order), without a single-partition window."""
-    cols = df.columns
-    key = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    ranged = _by_range(df, key, num_partitions)
-    w = Window.partitionBy(_PID).orderBy(_K).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select(*cols, _PID, F.sum(value_col).over(w).alias("_local"))
-    totals = ranged.groupBy(_PID).agg(F.sum(value_col).alias("_tot"))
-    offsets = totals.select(
-        _PID,
-        F.sum("_tot").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)).alias("_off"),
+    cols, groups = df.columns, list(group_cols)
+    rows = df.select(
+        "*",
+        (order[0] if bucket is None else bucket).alias(_BUCKET),
+        F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias(_KEY),
+        F.struct(*[F.col(v).alias(v) for v in value_cols]).alias(_VALUES),
+        F.lit(True).alias(_ROW),
     )
-    joined = local.join(F.broadcast(offsets), _PID, "left")
-    zero = F.lit(0).cast(df.schema[value_col].dataType)
-    return joined.select(*cols, (F.col("_local") + F.coalesce(F.col("_off"), zero)).alias(out_col))
-
-
-def running_sum_by_day(df: DataFrame, date_col: str, value_col: str, out_col: str) -> DataFrame:
-    """Running sum over a table with one row per day (ordered by date).
-
-    Within-month sums run in parallel per month; month totals are prefixed
-    over the month table (twelve rows a year) and added back.
-    """
-    cols = df.columns
-    month = F.trunc(F.col(date_col), "month")
-    blocked = df.withColumn("_month", month)
-    within = Window.partitionBy("_month").orderBy(date_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = blocked.select(*cols, "_month", F.sum(value_col).over(within).alias("_local"))
-    totals = blocked.groupBy("_month").agg(F.sum(value_col).alias("_tot"))
-    before = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_month", F.sum("_tot").over(before).alias("_off"))
-    zero = F.lit(0).cast(df.schema[value_col].dataType)
-    return local.join(F.broadcast(offsets), "_month", "left").select(
-        *cols, (F.col("_local") + F.coalesce(F.col("_off"), zero)).alias(out_col)
+    along = Window.partitionBy(*groups).orderBy(_BUCKET)
+    tails = rows.groupBy(*groups, _BUCKET).agg(F.max_by(_VALUES, _KEY).alias(_VALUES))
+    seams = (
+        tails.select(*groups, _VALUES, F.lead(_BUCKET).over(along).alias(_BUCKET), F.lead(F.lit(True)).over(along).alias(_MORE))
+        .where(_MORE)
+        .drop(_MORE)
+        .withColumn(_ROW, F.lit(False))
     )
+    inside = Window.partitionBy(*groups, _BUCKET).orderBy(_ROW, _KEY)
+    joined = rows.unionByName(seams, allowMissingColumns=True).withColumn(_PREV, F.lag(_VALUES).over(inside)).where(_ROW)
+    return joined.select(*cols, *[F.col(_PREV)[v].alias(prefix + v) for v in value_cols])

@@ -26,16 +26,22 @@ FACT_TABLES = (
 DIM_TABLES = ("dim_date", "dim_channel", "dim_plan", "dim_user")
 
 
-def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, db: str = "analytics") -> None:
-    """Write each table to ``root/<name>`` and (re)register it as ``db.<name>``."""
+def register(spark: SparkSession, paths: Mapping[str, str], db: str = "analytics") -> None:
+    """(Re)register written tables, name -> path, as external tables of ``db``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
+    for name, path in paths.items():
         spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
         spark.sql(f"CREATE TABLE {db}.{name} USING parquet LOCATION '{path}'")
 
 
+def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, db: str = "analytics") -> None:
+    """Write each table to ``root/<name>`` and (re)register it as ``db.<name>``."""
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in tables}
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(paths[name])
+    register(spark, paths, db)
+
+
 def row_counts(spark: SparkSession, names, db: str = "analytics") -> DataFrame:
     """(table_name, row_count) for catalog tables, one SQL statement."""
     parts = [f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {db}.{n}" for n in names]

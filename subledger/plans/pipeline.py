@@ -14,14 +14,12 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subledger.plans import catalog, dims, gold, silver, views
 from subledger.sources import bronze
-from subledger.sources.lines import numbered_lines
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -47,8 +45,8 @@ class Pipeline:
     """One run over ``raw`` inputs (paths of the events NDJSON, subscriptions
     JSON and marketing CSV) into ``out_dir``/{bronze,silver,quarantine,gold}."""
 
-    def __init__(self, spark: SparkSession, raw: dict[str, str], out_dir: str, db: str = "analytics"):
-        self.spark, self.raw, self.db = spark, raw, db
+    def __init__(self, spark: SparkSession, raw: dict[str, str], out_dir: str, db: str = "analytics", subscriptions_layout: str = "array"):
+        self.spark, self.raw, self.db, self.layout = spark, raw, db, subscriptions_layout
         root = out_dir.rstrip("/")
         self.root = root
         self.bronze, self.silver = f"{root}/bronze", f"{root}/silver"
@@ -72,19 +70,18 @@ class Pipeline:
 
     # -- bronze
     def bronze_events(self) -> tuple[int, int]:
-        lines = numbered_lines(self.spark, self.raw["events"]).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            good, bad = bronze.parse_event_lines(lines)
-            return (
-                write_counted(good, f"{self.bronze}/events_raw"),
-                write_counted(bad, f"{self.quarantine}/events_bad_rows"),
-            )
-        finally:
-            lines.unpersist()
+        good, bad = bronze.ingest_events(self.spark, self.raw["events"])
+        return (
+            write_counted(good, f"{self.bronze}/events_raw"),
+            write_counted(bad, f"{self.quarantine}/events_bad_rows"),
+        )
 
     def bronze_subscriptions(self) -> tuple[int, int]:
-        df = bronze.ingest_subscriptions(self.spark, self.raw["subscriptions"])
-        return write_counted(df, f"{self.bronze}/subscriptions_raw"), 0
+        good, bad = bronze.ingest_subscriptions(self.spark, self.raw["subscriptions"], self.layout)
+        return (
+            write_counted(good, f"{self.bronze}/subscriptions_raw"),
+            write_counted(bad, f"{self.quarantine}/subscriptions_bad_rows"),
+        )
 
     def bronze_marketing(self) -> tuple[int, int]:
         good, bad = bronze.ingest_marketing(self.spark, self.raw["marketing"])
@@ -128,10 +125,7 @@ class Pipeline:
         return self._gold("fact_ltv_cac_ratio", df)
 
     def _load_facts(self) -> tuple[int, int]:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db}")
-        for name in catalog.FACT_TABLES:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.db}.{name}")
-            self.spark.sql(f"CREATE TABLE {self.db}.{name} USING parquet LOCATION '{self.gold}/{name}'")
+        catalog.register(self.spark, {n: f"{self.gold}/{n}" for n in catalog.FACT_TABLES}, self.db)
         total = catalog.row_counts(self.spark, catalog.FACT_TABLES, self.db).agg(F.sum("row_count")).first()[0]
         return int(total or 0), 0
 
@@ -155,6 +149,15 @@ class Pipeline:
 
     # -- run
     def run_all(self) -> DataFrame:
+        """All steps in order; the audit is written whether or not one fails."""
+        try:
+            self._steps()
+        finally:
+            audit = self.spark.createDataFrame(self.audit, AUDIT_SCHEMA)
+            audit.write.mode("append").parquet(f"{self.root}/pipeline_runs")
+        return audit
+
+    def _steps(self) -> None:
         self._step("bronze_events", self.bronze_events)
         self._step("bronze_subscriptions", self.bronze_subscriptions)
         self._step("bronze_marketing", self.bronze_marketing)
@@ -169,17 +172,16 @@ class Pipeline:
                 silver.clean_subscriptions, "subscriptions_raw", "subscriptions_clean", "subscriptions_rejected_silver"
             ),
         )
-        for name, df in self.gold_facts().items():
-            self._step(f"gold_{name}", lambda name=name, df=df: self._gold(name, df))
+        for name in (n for n in catalog.FACT_TABLES if n != "fact_ltv_cac_ratio"):
+            self._step(f"gold_{name}", lambda name=name: self._gold(name, self.gold_facts()[name]))
         self._step("gold_fact_ltv_cac_ratio", self._ratio)
         self._step("gold_load_facts", self._load_facts)
         self._step("gold_build_dims", self._dims)
         self._step("gold_build_views", self._views)
-        audit = self.spark.createDataFrame(self.audit, AUDIT_SCHEMA)
-        audit.write.mode("append").parquet(f"{self.root}/pipeline_runs")
-        return audit
 
 
-def run_all(spark: SparkSession, raw: dict[str, str], out_dir: str, db: str = "analytics") -> DataFrame:
-    """Run the whole pipeline; returns this run's audit rows."""
-    return Pipeline(spark, raw, out_dir, db).run_all()
+def run_all(spark: SparkSession, raw: dict[str, str], out_dir: str, db: str = "analytics", subscriptions_layout: str = "array") -> DataFrame:
+    """Run the whole pipeline; returns this run's audit rows (also appended to
+    ``pipeline_runs``, with the failed step when one fails). ``subscriptions_layout``
+    is "array" or "ndjson"."""
+    return Pipeline(spark, raw, out_dir, db, subscriptions_layout).run_all()

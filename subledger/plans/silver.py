@@ -206,3 +206,12 @@ def clean_subscriptions(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
         ]
     )
     return clean, rejected_rules.unionByName(overlaps)
+
+
+def flag_counts(clean: DataFrame, rejected: DataFrame) -> DataFrame:
+    """One row: overlaps among the rejected, reactivations among the clean."""
+    zero = F.lit(0).cast("bigint")
+    each = rejected.select((F.col(REASON) == "overlap").cast("bigint").alias("o"), zero.alias("r")).unionByName(
+        clean.select(zero.alias("o"), F.col("reactivated").cast("bigint").alias("r"))
+    )
+    return each.agg(F.coalesce(F.sum("o"), zero).alias("overlaps"), F.coalesce(F.sum("r"), zero).alias("reactivated"))

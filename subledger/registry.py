@@ -85,12 +85,25 @@ def q_bronze_events(spark, d):
 
 def q_bronze_events_bad_rows(spark, d):
     _, bad = bronze.ingest_events(spark, _raw_events(spark, d))
-    return bad.select("_source_line_no", "_error")
+    return bad.select("_source_line_no", "_raw_line", "_error")
 
 
 def q_bronze_subscriptions(spark, d):
     path = raw_files.write_subscriptions_json(spark, d, scratch_path(spark, "raw-subscriptions"))
-    return bronze.ingest_subscriptions(spark, path).select(*SUBSCRIPTION_FIELDS)
+    return bronze.ingest_subscriptions(spark, path)[0].select(*SUBSCRIPTION_FIELDS)
+
+
+def _raw_subscription_lines(spark, d):
+    return raw_files.write_subscriptions_ndjson(spark, d, scratch_path(spark, "raw-subscription-lines"))
+
+
+def q_bronze_subscriptions_ndjson(spark, d):
+    return bronze.ingest_subscriptions(spark, _raw_subscription_lines(spark, d), "ndjson")[0].select(*SUBSCRIPTION_FIELDS)
+
+
+def q_bronze_subscriptions_bad_rows(spark, d):
+    bad = bronze.ingest_subscriptions(spark, _raw_subscription_lines(spark, d), "ndjson")[1]
+    return bad.select("_raw_line", "_error")
 
 
 def q_bronze_marketing(spark, d):
@@ -98,6 +111,11 @@ def q_bronze_marketing(spark, d):
     return bronze.ingest_marketing(spark, path)[0]
 
 
+def q_bronze_marketing_bad_rows(spark, d):
+    path = raw_files.write_marketing_csv(spark, d, scratch_path(spark, "raw-marketing"))
+    return bronze.ingest_marketing(spark, path)[1].select("date", "channel", "spend", "_raw_line", "_error")
+
+
 # ------------------------------------------------------------------ silver
 
 
@@ -132,6 +150,12 @@ def q_silver_subscriptions_rejected(spark, d):
     return bad.select("subscription_id", "user_id", "price", "start_date", "end_date", "gap_days", "reactivated", "reject_reason")
 
 
+def q_subscription_flag_counts(spark, d):
+    """How many subscriptions overlap their predecessor, and how many of the
+    clean ones are reactivations."""
+    return silver.flag_counts(*silver.clean_subscriptions(adapters.bronze_subscriptions(spark, d)))
+
+
 # -------------------------------------------------------------------- gold
 
 
@@ -190,34 +214,37 @@ def q_dim_user(spark, d):
 # ------------------------------------------------------------------- views
 
 
-def q_vw_daily_kpis(spark, d):
-    ev = _events(spark, d)
-    dd = dims.dim_date(ev, _marketing(spark, d), _subscriptions(spark, d))
-    return views.vw_daily_kpis(gold.daily_active_users(ev), dd, gold.daily_revenue_gross(ev), gold.daily_revenue_net(ev))
-
-
-def q_vw_cac_by_channel(spark, d):
-    mk = _marketing(spark, d)
-    return views.vw_cac_by_channel(gold.cac_by_channel(_events(spark, d), mk), dims.dim_channel(mk))
+def _dim_tables(spark, d) -> dict[str, DataFrame]:
+    ev, mk, subs = _events(spark, d), _marketing(spark, d), _subscriptions(spark, d)
+    return {
+        "dim_date": dims.dim_date(ev, mk, subs),
+        "dim_channel": dims.dim_channel(mk),
+        "dim_plan": dims.dim_plan(subs),
+        "dim_user": dims.dim_user(ev),
+    }
 
 
-def q_vw_mrr_daily(spark, d):
-    subs = _subscriptions(spark, d)
-    dd = dims.dim_date(_events(spark, d), _marketing(spark, d), subs)
-    return views.vw_mrr_daily(gold.mrr_daily(subs), dd)
+def _view(name: str) -> Query:
+    """The view as a DataFrame over the facts and dimensions."""
 
+    def q(spark, d):
+        return views.VIEWS[name].frame({**_facts(spark, d), **_dim_tables(spark, d)})
 
-def q_vw_user_ltv(spark, d):
-    ev = _events(spark, d)
-    return views.vw_user_ltv(gold.ltv_per_user(ev), dims.dim_user(ev))
+    return q
 
 
-def q_vw_weekly_retention(spark, d):
-    return views.vw_weekly_retention(gold.weekly_cohort_retention(_events(spark, d)))
+def _catalog_view(name: str) -> Query:
+    """The published view, read with SQL from a database of its own."""
 
+    def q(spark, d):
+        db, view = f"subledger_{name}", views.VIEWS[name]
+        needed = {view.base, *(x.table for x in view.lookups)}
+        tables = {k: v for k, v in {**_facts(spark, d), **_dim_tables(spark, d)}.items() if k in needed}
+        catalog.publish(spark, tables, scratch_path(spark, name), db)
+        spark.sql(f"CREATE OR REPLACE VIEW {db}.{name} AS {view.statement(db)}")
+        return spark.sql(f"SELECT * FROM {db}.{name}")
 
-def q_vw_ltv_cac_ratio(spark, d):
-    return views.vw_ltv_cac_ratio(q_ltv_cac_ratio(spark, d))
+    return q
 
 
 # ----------------------------------------------------------------- catalog
@@ -240,20 +267,13 @@ def _facts(spark, d) -> dict[str, DataFrame]:
 
 def q_fact_row_counts(spark, d):
     """Publish the 8 facts as catalog tables; their row counts."""
-    return catalog.load_facts(spark, _facts(spark, d), scratch_path(spark, "facts"))
+    return catalog.load_facts(spark, _facts(spark, d), scratch_path(spark, "facts"), "subledger_fact_counts")
 
 
 def q_dim_row_counts(spark, d):
     """Publish the 4 dimensions as catalog tables; one row of counts."""
-    ev, mk, subs = _events(spark, d), _marketing(spark, d), _subscriptions(spark, d)
-    tables = {
-        "dim_date": dims.dim_date(ev, mk, subs),
-        "dim_channel": dims.dim_channel(mk),
-        "dim_plan": dims.dim_plan(subs),
-        "dim_user": dims.dim_user(ev),
-    }
-    catalog.publish(spark, tables, scratch_path(spark, "dims"))
-    return catalog.dim_row_counts(spark)
+    catalog.publish(spark, _dim_tables(spark, d), scratch_path(spark, "dims"), "subledger_dim_counts")
+    return catalog.dim_row_counts(spark, "subledger_dim_counts")
 
 
 def q_pipeline_runs(spark, d):
@@ -350,13 +370,17 @@ QUERIES: dict[str, Query] = {
     "bronze_events": q_bronze_events,
     "bronze_events_bad_rows": q_bronze_events_bad_rows,
     "bronze_subscriptions": q_bronze_subscriptions,
+    "bronze_subscriptions_ndjson": q_bronze_subscriptions_ndjson,
+    "bronze_subscriptions_bad_rows": q_bronze_subscriptions_bad_rows,
     "bronze_marketing": q_bronze_marketing,
+    "bronze_marketing_bad_rows": q_bronze_marketing_bad_rows,
     "silver_events": q_silver_events,
     "silver_events_rejected": q_silver_events_rejected,
     "silver_marketing": q_silver_marketing,
     "silver_marketing_rejected": q_silver_marketing_rejected,
     "silver_subscriptions": q_silver_subscriptions,
     "silver_subscriptions_rejected": q_silver_subscriptions_rejected,
+    "subscription_flag_counts": q_subscription_flag_counts,
     "daily_active_users": q_daily_active_users,
     "daily_revenue_gross": q_daily_revenue_gross,
     "daily_revenue_net": q_daily_revenue_net,
@@ -369,12 +393,8 @@ QUERIES: dict[str, Query] = {
     "dim_channel": q_dim_channel,
     "dim_plan": q_dim_plan,
     "dim_user": q_dim_user,
-    "vw_daily_kpis": q_vw_daily_kpis,
-    "vw_cac_by_channel": q_vw_cac_by_channel,
-    "vw_mrr_daily": q_vw_mrr_daily,
-    "vw_user_ltv": q_vw_user_ltv,
-    "vw_weekly_retention": q_vw_weekly_retention,
-    "vw_ltv_cac_ratio": q_vw_ltv_cac_ratio,
+    **{name: _view(name) for name in views.VIEWS},
+    **{f"catalog_{name}": _catalog_view(name) for name in views.VIEWS},
     "fact_row_counts": q_fact_row_counts,
     "dim_row_counts": q_dim_row_counts,
     "pipeline_runs": q_pipeline_runs,
@@ -402,16 +422,15 @@ _TYPED_SUBS = """
 _EV_TYPE = """CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'login'
                           WHEN 'error' THEN 'refund' ELSE event_type END"""
 
-# Raw NDJSON layout (see raw_files.write_events_ndjson): file = id mod n,
+# Raw NDJSON layout (see raw_files.write_events_ndjson): file = id div n,
 # lines ordered by (id, kind); kinds 0 blank, 1 event, 2 broken, 3 duplicate-key.
 _EVENT_LINES = f"""
-    n AS (SELECT greatest(1, CAST(ceil(COUNT(*) / {raw_files.LINES_PER_FILE}.0) AS BIGINT)) AS n FROM events),
     l AS (SELECT event_id, 0 AS kind FROM events WHERE event_id % 50 = 0
           UNION ALL SELECT event_id, 1 FROM events
           UNION ALL SELECT event_id, 2 FROM events WHERE event_id % 83 = 0
           UNION ALL SELECT event_id, 3 FROM events WHERE event_id % 97 = 0),
     ln AS (SELECT l.event_id, kind,
-             ROW_NUMBER() OVER (PARTITION BY l.event_id % n.n ORDER BY l.event_id, kind) AS line_no FROM l, n)"""
+             ROW_NUMBER() OVER (PARTITION BY l.event_id // {raw_files.KEYS_PER_FILE} ORDER BY l.event_id, kind) AS line_no FROM l)"""
 
 _SUB_STRINGS = """
     SELECT CAST(k AS VARCHAR) AS subscription_id, CAST(o_custkey AS VARCHAR) AS user_id, o_orderpriority AS plan_id,
@@ -454,7 +473,9 @@ ORACLE: dict[str, str] = {
         FROM events e JOIN ln ON ln.event_id = e.event_id AND ln.kind = 3""",
     "bronze_events_bad_rows": f"""
         WITH {_EVENT_LINES}
-        SELECT line_no AS _source_line_no, 'invalid_json' AS _error FROM ln WHERE kind = 2""",
+        SELECT line_no AS _source_line_no, '{{"event_id": ' || CAST(event_id AS VARCHAR) || ', "broken"' AS _raw_line,
+          'invalid_json' AS _error
+        FROM ln WHERE kind = 2""",
     "bronze_subscriptions": f"""
         WITH s AS ({_SUB_STRINGS})
         SELECT subscription_id, user_id, plan_id, price, currency, start_date, end_date, status, created_at FROM s
@@ -464,10 +485,20 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'x' || subscription_id, '  ', plan_id, price, currency, start_date, end_date, status, created_at
         FROM s WHERE k % 97 = 0""",
+    "bronze_subscriptions_bad_rows": f"""
+        WITH s AS ({_SUB_STRINGS})
+        SELECT '{{"subscription_id": "' || subscription_id || '"' AS _raw_line, 'invalid_json' AS _error FROM s WHERE k % 83 = 0
+        UNION ALL SELECT subscription_id, 'invalid_json' FROM s WHERE k % 89 = 0
+        UNION ALL SELECT 'null', 'not_one_object' FROM s WHERE k % 79 = 0""",
     "bronze_marketing": f"""
         WITH m AS ({_MK_STRINGS})
         SELECT date, channel, spend FROM m
-        UNION ALL SELECT date, channel, NULL FROM m WHERE o_orderkey % 331 = 0""",
+        UNION ALL SELECT date, channel, NULL FROM m WHERE o_orderkey % 331 = 0
+        UNION ALL SELECT date, 'a "b", c' || chr(10) || 'd', spend FROM m WHERE o_orderkey % 307 = 0""",
+    "bronze_marketing_bad_rows": f"""
+        WITH m AS ({_MK_STRINGS})
+        SELECT date, channel, spend, date || ',' || channel || ',' || spend || ',extra' AS _raw_line, 'too_many_fields' AS _error
+        FROM m WHERE o_orderkey % 499 = 0""",
     "fact_row_counts": with_ctes(
         " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {c}" for t, c in _FACT_CTES.items())
     ),
@@ -505,6 +536,9 @@ ORACLE: dict[str, str] = {
                ELSE CAST(start_date AS VARCHAR) END,
           CAST(end_date AS VARCHAR), NULL, NULL, 'missing_user_id'
         FROM sraw WHERE o_orderkey % 97 = 0"""),
+    "subscription_flag_counts": with_ctes("""
+        SELECT COUNT(*) FILTER (WHERE is_overlap) AS overlaps, COUNT(*) FILTER (WHERE reactivated AND NOT is_overlap) AS reactivated
+        FROM sflag"""),
     "daily_active_users": with_ctes("SELECT * FROM dau"),
     "daily_revenue_gross": with_ctes("SELECT * FROM gross"),
     "daily_revenue_net": with_ctes("SELECT * FROM net"),
@@ -585,3 +619,5 @@ ORACLE: dict[str, str] = {
           CASE WHEN user_id % 3 = 0 THEN NULL ELSE value / CAST(user_id % 3 AS DOUBLE) END AS ratio
         FROM events""",
 }
+ORACLE.update({f"catalog_{name}": ORACLE[name] for name in views.VIEWS})
+ORACLE["bronze_subscriptions_ndjson"] = ORACLE["bronze_subscriptions"]

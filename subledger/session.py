@@ -16,7 +16,8 @@ _CKPT_KEY = "spark.checkpoint.dir"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only when unset."""
+    """The shared checkpoint folder. Where the session names none, a local session
+    (one process, one disk) gets a folder of its own; a cluster is an error."""
     root = spark.conf.get(_CKPT_KEY, None)
     sc = None
     try:
@@ -27,6 +28,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001  (no JVM context, e.g. a remote session)
         sc = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local[") and master != "local":
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="subledger-ckpt-")
         spark.conf.set(_CKPT_KEY, root)
     if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():

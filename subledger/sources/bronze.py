@@ -2,7 +2,8 @@
 
 * events: NDJSON, one object per line, exact line numbers, bad lines
   quarantined (strict JSON: one object, nothing before or after it)
-* subscriptions: JSON array file(s) (or NDJSON), all values as text
+* subscriptions: JSON array files or NDJSON, all values as text; malformed
+  files, lines and elements quarantined with their path
 * marketing: CSV with header, all values as text; rows with too many fields
   quarantined
 """
@@ -13,10 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subledger.schemas import EVENT_FIELDS
+from subledger.schemas import EVENT_FIELDS, SUBSCRIPTION_FIELDS
 from subledger.sources.lines import numbered_lines
 
-RAW_LINE_CHARS = 3000
+#: Length of the short form of a quarantined line (fixed value).
+HEAD_CHARS = 3000
 
 
 def _strip(c: Column) -> Column:
@@ -24,13 +26,40 @@ def _strip(c: Column) -> Column:
 
 
 def _last_key_wins(m: Column) -> Column:
-    """Map with duplicate keys collapsed to their last occurrence."""
+    """Map with duplicate keys collapsed to their last occurrence (the keys are
+    compared pairwise only where some key occurs twice)."""
     es = F.map_entries(m)
     keep = F.filter(
         es,
         lambda e, i: ~F.exists(F.slice(es, i + 2, F.greatest(F.size(es), F.lit(1))), lambda x: x["key"] == e["key"]),
     )
-    return F.map_from_entries(keep)
+    repeated = F.size(F.array_distinct(F.map_keys(m))) < F.size(m)
+    return F.when(repeated, F.map_from_entries(keep)).otherwise(m)
+
+
+def _objects(t: Column) -> Column:
+    """Text as an array of objects: one if it is exactly one JSON object."""
+    options = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "false"}
+    return F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<map<string,string>>", options)
+
+
+def _one_object(arr: str) -> Column:
+    ok = F.col(arr).isNotNull() & (F.size(arr) == 1) & F.col(arr)[0].isNotNull()
+    return F.coalesce(ok, F.lit(False))
+
+
+def _fields(m: str, names) -> list[Column]:
+    """The known fields of a map as columns, every other key in ``extras``."""
+    known = F.array(*[F.lit(k) for k in names])
+    return [F.col(m)[k].alias(k) for k in names] + [F.map_filter(m, lambda k, v: ~F.array_contains(known, k)).alias("extras")]
+
+
+def _quarantined(line: str, arr: str) -> list[Column]:
+    return [
+        F.col(line).alias("_raw_line"),
+        F.substring(line, 1, HEAD_CHARS).alias("_raw_head"),
+        F.when(F.col(arr).isNull(), F.lit("invalid_json")).otherwise(F.lit("not_one_object")).alias("_error"),
+    ]
 
 
 def parse_event_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -42,34 +71,16 @@ def parse_event_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     the others). Known fields become columns, every other key goes to
     ``extras``; nested values are kept as JSON text.
     """
+    return _split_lines(lines, EVENT_FIELDS)
+
+
+def _split_lines(lines: DataFrame, names) -> tuple[DataFrame, DataFrame]:
     t = _strip(F.col("value"))
-    parsed = lines.select(
-        "_source_file",
-        "_source_line_no",
-        t.alias("_line"),
-        F.from_json(
-            F.concat(F.lit("["), t, F.lit("]")),
-            "array<map<string,string>>",
-            {"allowSingleQuotes": "false", "allowUnquotedControlChars": "false"},
-        ).alias("_arr"),
-    ).where(F.col("_line") != "")
-    ok = F.col("_arr").isNotNull() & (F.size("_arr") == 1) & F.col("_arr")[0].isNotNull()
-    tagged = parsed.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    where = ["_source_file", "_source_line_no"]
+    parsed = lines.select(*where, t.alias("_line"), _objects(t).alias("_arr")).where(F.col("_line") != "")
+    tagged = parsed.withColumn("_ok", _one_object("_arr"))
     good = tagged.where("_ok").withColumn("_m", _last_key_wins(F.col("_arr")[0]))
-    known = F.array(*[F.lit(k) for k in EVENT_FIELDS])
-    events = good.select(
-        *[F.col("_m")[k].alias(k) for k in EVENT_FIELDS],
-        F.map_filter("_m", lambda k, v: ~F.array_contains(known, k)).alias("extras"),
-        "_source_file",
-        "_source_line_no",
-    )
-    bad = tagged.where(~F.col("_ok")).select(
-        "_source_file",
-        "_source_line_no",
-        F.substring("_line", 1, RAW_LINE_CHARS).alias("_raw_line"),
-        F.when(F.col("_arr").isNull(), F.lit("invalid_json")).otherwise(F.lit("not_one_object")).alias("_error"),
-    )
-    return events, bad
+    return good.select(*_fields("_m", names), *where), tagged.where(~F.col("_ok")).select(*where, *_quarantined("_line", "_arr"))
 
 
 def ingest_events(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -77,61 +88,74 @@ def ingest_events(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return parse_event_lines(numbered_lines(spark, path))
 
 
-def _as_text(df: DataFrame) -> DataFrame:
-    """Every column as string; nested values as JSON text."""
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            out.append(F.to_json(c).alias(f.name))
-        else:
-            out.append(c.cast("string").alias(f.name))
-    return df.select(*out)
+def ingest_subscriptions(spark: SparkSession, path: str, layout: str = "array") -> tuple[DataFrame, DataFrame]:
+    """Subscription files -> (subscriptions_raw, subscriptions_bad_rows).
 
-
-def ingest_subscriptions(spark: SparkSession, path: str, multi_line: bool = True, schema: T.StructType | None = None) -> DataFrame:
-    """JSON array file(s) (``multi_line=True``) or NDJSON -> strings.
-
-    Keys are the union over all records (schema inference, primitives kept as
-    text) unless ``schema`` is given. ``_source_row_no`` records input order
-    (the dedup tie-breaker). One JSON array file cannot be split, so each file
-    is read by one task; producers should write many files (or NDJSON).
-    Malformed records are dropped here (they carry no subscription id).
+    ``layout`` is "array" (every file one JSON array) or "ndjson" (one object per
+    line). Known fields become text columns, other keys go to ``extras``;
+    ``_source_row_no`` records input order (the dedup tie-breaker). A file that
+    is no JSON array, an element or a line that is no object goes to the bad
+    rows with its file, its text and its place; nothing else of the file is
+    lost. A JSON array file cannot be split, so each is read by one task;
+    producers should write many files, or NDJSON.
     """
-    reader = (
-        spark.read.option("multiLine", multi_line)
-        .option("primitivesAsString", True)
-        .option("mode", "PERMISSIVE")
-        .option("recursiveFileLookup", True)
+    if layout == "ndjson":
+        good, bad = _split_lines(numbered_lines(spark, path), SUBSCRIPTION_FIELDS)
+        place = F.col("_source_line_no").alias("_source_row_no")
+        return good.withColumn("_source_row_no", place), bad.withColumn("_source_row_no", place)
+    if layout != "array":
+        raise ValueError(f"layout must be 'array' or 'ndjson', not {layout!r}")
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    whole = files.select(
+        F.col("_metadata.file_path").alias("_source_file"),
+        _strip(F.col("value")).alias("_text"),
+        # Every element as its own JSON text first: a bad one does not spoil the rest.
+        F.from_json(_strip(F.col("value")), "array<string>", {"allowUnquotedControlChars": "false"}).alias("_elements"),
+    )
+    is_array = F.col("_elements").isNotNull() & F.startswith("_text", F.lit("["))
+    lost = whole.where(~is_array & (F.col("_text") != "")).select(
+        "_source_file", F.lit(0).cast("bigint").alias("_source_row_no"), F.col("_text").alias("_line"), F.lit(None).cast("array<map<string,string>>").alias("_arr")
+    )
+    each = (
+        whole.where(is_array)
+        .select("_source_file", F.posexplode("_elements").alias("_pos", "_line"))
+        .select("_source_file", (F.col("_pos") + 1).cast("bigint").alias("_source_row_no"), "_line", _objects(F.col("_line")).alias("_arr"))
+        .withColumn("_ok", _one_object("_arr"))
     )
-    df = reader.schema(schema).json(path) if schema is not None else reader.json(path)
-    if "_corrupt_record" in df.columns:
-        df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    return _as_text(df).withColumn("_source_row_no", F.monotonically_increasing_id())
+    good = each.where("_ok").withColumn("_m", _last_key_wins(F.col("_arr")[0]))
+    where = ["_source_file", "_source_row_no"]
+    bad = lost.unionByName(each.where(~F.col("_ok")).drop("_ok")).select(*where, *_quarantined("_line", "_arr"))
+    return good.select(*_fields("_m", SUBSCRIPTION_FIELDS), *where), bad
 
 
 def ingest_marketing(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """CSV with header -> (marketing_spend_raw, marketing_bad_rows).
 
-    Read as text (no type inference). A row with more fields than the header
-    is quarantined with its raw text; a short row is kept, padded with nulls.
+    Read as text (no type inference), quotes doubled inside quotes, line ends
+    allowed there. A row with more fields than the header is quarantined with
+    its raw text; a short row is kept, padded with nulls. All files must have
+    the columns of the first one in the same order, else the read fails.
     """
-    header = spark.read.option("header", True).option("recursiveFileLookup", True).csv(path).columns
+    quoting = {"escape": '"', "multiLine": "true"}
+    reader = spark.read.option("header", True).option("recursiveFileLookup", True).options(**quoting)
+    header = reader.csv(path).columns
     cols = [T.StructField(c, T.StringType()) for c in header]
     schema = T.StructType(cols + [T.StructField("_corrupt", T.StringType())])
     df = (
-        spark.read.option("header", True)
-        .option("recursiveFileLookup", True)
-        .option("mode", "PERMISSIVE")
+        reader.option("mode", "PERMISSIVE")
+        .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", "_corrupt")
         .schema(schema)
         .csv(path)
     )
     wide = ", ".join(f"c{i} string" for i in range(len(header) + 1))
-    too_long = F.from_csv(F.col("_corrupt"), wide)[f"c{len(header)}"].isNotNull()
+    too_long = F.from_csv(F.col("_corrupt"), wide, quoting)[f"c{len(header)}"].isNotNull()
     flagged = df.withColumn("_too_long", F.coalesce(too_long, F.lit(False)))
     good = flagged.where(~F.col("_too_long")).select(*header)
     bad = flagged.where("_too_long").select(
-        *header, F.substring("_corrupt", 1, RAW_LINE_CHARS).alias("_raw_line"), F.lit("too_many_fields").alias("_error")
+        *header,
+        F.col("_corrupt").alias("_raw_line"),
+        F.substring("_corrupt", 1, HEAD_CHARS).alias("_raw_head"),
+        F.lit("too_many_fields").alias("_error"),
     )
     return good, bad

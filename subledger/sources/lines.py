@@ -4,7 +4,8 @@ A text scan gives no line numbers, and a large file is read as several splits
 by different tasks. Each row gets ``monotonically_increasing_id()`` straight
 off the scan (consecutive inside a split), lines are counted per split, a
 running sum over the splits of each file gives every split's first line
-number, and the small per-split table is joined back. Blank lines keep their
+number, and the small per-split table is joined back (by broadcast where the
+planner finds it small). Blank lines keep their
 number.
 """
 
@@ -13,10 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A per-split table row is ~150 bytes; up to this many splits it is broadcast.
-MAX_BROADCAST_SPLITS = 200_000
-
-
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(_source_file, _source_line_no, value) for every line of the text
     file(s) at ``path``; numbering restarts in every file."""
@@ -38,10 +35,6 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
             F.coalesce(F.sum("_n").over(per_file), F.lit(0)).alias("_base"),
         )
     )
-    # Splits <= scan partitions + files (a split never spans partitions).
-    bound = raw.rdd.getNumPartitions() + len(raw.inputFiles())
-    if bound <= MAX_BROADCAST_SPLITS:
-        splits = F.broadcast(splits)
     joined = lines.join(splits, ["_source_file", "_block"])
     return joined.select(
         "_source_file",

@@ -2,34 +2,27 @@
 and the end-to-end pipeline): events NDJSON, subscriptions JSON arrays,
 marketing CSV.
 
-Files are written by Spark, one file per ``key mod n`` group with
-``n = ceil(rows / lines_per_file)``, lines sorted inside each file, so the
-layout (and hence every line number) is a pure function of the table and can
-be restated in SQL. Defects are planted at fixed key residues.
+Files are written by Spark, one file per ``key div KEYS_PER_FILE``, lines sorted
+inside each file, so the layout (and hence every line number) is a pure function
+of the keys and can be restated in SQL. Defects are planted at fixed key residues.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.schemas import MARKETING_FIELDS, SUBSCRIPTION_FIELDS
 from subledger.sources import adapters
 
-LINES_PER_FILE = 2_000_000
-
+KEYS_PER_FILE = 4_000
 
-def file_count(rows: int, lines_per_file: int = LINES_PER_FILE) -> int:
-    return max(1, math.ceil(rows / lines_per_file))
 
-
-def write_ordered_text(lines: DataFrame, path: str, n_files: int) -> str:
+def write_ordered_text(lines: DataFrame, path: str) -> str:
     """Write ``value`` lines grouped by ``_file`` (one file per value) and
     ordered by (``_o1``, ``_o2``) inside each file."""
     (
-        lines.repartition(n_files, "_file")
+        lines.repartition("_file")
         .sortWithinPartitions("_file", "_o1", "_o2")
         .select("value", "_file")
         .write.mode("overwrite")
@@ -39,17 +32,20 @@ def write_ordered_text(lines: DataFrame, path: str, n_files: int) -> str:
     return path
 
 
+def _file(key: Column, keys_per_file: int) -> Column:
+    return F.floor(key / keys_per_file).cast("bigint")
+
+
 def _lines(frame: DataFrame, file_key: Column, o1: Column, o2: int, value: Column) -> DataFrame:
     return frame.select(file_key.alias("_file"), o1.cast("bigint").alias("_o1"), F.lit(o2).alias("_o2"), value.alias("value"))
 
 
-def write_events_ndjson(spark: SparkSession, sf_dir: str, path: str, lines_per_file: int = LINES_PER_FILE) -> str:
+def write_events_ndjson(spark: SparkSession, sf_dir: str, path: str, keys_per_file: int = KEYS_PER_FILE) -> str:
     """One JSON object per event, plus planted defects:
     id%50=0 blank line before the event; id%83=0 truncated object after it;
     id%97=0 an extra object 'dup<id>' whose duplicate key event_type ends as
     'signup' (last key wins)."""
     ev = adapters.table(spark, sf_dir, "events")
-    n = file_count(ev.count(), lines_per_file)
     i, ts = F.col("event_id"), F.col("ts")
     ts_txt = ts.cast("string")
     stamp = F.when(i % 2 == 0, F.concat(F.regexp_replace(ts_txt, " ", "T"), F.lit("Z"))).otherwise(ts_txt)
@@ -64,7 +60,7 @@ def write_events_ndjson(spark: SparkSession, sf_dir: str, path: str, lines_per_f
             F.from_json("props", "map<string,int>").alias("props"),
         )
     )
-    key = i % n
+    key = _file(i, keys_per_file)
     dup = F.concat(
         F.lit('{"event_id":"dup'), i.cast("string"), F.lit('","event_type":"login","user_id":"'),
         F.col("user_id").cast("string"), F.lit('","timestamp":"'),
@@ -76,34 +72,53 @@ def write_events_ndjson(spark: SparkSession, sf_dir: str, path: str, lines_per_f
         .unionByName(_lines(ev.where(i % 83 == 0), key, i, 2, F.concat(F.lit('{"event_id": '), i.cast("string"), F.lit(', "broken"'))))
         .unionByName(_lines(ev.where(i % 97 == 0), key, i, 3, dup))
     )
-    return write_ordered_text(lines, path, n)
+    return write_ordered_text(lines, path)
 
 
-def write_subscriptions_json(spark: SparkSession, sf_dir: str, path: str, lines_per_file: int = LINES_PER_FILE) -> str:
+def write_subscriptions_json(spark: SparkSession, sf_dir: str, path: str, keys_per_file: int = KEYS_PER_FILE) -> str:
     """The subscription adapter's rows as JSON arrays, one array per file."""
     subs = adapters.bronze_subscriptions(spark, sf_dir)
-    n = file_count(subs.count(), lines_per_file)
-    key = (F.col("_source_row_no") % n).cast("int")
+    key = _file(F.col("_source_row_no"), 3 * keys_per_file)
     rows = subs.select(key.alias("_file"), F.col("_source_row_no").alias("_o1"), F.to_json(F.struct(*SUBSCRIPTION_FIELDS)).alias("obj"))
     # Comma before every record but the first of its file (one row per file).
     firsts = rows.groupBy("_file").agg(F.min("_o1").alias("_first"))
-    body = rows.join(F.broadcast(firsts), "_file").select(
+    body = rows.join(firsts, "_file").select(
         "_file", "_o1", F.lit(1).alias("_o2"),
         F.when(F.col("_o1") == F.col("_first"), F.col("obj")).otherwise(F.concat(F.lit(","), F.col("obj"))).alias("value"),
     )
     opening = firsts.select("_file", F.lit(-1).cast("bigint").alias("_o1"), F.lit(0).alias("_o2"), F.lit("[").alias("value"))
     closing = firsts.select("_file", F.lit(2**62).cast("bigint").alias("_o1"), F.lit(2).alias("_o2"), F.lit("]").alias("value"))
     lines = body.unionByName(opening).unionByName(closing)
-    return write_ordered_text(lines, path, n)
+    return write_ordered_text(lines, path)
+
 
+def write_subscriptions_ndjson(spark: SparkSession, sf_dir: str, path: str, keys_per_file: int = KEYS_PER_FILE) -> str:
+    """The subscription adapter's rows, one JSON object per line; by order key,
+    every 83rd adds a truncated object, every 89th a number, every 79th a null."""
+    subs = adapters.bronze_subscriptions(spark, sf_dir)
+    no = F.col("_source_row_no")
+    key, base = _file(no, 3 * keys_per_file), subs.where(no % 3 == 0).withColumn("k", (no / 3).cast("bigint"))
 
-def write_marketing_csv(spark: SparkSession, sf_dir: str, path: str, lines_per_file: int = LINES_PER_FILE) -> str:
+    def planted(step: int, kind: int, text: Column) -> DataFrame:
+        return _lines(base.where(F.col("k") % step == 0), key, no, kind, text)
+
+    sid = F.col("subscription_id")
+    lines = (
+        _lines(subs, key, no, 1, F.to_json(F.struct(*SUBSCRIPTION_FIELDS)))
+        .unionByName(planted(83, 2, F.concat(F.lit('{"subscription_id": "'), sid, F.lit('"'))))
+        .unionByName(planted(89, 3, sid))
+        .unionByName(planted(79, 4, F.lit("null")))
+    )
+    return write_ordered_text(lines, path)
+
+
+def write_marketing_csv(spark: SparkSession, sf_dir: str, path: str, keys_per_file: int = KEYS_PER_FILE) -> str:
     """The marketing adapter's rows as CSV (header in every file); every
     499th order key adds a row with an extra field, every 331st a row
-    without the spend field."""
+    without the spend field, every 307th one whose channel has quotes, a comma
+    and a line end in it."""
     rows = adapters.bronze_marketing(spark, sf_dir, keep_key=True)
-    n = file_count(rows.count(), lines_per_file)
-    key = (F.col("_k") % n).cast("int")
+    key = _file(F.col("_k"), keys_per_file)
     csv = F.concat_ws(",", *MARKETING_FIELDS)
     files = rows.select(key.alias("_file")).distinct()
     lines = (
@@ -111,15 +126,21 @@ def write_marketing_csv(spark: SparkSession, sf_dir: str, path: str, lines_per_f
         .unionByName(_lines(rows, key, F.col("_k"), 1, csv))
         .unionByName(_lines(rows.where(F.col("_k") % 499 == 0), key, F.col("_k"), 2, F.concat(csv, F.lit(",extra"))))
         .unionByName(_lines(rows.where(F.col("_k") % 331 == 0), key, F.col("_k"), 3, F.concat_ws(",", "date", "channel")))
+        .unionByName(
+            _lines(
+                rows.where(F.col("_k") % 307 == 0), key, F.col("_k"), 4,
+                F.concat_ws(",", F.col("date"), F.lit('"a ""b"", c\nd"'), F.col("spend")),
+            )
+        )
     )
-    return write_ordered_text(lines, path, n)
+    return write_ordered_text(lines, path)
 
 
-def write_raw_inputs(spark: SparkSession, sf_dir: str, root: str, lines_per_file: int = LINES_PER_FILE) -> dict[str, str]:
+def write_raw_inputs(spark: SparkSession, sf_dir: str, root: str, keys_per_file: int = KEYS_PER_FILE) -> dict[str, str]:
     """All three raw inputs under ``root``; returns their paths."""
     r = root.rstrip("/")
     return {
-        "events": write_events_ndjson(spark, sf_dir, f"{r}/events_ndjson", lines_per_file),
-        "subscriptions": write_subscriptions_json(spark, sf_dir, f"{r}/subscriptions_json", lines_per_file),
-        "marketing": write_marketing_csv(spark, sf_dir, f"{r}/marketing_csv", lines_per_file),
+        "events": write_events_ndjson(spark, sf_dir, f"{r}/events_ndjson", keys_per_file),
+        "subscriptions": write_subscriptions_json(spark, sf_dir, f"{r}/subscriptions_json", keys_per_file),
+        "marketing": write_marketing_csv(spark, sf_dir, f"{r}/marketing_csv", keys_per_file),
     }

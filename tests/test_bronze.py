@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from subledger.sources import bronze
 from subledger.sources.lines import numbered_lines
 
@@ -38,7 +40,7 @@ def test_ndjson_good_bad_blank_and_line_numbers(spark, tmp_dir):
     assert g["3"].extras == {"custom": '{"k":1}'}
     b = {r._source_line_no: r for r in bad.collect()}
     assert sorted(b) == [3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 15, 16]
-    assert len(b[16]._raw_line) == 3000
+    assert len(b[16]._raw_line) == 5000 and len(b[16]._raw_head) == 3000
 
 
 def test_line_numbers_across_splits_and_files(spark, tmp_dir):
@@ -65,12 +67,50 @@ def test_csv_too_long_quarantined_short_kept(spark, tmp_dir):
     assert [r._error for r in bad.collect()] == ["too_many_fields"]
 
 
+def test_csv_quotes_and_line_ends(spark, tmp_dir):
+    p = _write(tmp_dir, "m.csv", 'date,channel,spend\n2024-01-01,"a ""b"", c",5\n2024-01-02,"x\ny",6\n2024-01-03,"q, ""r""",7,extra\n')
+    good, bad = bronze.ingest_marketing(spark, p)
+    assert sorted((r.date, r.channel, r.spend) for r in good.collect()) == [("2024-01-01", 'a "b", c', "5"), ("2024-01-02", "x\ny", "6")]
+    assert [(r.date, r.channel) for r in bad.collect()] == [("2024-01-03", 'q, "r"')]
+
+
+def test_csv_with_another_header_fails_loudly(spark, tmp_dir):
+    _write(tmp_dir, "a.csv", "date,channel,spend\n2024-01-01,a,1\n")
+    p = _write(tmp_dir, "b.csv", "channel,date,spend\nb,2024-01-02,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        bronze.ingest_marketing(spark, p)[0].collect()
+
+
 def test_json_array_all_text_and_order(spark, tmp_dir):
     p = _write(
         tmp_dir,
         "s.json",
         '[{"subscription_id": 1, "price": 9.5, "meta": {"a": 1}},\n {"subscription_id": "2", "user_id": null}]',
     )
-    rows = bronze.ingest_subscriptions(spark, p).orderBy("_source_row_no").collect()
-    assert [r.subscription_id for r in rows] == ["1", "2"]
-    assert rows[0].price == "9.5" and rows[0].meta == '{"a":"1"}' and rows[1].user_id is None
+    good, bad = bronze.ingest_subscriptions(spark, p)
+    rows = good.orderBy("_source_row_no").collect()
+    assert [r.subscription_id for r in rows] == ["1", "2"] and bad.count() == 0
+    assert rows[0].price == "9.5" and rows[0].extras == {"meta": '{"a":1}'} and rows[1].user_id is None
+
+
+def test_json_array_folder_loses_nothing(spark, tmp_dir):
+    objects = ",".join(f'{{"subscription_id": "{i}"}}' for i in range(5))
+    _write(tmp_dir, "good.json", f"[{objects}]")
+    _write(tmp_dir, "mixed.json", f"[{objects.replace(chr(34) + '0' + chr(34), chr(34) + 'm' + chr(34))}, 7, null, [1]]")
+    _write(tmp_dir, "empty.json", "[]")
+    p = _write(tmp_dir, "cut.json", f"[{objects},")
+    good, bad = bronze.ingest_subscriptions(spark, p)
+    assert sorted(r.subscription_id for r in good.collect()) == sorted([*"01234", *"1234", "m"])
+    rows = bad.collect()
+    lost = [r for r in rows if r._source_file.endswith("cut.json")]
+    assert len(lost) == 1 and lost[0]._error == "invalid_json" and lost[0]._raw_line.startswith('[{"subscription_id": "0"}')
+    assert len([r for r in rows if r._source_file.endswith("mixed.json")]) == 3
+
+
+def test_subscriptions_as_lines(spark, tmp_dir):
+    p = _write(tmp_dir, "s.ndjson", '{"subscription_id": 1, "price": 2}\n\n{"subscription_id": "2"}\n{"cut"\n3\n')
+    good, bad = bronze.ingest_subscriptions(spark, p, "ndjson")
+    assert sorted((r.subscription_id, r._source_row_no) for r in good.collect()) == [("1", 1), ("2", 3)]
+    assert sorted((r._source_row_no, r._raw_line) for r in bad.collect()) == [(4, '{"cut"'), (5, "3")]
+    with pytest.raises(ValueError):
+        bronze.ingest_subscriptions(spark, p, "xml")

@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from subledger.functions import timeparse
 from subledger.functions import clean_text, parse_date, safe_ratio, to_number, to_utc_ntz, week_start, weekday_mon0
 
 
@@ -71,3 +72,32 @@ def test_week_start_and_weekday(spark):
 def test_safe_ratio(spark):
     df = spark.createDataFrame([(1.0, 0), (3.0, 2), (1.0, None)], "a double, b int")
     assert [r[0] for r in df.select(safe_ratio("a", "b")).collect()] == [None, 1.5, None]
+
+
+def test_more_timestamp_layouts(spark):
+    from datetime import datetime
+
+    at = {
+        "2024-01-05 10:00:00 UTC": (10, 0), "2024-01-05T10:00:00+05": (5, 0), "2024-01-05T10:00:00z": (10, 0),
+        "2024-01-05 10:00:00 EST": (15, 0), "2024-01-05T10Z": (10, 0), "20240105T100000Z": (10, 0),
+        "2024-01-05 10:00 PM": (22, 0), "Jan 5, 2024 10:00 AM": (10, 0), "Fri, 05 Jan 2024 10:00:00 GMT": (10, 0),
+        "01-05-2024": (0, 0), "05 Jan 2024 12:30 am": (0, 30), "2024/01/05 7:05": (7, 5), "01/05/2024 10:00:00+02:00": (8, 0),
+        "2024-01-05T10:00:00.5-03:30": (13, 30),
+    }
+    bad = ["10:00", "2024", "2024-01-05 junk", "Jan 2024", "13:00 PM", "2024-01-05 13:00 PM", "May flowers", ""]
+    df = spark.createDataFrame([(x,) for x in [*at, *bad, "13/01/2024"]], "t string").select("t", timeparse.to_utc_ntz("t").alias("u"))
+    got = {r.t: r.u for r in df.collect()}
+    for text, (h, m) in at.items():
+        assert got[text].replace(microsecond=0) == datetime(2024, 1, 5, h, m), text
+    assert got["13/01/2024"] == datetime(2024, 1, 13) and all(got[x] is None for x in bad)
+
+
+def test_dates_take_no_junk(spark):
+    from datetime import date
+
+    good = ["2024-01-05", "2024-1-5", "2024/01/05", "01/05/2024", "2024-01-05T10:00:00Z", "2024-01-05 10:00", "Jan 5, 2024"]
+    bad = ["2024-01-05 junk", "2024-01-05Tjunk", "2024/01/05 xx", "2024-13-01", "5", None]
+    df = spark.createDataFrame([(x,) for x in [*good, *bad]], "t string").select("t", timeparse.parse_date("t").alias("d"))
+    got = {r.t: r.d for r in df.collect()}
+    assert all(got[x] == date(2024, 1, 5) for x in good), got
+    assert all(got[x] is None for x in bad), got

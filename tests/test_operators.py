@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,37 +10,43 @@ from subledger.operators import (
     interval_sum_daily,
     keep_latest,
     prev_in_order,
-    running_sum,
-    running_sum_by_day,
-    split_rejects,
+    tag_rejects,
 )
 
 
-def test_prev_in_order_matches_window_under_skew(spark):
+@pytest.mark.parametrize("bucket", [None, "tens"])
+def test_prev_in_order_matches_window_under_skew(spark, bucket):
     random.seed(7)
-    rows = [("hot" if random.random() < 0.4 else f"u{random.randint(0, 30)}", random.randint(0, 500), i) for i in range(5000)]
+    rows = [("hot" if random.random() < 0.4 else random.choice([None, *map(str, range(30))]), random.choice([None, *range(500)]), i) for i in range(5000)]
     df = spark.createDataFrame(rows, "u string, s int, id int")
-    got = prev_in_order(df, ["u"], [F.col("s"), F.col("id")], ["id"], num_partitions=12, max_group_rows=1000)
+    tens = F.floor(F.col("s") / 10) if bucket else None
+    got = prev_in_order(df, ["u"], [F.col("s"), F.col("id")], ["id"], bucket=tens)
     want = df.withColumn("prev_id", F.lag("id").over(Window.partitionBy("u").orderBy("s", "id")))
+    assert got.columns == want.columns
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_prev_in_order_hot_group_is_split(spark):
+def test_prev_in_order_one_group_and_one_bucket(spark):
     df = spark.createDataFrame([("hot", i) for i in range(4000)], "u string, i int")
-    got = prev_in_order(df, ["u"], [F.col("i")], ["i"], num_partitions=8, max_group_rows=None)
-    rows = {r.i: r.prev_i for r in got.collect()}
-    assert rows[0] is None and all(rows[i] == i - 1 for i in range(1, 4000))
+    for bucket in (F.col("i"), F.lit(1), F.floor(F.col("i") / 100)):
+        rows = {r.i: r.prev_i for r in prev_in_order(df, ["u"], [F.col("i")], ["i"], bucket=bucket).collect()}
+        assert rows[0] is None and all(rows[i] == i - 1 for i in range(1, 4000))
 
 
-def test_running_sums(spark):
-    days = [(dt.date(2024, 1, 1) + dt.timedelta(days=i), i % 7) for i in range(400)]
-    df = spark.createDataFrame(days, "d date, v int").withColumn("v", F.col("v").cast("decimal(38,6)"))
-    a = running_sum_by_day(df, "d", "v", "c").orderBy("d").collect()
-    b = running_sum(df, [F.col("d")], "v", "c", num_partitions=6).orderBy("d").collect()
-    total = 0
-    for (d, v), ra, rb in zip(days, a, b):
-        total += v
-        assert ra.c == total and rb.c == total
+def test_building_the_query_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "none expected")
+    try:
+        prev_in_order(spark.range(10).withColumn("u", F.lit(1)), ["u"], [F.col("id")], ["id"])
+        assert len(tracker.getJobIdsForGroup("building")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _scans(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[: plan.find("== Initial Plan ==")].count("FileScan") or plan.count("FileScan")
 
 
 def test_keep_latest(spark):
@@ -48,11 +55,10 @@ def test_keep_latest(spark):
     assert [(r.k, r.line) for r in got] == [("a", 3), ("b", 4)]
 
 
-def test_split_rejects_first_rule_wins(spark):
+def test_tag_rejects_first_rule_wins(spark):
     df = spark.createDataFrame([(None, -1), (1, -1), (1, 1)], "a int, b int")
-    good, bad = split_rejects(df, [("no_a", F.col("a").isNull()), ("neg_b", F.col("b") < 0)])
-    assert good.count() == 1
-    assert sorted(r.reject_reason for r in bad.collect()) == ["neg_b", "no_a"]
+    tagged = tag_rejects(df, [("no_a", F.col("a").isNull()), ("neg_b", F.col("b") < 0)])
+    assert sorted(r.reject_reason or "" for r in tagged.collect()) == ["", "neg_b", "no_a"]
 
 
 def test_calendar_fill(spark):
@@ -82,7 +88,21 @@ def test_interval_sum_daily_brute_force(spark):
         assert abs(v - want) < 1e-6
 
 
-def test_prev_in_order_plain_path_when_groups_small(spark):
-    df = spark.createDataFrame([(f"u{i % 10}", i) for i in range(200)], "u string, i int")
-    got = {r.i: r.prev_i for r in prev_in_order(df, ["u"], [F.col("i")], ["i"]).collect()}
-    assert all(got[i] == (i - 10 if i >= 10 else None) for i in range(200))
+def test_one_scan_of_the_input(spark, tmp_dir):
+    path = f"{tmp_dir}/subs"
+    spark.range(1000).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 90).cast("int")).alias("s"),
+        F.date_add(F.lit("2024-02-01").cast("date"), (F.col("id") % 60).cast("int")).alias("e"),
+        (F.col("id") % 5).cast("string").alias("k"),
+        F.col("id").cast("double").alias("p"),
+    ).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert _scans(interval_sum_daily(df, "s", "e", "p")) == 1
+    assert _scans(calendar_fill(df, "s", ["k"], "p", 0.0)) == 1
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "s date, e date, k string, p double")
+    assert interval_sum_daily(empty, "s", "e", "p").count() == 0
+    assert calendar_fill(empty, "s", ["k"], "p", 0.0).count() == 0
+    assert prev_in_order(empty, ["k"], [F.col("s")], ["p"]).count() == 0

@@ -10,6 +10,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from subledger import registry  # noqa: E402
 from check_oracle import TABLES, key, norm  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
@@ -26,16 +27,16 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(registry.QUERIES) - set(registry.ORACLE)
     assert missing == {"pipeline_runs"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) & set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) & set(registry.ORACLE)))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = registry.QUERIES[name](spark, SF_SMALL)
     cols = df.columns
     got = sorted((tuple(norm(r[c]) for c in cols) for r in df.collect()), key=key)
-    rel = con.execute(entry.oracle_sql()[name])
+    rel = con.execute(registry.ORACLE[name])
     ocols = [d[0] for d in rel.description]
     assert sorted(cols) == sorted(ocols)
     idx = [ocols.index(c) for c in cols]

@@ -1,5 +1,7 @@
 """End-to-end run from raw files; idempotence; session-zone independence."""
 
+import pytest
+
 from subledger.plans.pipeline import run_all
 from subledger.sources.raw_files import write_raw_inputs
 
@@ -13,7 +15,7 @@ def _tables(spark, out):
 
 
 def test_pipeline_runs_idempotent_and_zone_free(spark, tmp_dir):
-    raw = write_raw_inputs(spark, SF_SMALL, f"{tmp_dir}/raw", lines_per_file=400)
+    raw = write_raw_inputs(spark, SF_SMALL, f"{tmp_dir}/raw", keys_per_file=400)
     audit = run_all(spark, raw, f"{tmp_dir}/lake").collect()
     assert all(r.status == "ok" for r in audit) and len(audit) == 17
     first = _tables(spark, f"{tmp_dir}/lake")
@@ -28,3 +30,12 @@ def test_pipeline_runs_idempotent_and_zone_free(spark, tmp_dir):
     views = {r.viewName for r in spark.sql("SHOW VIEWS IN analytics").collect()}
     assert {"vw_daily_kpis", "vw_mrr_daily", "vw_user_ltv"} <= views
     assert spark.sql("SELECT COUNT(*) FROM analytics.vw_daily_kpis").first()[0] > 0
+
+
+def test_a_failed_step_is_on_disk(spark, tmp_dir):
+    raw = write_raw_inputs(spark, SF_SMALL, f"{tmp_dir}/raw")
+    raw["subscriptions"] = f"{tmp_dir}/nowhere"
+    with pytest.raises(Exception):
+        run_all(spark, raw, f"{tmp_dir}/lake", "failing")
+    rows = spark.read.parquet(f"{tmp_dir}/lake/pipeline_runs").collect()
+    assert [(r.step, r.status) for r in sorted(rows, key=lambda r: r.started_at)] == [("bronze_events", "ok"), ("bronze_subscriptions", "failed")]
