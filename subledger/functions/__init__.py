@@ -1,6 +1,6 @@
 """Column expressions. All are built-in Spark functions: no Python UDFs."""
 
-from subledger.functions.numbers import money, money_sum, safe_ratio, signed_amount, to_number
+from subledger.functions.numbers import money, safe_ratio, signed_amount, to_number
 from subledger.functions.text import NULL_TOKENS, clean_text, is_null_like, norm_lower
 from subledger.functions.timeparse import parse_date, to_utc_ntz, week_start, weekday_mon0
 
@@ -11,7 +11,6 @@ __all__ = [
     "norm_lower",
     "to_number",
     "money",
-    "money_sum",
     "signed_amount",
     "safe_ratio",
     "to_utc_ntz",

@@ -33,11 +33,6 @@ def money(c: str | Column) -> Column:
     return _col(c).try_cast(MONEY)
 
 
-def money_sum(c: str | Column) -> Column:
-    """Order-independent sum of a money column, returned as double."""
-    return F.sum(money(c)).cast("double")
-
-
 def signed_amount(event_type: str | Column, amount: str | Column) -> Column:
     """Purchase counts +amount, anything else (refund) -|amount|; null -> 0."""
     a = F.coalesce(money(amount), F.lit(0).cast(MONEY))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subledger.functions import clean_text, money_sum, safe_ratio, signed_amount, week_start
+from subledger.functions import clean_text, safe_ratio, signed_amount, week_start
 from subledger.functions.numbers import MONEY, money
 from subledger.operators import first_value_by, interval_sum_daily
 
@@ -179,8 +179,7 @@ def ltv_cac_ratio(ltv: DataFrame, marketing: DataFrame, events: DataFrame) -> Da
     )
 
 
-# The order in which published tables are written (presentation
-# only; the sort is a range shuffle over the already-aggregated table).
+# The order in which published tables are written.
 PRESENTATION_ORDER = {
     "fact_daily_active_users": [("event_date", "asc")],
     "fact_daily_revenue_gross": [("event_date", "asc")],
@@ -196,9 +195,15 @@ PRESENTATION_ORDER = {
 }
 
 
+#: Tables of one row per user: too large for a global sort, each file is sorted.
+USER_SIZED = ("fact_ltv_per_user", "dim_user")
+
+
 def presentation_order(name: str, df: DataFrame) -> DataFrame:
-    """``df`` sorted the way the published table ``name`` is presented."""
+    """``df`` sorted the way the published table ``name`` is presented (user-sized
+    tables inside each file only)."""
     order = PRESENTATION_ORDER.get(name)
     if not order:
         return df
-    return df.orderBy(*[F.asc(c) if how == "asc" else F.desc(c) for c, how in order])
+    columns = [F.asc(c) if how == "asc" else F.desc(c) for c, how in order]
+    return df.sortWithinPartitions(*columns) if name in USER_SIZED else df.orderBy(*columns)
