@@ -114,6 +114,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_benchmark_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), ip AS (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS s FROM i WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item_id, list_slice(w, s, least(s + 9, len(w))) AS win FROM ip),
+lens AS (SELECT DISTINCT len(win) AS n FROM wins),
+dp AS (SELECT rid, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s FROM d, lens WHERE len(w) >= n),
+hits AS (SELECT dp.rid, dp.s, dp.n, wins.item_id FROM dp JOIN wins ON list_slice(dp.w, dp.s, dp.s + dp.n - 1) = wins.win),
+places AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(generate_series(s, s + n - 1)) AS p FROM hits) GROUP BY rid),
+ids AS (
+  SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS id_text
+  FROM (SELECT DISTINCT rid, item_id::VARCHAR AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(id_text, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (rid) LEFT JOIN ids USING (rid)
+""",
     "op10_exact_top_k": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
