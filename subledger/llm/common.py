@@ -48,18 +48,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
+def smallest_hashes(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """At most ``n`` rows: those of the smallest hashes of ``keys``, the same in
+    every run. The rows are counted first and all but some 2 n of them left out
+    by hash, so that the final ranking gets few rows however many there are."""
+    span = 1 << 30
+    mixed = F.pmod(F.xxhash64(*keys), F.lit(span))
+    share = min(1.0, 2.0 * n / max(1, df.count()))
+    return df.where(mixed < int(span * share) + 1).orderBy(mixed, *keys).limit(n)
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """At most ``per_class`` labelled documents of each class outside the held-out
-    fold, as (text, y): the smallest hashes of doc_id, so the choice is the same
-    in every run. Rows without id, text or a 0/1 label are passed over; an id
-    labelled more than once counts with its largest label, an id with several
-    texts once per text."""
+    fold, as (text, y), chosen by hash of doc_id. Rows without id, text or a 0/1
+    label are passed over; an id labelled more than once counts with its largest
+    label, an id with several texts once per text."""
     one = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("y"))
     )
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = one.where("y = 0").orderBy(*order).limit(per_class).unionByName(one.where("y = 1").orderBy(*order).limit(per_class))
+    picked = smallest_hashes(one.where("y = 0"), ["doc_id"], per_class).unionByName(smallest_hashes(one.where("y = 1"), ["doc_id"], per_class))
     # At most 2 * per_class rows: the bound is the parameter, so this side may be broadcast.
     return documents.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "y")
