@@ -16,7 +16,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subledger.llm.common import ascii_lower, cut
+from subledger.llm.common import ascii_lower, cut, smallest_hashes
 
 
 @dataclass(frozen=True)
@@ -144,7 +144,8 @@ def train(labelled: DataFrame, sample: int = 20_000, trees: int = 20, depth: int
     hashes). With labels of one class or none, the margin is constant: that
     class, or allow."""
     rates = suffix_rates(labelled)
-    picked = cut(labelled.select("url", "host", "path", "rule_verdict").distinct().orderBy(F.xxhash64("url"), "url").limit(sample), "url-sample")
+    distinct = cut(labelled.select("url", "host", "path", "rule_verdict").distinct(), "labelled-urls")
+    picked = cut(smallest_hashes(distinct, ["url"], sample), "url-sample")
     ready = cut(with_features(picked, rates).withColumn("y", (F.col("rule_verdict") == "block").cast("double")), "url-features")
     classes = {r["y"]: r["count"] for r in ready.groupBy("y").count().collect()}
     if len(classes) < 2:
