@@ -14,7 +14,6 @@ rank, and the pieces' ids are joined. Decoding concatenates the tokens' bytes.
 from __future__ import annotations
 
 import base64
-import hashlib
 from functools import cache
 
 import numpy as np
@@ -25,8 +24,8 @@ from pyspark.sql import functions as F
 
 #: Distinct pieces whose ids a worker remembers.
 CACHE_PIECES = 200_000
-#: Code points that are split into pieces at a time (cut before a space).
-CHUNK = 1 << 20
+#: Rank of a pair that has none.
+_NONE = 1 << 40
 
 
 @cache
@@ -63,9 +62,6 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
-_NONE = 1 << 40
-
-
 def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """``merge`` for long pieces: a heap of pairs over a linked list, so that the
     time is not the square of the length."""

@@ -82,15 +82,6 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return bpe.digests(bpe.encode_documents(documents, RANK_FILE, public_tokenizers.PATTERN))
 
-#: Rules of the registered URL query (fixed values).
-URL_RULES = [
-    urls.Rule("allow", "org", "/"),
-    urls.Rule("block", "example.org", "/es/"),
-    urls.Rule("block", "example.org", "/en/1"),
-    urls.Rule("allow", "com", "/fr/"),
-    urls.Rule("block", "com", "/de/"),
-]
-
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read_table(spark, sf_dir, "pages"))
