@@ -66,10 +66,20 @@ def rarest_places(items: DataFrame, terms: DataFrame, index: DataFrame, window:
         .agg(F.sort_array(F.collect_list(F.struct("ipos", F.coalesce("n", F.lit(0)).alias("n"), "tid"))).alias("ps"))
     )
     last = F.greatest(F.size("words") - window, F.lit(0))
+    within = F.sequence(F.lit(0), F.least(F.size("words"), F.lit(window)) - 1)
+
+    def at(start: Column) -> Column:
+        # Element by element: a slice, or the item beside each of its windows, would copy all of a long item every time.
+        return F.struct(
+            start.alias("start"),
+            F.transform(within, lambda i: F.get("words", start + i)).alias("words"),
+            F.transform(within, lambda i: F.get("ps", start + i)).alias("ps"),
+        )
+
     wins = (
         items.join(placed, "iid")
-        .select("iid", "item_ids", "words", "ps", F.explode(F.sequence(F.lit(0), last)).alias("start"))
-        .select("iid", "item_ids", "start", F.slice("words", F.col("start") + 1, window).alias("words"), F.slice("ps", F.col("start") + 1, window).alias("ps"))
+        .select("iid", "item_ids", F.explode(F.transform(F.sequence(F.lit(0), last), at)).alias("w"))
+        .select("iid", "item_ids", "w.*")
         .where(~F.exists("ps", lambda p: p["n"] == 0))
     )
     by_count = F.array_sort(F.transform("ps", lambda p: F.struct(p["n"].alias("n"), p["ipos"].alias("ipos"), p["tid"].alias("tid"))))
@@ -91,9 +101,17 @@ def phrase_candidates(index: DataFrame, windows: DataFrame, places: DataFrame) -
     # An item shorter than a window can have a single anchor; others need two.
     single = windows.select("iid", (F.size("anchors") < 2).alias("one")).groupBy("iid").agg(F.max("one").alias("one"))
     met = _aligned(index, places).join(single, "iid").where("one or size(at) > 1")
-    alive = met.join(windows, "iid").where(
-        (F.size(F.array_except("anchors", "at")) == 0) & (F.col("diag") + F.col("start") >= 0)
+    # Windows are met by item and anchor place, so that no place of an item is held against all its windows.
+    asked = windows.select("iid", "start", F.size("anchors").alias("need"), F.explode("anchors").alias("ipos"))
+    full = (
+        met.select("did", "h", "iid", "diag", F.explode("at").alias("ipos"))
+        .join(asked, ["iid", "ipos"])
+        .where(F.col("diag") + F.col("start") >= 0)
+        .groupBy("did", "h", "iid", "diag", "start")
+        .agg(F.count("*").alias("n"), F.first("need").alias("need"))
+        .where("n = need")
     )
+    alive = full.join(windows, ["iid", "start"])
     cand = F.struct((F.col("diag") + F.col("start")).alias("at"), "words", "item_ids")
     return alive.groupBy("did", "h").agg(F.collect_list(cand).alias("cands"))
 

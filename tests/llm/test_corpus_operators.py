@@ -76,6 +76,14 @@ def test_contamination_odd_tables(spark):
     assert kept.columns == odd.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 3, 5]
 
 
+def test_contamination_by_a_long_item(spark):
+    words = [f"w{i * i % 997}" for i in range(20_000)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = [(1, " ".join(["lead", *words[5000:15_000]])), (2, " ".join(words[300:309])), (3, " ".join(words[300:311]))]
+    got = {r.doc_id: (r.n_hit, r.item_ids) for r in decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {1: (10_000, ["1"]), 2: (0, []), 3: (11, ["1"])}
+
+
 def test_proximity_matches(spark):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
     docs = spark.createDataFrame(
