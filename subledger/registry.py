@@ -282,6 +282,16 @@ def q_pipeline_runs(spark, d):
     return run_all(spark, raw, scratch_path(spark, "lake"))
 
 
+def q_pipeline_step_audit(spark, d):
+    """What of the audit is the same in every run: each step with its status, and
+    the rows written and rejected by the bronze steps (null for later ones,
+    whose tables have queries of their own)."""
+    bronze_step = F.startswith("step", F.lit("bronze_"))
+    counts = [F.when(bronze_step, F.col(c)).alias(c) for c in ("rows_out", "rows_rejected")]
+    raw = raw_files.write_raw_inputs(spark, d, scratch_path(spark, "raw"))
+    return run_all(spark, raw, scratch_path(spark, "lake"), "subledger_step_audit").select("step", "status", *counts)
+
+
 # -------------------------------------------------------------- primitives
 
 
@@ -398,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "fact_row_counts": q_fact_row_counts,
     "dim_row_counts": q_dim_row_counts,
     "pipeline_runs": q_pipeline_runs,
+    "pipeline_step_audit": q_pipeline_step_audit,
     "reject_split": q_reject_split,
     "keep_latest": q_keep_latest,
     "overlap_flags": q_overlap_flags,
@@ -621,3 +632,17 @@ ORACLE: dict[str, str] = {
 }
 ORACLE.update({f"catalog_{name}": ORACLE[name] for name in views.VIEWS})
 ORACLE["bronze_subscriptions_ndjson"] = ORACLE["bronze_subscriptions"]
+
+#: Steps of a run behind the bronze ones, in order.
+_LATER_STEPS = [
+    *(f"silver_{n}" for n in ("events", "marketing", "subscriptions")),
+    *(f"gold_{n}" for n in (*catalog.FACT_TABLES, "load_facts", "build_dims", "build_views")),
+]
+# The array file of subscriptions holds no malformed element.
+ORACLE["pipeline_step_audit"] = f"""
+    SELECT 'bronze_events' AS step, 'ok' AS status, (SELECT COUNT(*) FROM ({ORACLE["bronze_events"]})) AS rows_out,
+      (SELECT COUNT(*) FROM ({ORACLE["bronze_events_bad_rows"]})) AS rows_rejected
+    UNION ALL SELECT 'bronze_subscriptions', 'ok', (SELECT COUNT(*) FROM ({ORACLE["bronze_subscriptions"]})), 0
+    UNION ALL SELECT 'bronze_marketing', 'ok', (SELECT COUNT(*) FROM ({ORACLE["bronze_marketing"]})),
+      (SELECT COUNT(*) FROM ({ORACLE["bronze_marketing_bad_rows"]}))
+    UNION ALL SELECT unnest({_LATER_STEPS!r}), 'ok', NULL, NULL"""
