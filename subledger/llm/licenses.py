@@ -1,8 +1,9 @@
 """License scan: ordered signature rules over whole texts.
 
-Every rule is a hand-written regular expression with a label, a priority and a
-keyword. An Aho-Corasick pass over the lower-cased text finds which keywords
-occur; only rules whose keyword occurs are run. Detections overlap (``MIT
+Every rule is a hand-written regular expression with a label and a priority.
+From its parse come keywords of which every match holds one (white space as one
+blank, case folded). An Aho-Corasick pass over the text in that form finds which
+occur; only rules with an occurring keyword are run. Detections overlap (``MIT
 License`` lies inside ``released under the MIT License``): they are taken in
 order of priority, then length, then start, and a detection that lies wholly
 inside one already kept is suppressed.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import re
 from functools import cache
+from re import _parser
 
 import ahocorasick
 import pandas as pd
@@ -31,71 +33,71 @@ BASE_PHRASES = (
     ((b"general", b"public", b"license"), "gpl"),
 )
 
-#: License families: label, keyword that must occur, name pattern, SPDX id pattern.
+#: License families: label, name pattern, SPDX id pattern.
 _VERSION = r"(?:,?\s*(?:version|v\.?|ver\.?)?\s*{})"
 FAMILIES = (
-    ("mit", "mit", r"(?:the\s+)?mit(?:\s*/\s*x11)?(?:\s+license)?", r"MIT(?:-0)?"),
-    ("x11", "x11", r"(?:the\s+)?x11\s+license", r"X11"),
-    ("isc", "isc", r"(?:the\s+)?isc\s+license", r"ISC"),
-    ("apache-1.1", "apache", r"(?:the\s+)?apache(?:\s+software)?\s+license" + _VERSION.format(r"1\.1"), r"Apache-1\.1"),
-    ("apache-2.0", "apache", r"(?:the\s+)?apache(?:\s+software)?\s+license" + _VERSION.format(r"2(?:\.0)?"), r"Apache-2\.0"),
-    ("apache", "apache", r"(?:the\s+)?apache(?:\s+software)?\s+license", r"Apache"),
-    ("gpl-1.0", "gpl", r"(?:the\s+)?(?:gnu\s+)?gpl" + _VERSION.format(r"1(?:\.0)?"), r"GPL-1\.0(?:-only|-or-later|\+)?"),
-    ("gpl-2.0", "gpl", r"(?:the\s+)?(?:gnu\s+)?gpl" + _VERSION.format(r"2(?:\.0)?"), r"GPL-2\.0(?:-only|-or-later|\+)?"),
-    ("gpl-3.0", "gpl", r"(?:the\s+)?(?:gnu\s+)?gpl" + _VERSION.format(r"3(?:\.0)?"), r"GPL-3\.0(?:-only|-or-later|\+)?"),
-    ("gpl", "gnu", r"(?:the\s+)?gnu\s+gpl", r"GPL"),
-    ("gpl-2.0", "general public", r"(?:the\s+)?(?:gnu\s+)?general\s+public\s+license" + _VERSION.format(r"2(?:\.0)?"), r"GPLv2"),
-    ("gpl-3.0", "general public", r"(?:the\s+)?(?:gnu\s+)?general\s+public\s+license" + _VERSION.format(r"3(?:\.0)?"), r"GPLv3"),
-    ("gpl", "general public", r"(?:the\s+)?(?:gnu\s+)?general\s+public\s+license", r"GPL-any"),
-    ("lgpl-2.0", "lesser", r"(?:the\s+)?(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+license" + _VERSION.format(r"2(?:\.0)?"), r"LGPL-2\.0(?:-only|-or-later|\+)?"),
-    ("lgpl-2.1", "lgpl", r"(?:the\s+)?(?:gnu\s+)?lgpl" + _VERSION.format(r"2\.1"), r"LGPL-2\.1(?:-only|-or-later|\+)?"),
-    ("lgpl-3.0", "lgpl", r"(?:the\s+)?(?:gnu\s+)?lgpl" + _VERSION.format(r"3(?:\.0)?"), r"LGPL-3\.0(?:-only|-or-later|\+)?"),
-    ("lgpl", "lesser", r"(?:the\s+)?(?:gnu\s+)?lesser\s+general\s+public\s+license", r"LGPL"),
-    ("agpl-3.0", "agpl", r"(?:the\s+)?(?:gnu\s+)?agpl" + _VERSION.format(r"3(?:\.0)?"), r"AGPL-3\.0(?:-only|-or-later|\+)?"),
-    ("agpl", "affero", r"(?:the\s+)?(?:gnu\s+)?affero\s+general\s+public\s+license", r"AGPL"),
-    ("gfdl", "free documentation", r"(?:the\s+)?(?:gnu\s+)?free\s+documentation\s+license", r"GFDL(?:-1\.[123])?"),
-    ("bsd-0-clause", "bsd", r"(?:the\s+)?(?:bsd\s+zero[\s-]clause|0[\s-]clause\s+bsd)(?:\s+license)?", r"0BSD"),
-    ("bsd-2-clause", "bsd", r"(?:the\s+)?(?:simplified|freebsd|2[\s-]clause|two[\s-]clause)\s+bsd(?:\s+license)?", r"BSD-2-Clause"),
-    ("bsd-3-clause", "bsd", r"(?:the\s+)?(?:new|modified|revised|3[\s-]clause|three[\s-]clause)\s+bsd(?:\s+license)?", r"BSD-3-Clause"),
-    ("bsd-4-clause", "bsd", r"(?:the\s+)?(?:original|old|4[\s-]clause|four[\s-]clause)\s+bsd(?:\s+license)?", r"BSD-4-Clause"),
-    ("bsd", "bsd", r"(?:the\s+)?bsd(?:[\s-]style)?\s+license", r"BSD"),
-    ("mpl-1.1", "mozilla", r"(?:the\s+)?mozilla\s+public\s+license" + _VERSION.format(r"1\.1"), r"MPL-1\.1"),
-    ("mpl-2.0", "mozilla", r"(?:the\s+)?mozilla\s+public\s+license" + _VERSION.format(r"2(?:\.0)?"), r"MPL-2\.0"),
-    ("mpl", "mozilla", r"(?:the\s+)?mozilla\s+public\s+license", r"MPL"),
-    ("epl-1.0", "eclipse", r"(?:the\s+)?eclipse\s+public\s+license" + _VERSION.format(r"1(?:\.0)?"), r"EPL-1\.0"),
-    ("epl-2.0", "eclipse", r"(?:the\s+)?eclipse\s+public\s+license" + _VERSION.format(r"2(?:\.0)?"), r"EPL-2\.0"),
-    ("epl", "eclipse", r"(?:the\s+)?eclipse\s+public\s+license", r"EPL"),
-    ("cddl", "common development", r"(?:the\s+)?common\s+development\s+and\s+distribution\s+license", r"CDDL-1\.[01]"),
-    ("cpl", "common public", r"(?:the\s+)?common\s+public\s+license", r"CPL-1\.0"),
-    ("artistic", "artistic", r"(?:the\s+)?artistic\s+license(?:\s+2\.0)?", r"Artistic-(?:1|2)\.0"),
-    ("zlib", "zlib", r"(?:the\s+)?zlib(?:/libpng)?\s+license", r"Zlib"),
-    ("boost", "boost", r"(?:the\s+)?boost\s+software\s+license(?:[\s,-]*(?:version\s+)?1\.0)?", r"BSL-1\.0"),
-    ("busl", "business source", r"(?:the\s+)?business\s+source\s+license(?:\s+1\.1)?", r"BUSL-1\.1"),
-    ("unlicense", "unlicense", r"(?:the\s+)?unlicense", r"Unlicense"),
-    ("wtfpl", "wtfpl", r"(?:the\s+)?wtfpl", r"WTFPL"),
-    ("cc0", "cc0", r"cc0(?:[\s-]*1\.0)?(?:\s+universal)?", r"CC0-1\.0"),
-    ("cc-by-nc-nd", "nc", r"(?:cc[\s-]by[\s-]nc[\s-]nd|creative\s+commons\s+attribution[\s-]*non-?commercial[\s-]*no-?deriv\w*)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-NC-ND-[1-4]\.[05]"),
-    ("cc-by-nc-sa", "nc", r"(?:cc[\s-]by[\s-]nc[\s-]sa|creative\s+commons\s+attribution[\s-]*non-?commercial[\s-]*share-?alike)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-NC-SA-[1-4]\.[05]"),
-    ("cc-by-nc", "nc", r"(?:cc[\s-]by[\s-]nc|creative\s+commons\s+attribution[\s-]*non-?commercial)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-NC-[1-4]\.[05]"),
-    ("cc-by-nd", "nd", r"(?:cc[\s-]by[\s-]nd|creative\s+commons\s+attribution[\s-]*no-?deriv\w*)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-ND-[1-4]\.[05]"),
-    ("cc-by-sa", "sa", r"(?:cc[\s-]by[\s-]sa|creative\s+commons\s+attribution[\s-]*share-?alike)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-SA-[1-4]\.[05]"),
-    ("cc-by", "by", r"(?:cc[\s-]by|creative\s+commons\s+attribution)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-[1-4]\.[05]"),
-    ("odbl", "open database", r"(?:the\s+)?open\s+database\s+license", r"ODbL-1\.0"),
-    ("odc-by", "open data commons", r"(?:the\s+)?open\s+data\s+commons\s+attribution\s+license", r"ODC-By-1\.0"),
-    ("eupl", "european union", r"(?:the\s+)?european\s+union\s+public\s+licen[cs]e", r"EUPL-1\.[012]"),
-    ("osl", "open software", r"(?:the\s+)?open\s+software\s+license", r"OSL-[123]\.[01]"),
-    ("afl", "academic free", r"(?:the\s+)?academic\s+free\s+license", r"AFL-[123]\.[01]"),
-    ("ms-pl", "microsoft public", r"(?:the\s+)?microsoft\s+public\s+license", r"MS-PL"),
-    ("ms-rl", "microsoft reciprocal", r"(?:the\s+)?microsoft\s+reciprocal\s+license", r"MS-RL"),
-    ("psf", "python software", r"(?:the\s+)?python\s+software\s+foundation\s+license", r"PSF-2\.0"),
-    ("php", "php", r"(?:the\s+)?php\s+license", r"PHP-3\.0[01]?"),
-    ("ruby", "ruby", r"(?:the\s+)?ruby\s+license", r"Ruby"),
-    ("postgresql", "postgresql", r"(?:the\s+)?postgresql\s+license", r"PostgreSQL"),
-    ("openssl", "openssl", r"(?:the\s+)?openssl\s+license", r"OpenSSL"),
-    ("ofl", "open font", r"(?:the\s+)?(?:sil\s+)?open\s+font\s+license", r"OFL-1\.[01]"),
-    ("ncsa", "ncsa", r"(?:the\s+)?(?:university\s+of\s+illinois/)?ncsa(?:\s+open\s+source)?\s+license", r"NCSA"),
-    ("cecill", "cecill", r"(?:the\s+)?cecill(?:-[abc])?\s+license", r"CECILL-(?:2\.[01]|B|C)"),
-    ("sspl", "server side", r"(?:the\s+)?server\s+side\s+public\s+license", r"SSPL-1\.0"),
+    ("mit", r"(?:the\s+)?mit(?:\s*/\s*x11)?(?:\s+license)?", r"MIT(?:-0)?"),
+    ("x11", r"(?:the\s+)?x11\s+license", r"X11"),
+    ("isc", r"(?:the\s+)?isc\s+license", r"ISC"),
+    ("apache-1.1", r"(?:the\s+)?apache(?:\s+software)?\s+license" + _VERSION.format(r"1\.1"), r"Apache-1\.1"),
+    ("apache-2.0", r"(?:the\s+)?apache(?:\s+software)?\s+license" + _VERSION.format(r"2(?:\.0)?"), r"Apache-2\.0"),
+    ("apache", r"(?:the\s+)?apache(?:\s+software)?\s+license", r"Apache"),
+    ("gpl-1.0", r"(?:the\s+)?(?:gnu\s+)?gpl" + _VERSION.format(r"1(?:\.0)?"), r"GPL-1\.0(?:-only|-or-later|\+)?"),
+    ("gpl-2.0", r"(?:the\s+)?(?:gnu\s+)?gpl" + _VERSION.format(r"2(?:\.0)?"), r"GPL-2\.0(?:-only|-or-later|\+)?"),
+    ("gpl-3.0", r"(?:the\s+)?(?:gnu\s+)?gpl" + _VERSION.format(r"3(?:\.0)?"), r"GPL-3\.0(?:-only|-or-later|\+)?"),
+    ("gpl", r"(?:the\s+)?gnu\s+gpl", r"GPL"),
+    ("gpl-2.0", r"(?:the\s+)?(?:gnu\s+)?general\s+public\s+license" + _VERSION.format(r"2(?:\.0)?"), r"GPLv2"),
+    ("gpl-3.0", r"(?:the\s+)?(?:gnu\s+)?general\s+public\s+license" + _VERSION.format(r"3(?:\.0)?"), r"GPLv3"),
+    ("gpl", r"(?:the\s+)?(?:gnu\s+)?general\s+public\s+license", r"GPL-any"),
+    ("lgpl-2.0", r"(?:the\s+)?(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+license" + _VERSION.format(r"2(?:\.0)?"), r"LGPL-2\.0(?:-only|-or-later|\+)?"),
+    ("lgpl-2.1", r"(?:the\s+)?(?:gnu\s+)?lgpl" + _VERSION.format(r"2\.1"), r"LGPL-2\.1(?:-only|-or-later|\+)?"),
+    ("lgpl-3.0", r"(?:the\s+)?(?:gnu\s+)?lgpl" + _VERSION.format(r"3(?:\.0)?"), r"LGPL-3\.0(?:-only|-or-later|\+)?"),
+    ("lgpl", r"(?:the\s+)?(?:gnu\s+)?lesser\s+general\s+public\s+license", r"LGPL"),
+    ("agpl-3.0", r"(?:the\s+)?(?:gnu\s+)?agpl" + _VERSION.format(r"3(?:\.0)?"), r"AGPL-3\.0(?:-only|-or-later|\+)?"),
+    ("agpl", r"(?:the\s+)?(?:gnu\s+)?affero\s+general\s+public\s+license", r"AGPL"),
+    ("gfdl", r"(?:the\s+)?(?:gnu\s+)?free\s+documentation\s+license", r"GFDL(?:-1\.[123])?"),
+    ("bsd-0-clause", r"(?:the\s+)?(?:bsd\s+zero[\s-]clause|0[\s-]clause\s+bsd)(?:\s+license)?", r"0BSD"),
+    ("bsd-2-clause", r"(?:the\s+)?(?:simplified|freebsd|2[\s-]clause|two[\s-]clause)\s+bsd(?:\s+license)?", r"BSD-2-Clause"),
+    ("bsd-3-clause", r"(?:the\s+)?(?:new|modified|revised|3[\s-]clause|three[\s-]clause)\s+bsd(?:\s+license)?", r"BSD-3-Clause"),
+    ("bsd-4-clause", r"(?:the\s+)?(?:original|old|4[\s-]clause|four[\s-]clause)\s+bsd(?:\s+license)?", r"BSD-4-Clause"),
+    ("bsd", r"(?:the\s+)?bsd(?:[\s-]style)?\s+license", r"BSD"),
+    ("mpl-1.1", r"(?:the\s+)?mozilla\s+public\s+license" + _VERSION.format(r"1\.1"), r"MPL-1\.1"),
+    ("mpl-2.0", r"(?:the\s+)?mozilla\s+public\s+license" + _VERSION.format(r"2(?:\.0)?"), r"MPL-2\.0"),
+    ("mpl", r"(?:the\s+)?mozilla\s+public\s+license", r"MPL"),
+    ("epl-1.0", r"(?:the\s+)?eclipse\s+public\s+license" + _VERSION.format(r"1(?:\.0)?"), r"EPL-1\.0"),
+    ("epl-2.0", r"(?:the\s+)?eclipse\s+public\s+license" + _VERSION.format(r"2(?:\.0)?"), r"EPL-2\.0"),
+    ("epl", r"(?:the\s+)?eclipse\s+public\s+license", r"EPL"),
+    ("cddl", r"(?:the\s+)?common\s+development\s+and\s+distribution\s+license", r"CDDL-1\.[01]"),
+    ("cpl", r"(?:the\s+)?common\s+public\s+license", r"CPL-1\.0"),
+    ("artistic", r"(?:the\s+)?artistic\s+license(?:\s+2\.0)?", r"Artistic-(?:1|2)\.0"),
+    ("zlib", r"(?:the\s+)?zlib(?:/libpng)?\s+license", r"Zlib"),
+    ("boost", r"(?:the\s+)?boost\s+software\s+license(?:[\s,-]*(?:version\s+)?1\.0)?", r"BSL-1\.0"),
+    ("busl", r"(?:the\s+)?business\s+source\s+license(?:\s+1\.1)?", r"BUSL-1\.1"),
+    ("unlicense", r"(?:the\s+)?unlicense", r"Unlicense"),
+    ("wtfpl", r"(?:the\s+)?wtfpl", r"WTFPL"),
+    ("cc0", r"cc0(?:[\s-]*1\.0)?(?:\s+universal)?", r"CC0-1\.0"),
+    ("cc-by-nc-nd", r"(?:cc[\s-]by[\s-]nc[\s-]nd|creative\s+commons\s+attribution[\s-]*non-?commercial[\s-]*no-?deriv\w*)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-NC-ND-[1-4]\.[05]"),
+    ("cc-by-nc-sa", r"(?:cc[\s-]by[\s-]nc[\s-]sa|creative\s+commons\s+attribution[\s-]*non-?commercial[\s-]*share-?alike)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-NC-SA-[1-4]\.[05]"),
+    ("cc-by-nc", r"(?:cc[\s-]by[\s-]nc|creative\s+commons\s+attribution[\s-]*non-?commercial)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-NC-[1-4]\.[05]"),
+    ("cc-by-nd", r"(?:cc[\s-]by[\s-]nd|creative\s+commons\s+attribution[\s-]*no-?deriv\w*)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-ND-[1-4]\.[05]"),
+    ("cc-by-sa", r"(?:cc[\s-]by[\s-]sa|creative\s+commons\s+attribution[\s-]*share-?alike)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-SA-[1-4]\.[05]"),
+    ("cc-by", r"(?:cc[\s-]by|creative\s+commons\s+attribution)(?:[\s-]*[1-4]\.[05])?", r"CC-BY-[1-4]\.[05]"),
+    ("odbl", r"(?:the\s+)?open\s+database\s+license", r"ODbL-1\.0"),
+    ("odc-by", r"(?:the\s+)?open\s+data\s+commons\s+attribution\s+license", r"ODC-By-1\.0"),
+    ("eupl", r"(?:the\s+)?european\s+union\s+public\s+licen[cs]e", r"EUPL-1\.[012]"),
+    ("osl", r"(?:the\s+)?open\s+software\s+license", r"OSL-[123]\.[01]"),
+    ("afl", r"(?:the\s+)?academic\s+free\s+license", r"AFL-[123]\.[01]"),
+    ("ms-pl", r"(?:the\s+)?microsoft\s+public\s+license", r"MS-PL"),
+    ("ms-rl", r"(?:the\s+)?microsoft\s+reciprocal\s+license", r"MS-RL"),
+    ("psf", r"(?:the\s+)?python\s+software\s+foundation\s+license", r"PSF-2\.0"),
+    ("php", r"(?:the\s+)?php\s+license", r"PHP-3\.0[01]?"),
+    ("ruby", r"(?:the\s+)?ruby\s+license", r"Ruby"),
+    ("postgresql", r"(?:the\s+)?postgresql\s+license", r"PostgreSQL"),
+    ("openssl", r"(?:the\s+)?openssl\s+license", r"OpenSSL"),
+    ("ofl", r"(?:the\s+)?(?:sil\s+)?open\s+font\s+license", r"OFL-1\.[01]"),
+    ("ncsa", r"(?:the\s+)?(?:university\s+of\s+illinois/)?ncsa(?:\s+open\s+source)?\s+license", r"NCSA"),
+    ("cecill", r"(?:the\s+)?cecill(?:-[abc])?\s+license", r"CECILL-(?:2\.[01]|B|C)"),
+    ("sspl", r"(?:the\s+)?server\s+side\s+public\s+license", r"SSPL-1\.0"),
 )
 
 #: Ways in which a text names a license: form, priority, pattern around the name.
@@ -106,40 +108,100 @@ FORMS = (
     ("name", 40, r"\b{}(?<=[0-9a-z])\b"),
 )
 
-#: Sentences that are signatures of their own: label, priority, keyword, pattern.
+#: Sentences that are signatures of their own: label, priority, pattern.
 SENTENCES = (
-    ("mit", 90, "permission is hereby", r"permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person\s+obtaining\s+a\s+copy"),
-    ("isc", 90, "permission to use", r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software\s+for\s+any\s+purpose"),
-    ("bsd", 90, "redistribution and use", r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms"),
-    ("bsd-3-clause", 91, "endorse or promote", r"neither\s+the\s+names?\s+of\s+.{1,80}?\s+may\s+be\s+used\s+to\s+endorse\s+or\s+promote"),
-    ("bsd-4-clause", 92, "advertising materials", r"all\s+advertising\s+materials\s+mentioning\s+features"),
-    ("apache-2.0", 90, "apache.org", r"https?://www\.apache\.org/licenses/LICENSE-2\.0"),
-    ("gpl", 90, "free software foundation", r"gnu\s+general\s+public\s+license\s+as\s+published\s+by\s+the\s+free\s+software\s+foundation"),
-    ("mpl-2.0", 90, "source code form", r"this\s+source\s+code\s+form\s+is\s+subject\s+to\s+the\s+terms\s+of\s+the\s+mozilla\s+public\s+license"),
-    ("boost", 90, "boost", r"distributed\s+under\s+the\s+boost\s+software\s+license"),
-    ("unlicense", 90, "unencumbered", r"this\s+is\s+free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain"),
-    ("public-domain", 60, "public domain", r"(?:in|into|to)\s+the\s+public\s+domain"),
-    ("proprietary", 50, "all rights reserved", r"all\s+rights\s+reserved"),
-    ("proprietary", 55, "unauthorized", r"unauthori[sz]ed\s+(?:copying|use|distribution|reproduction)[^.]{0,80}\s+prohibited"),
-    ("copyright-notice", 30, "copyright", r"copyright\s+(?:\(c\)|©|\d{4})"),
-    ("warranty-disclaimer", 20, "as is", r"(?:provided|distributed)\s+[\"“']?as\s+is[\"”']?,?\s+without\s+warrant"),
-    ("cc", 85, "creativecommons.org", r"https?://creativecommons\.org/(?:licenses|publicdomain)/[a-z-]+/[0-9.]+"),
-    ("cc", 35, "creative commons", r"creative\s+commons\s+licen[cs]e"),
+    ("mit", 90, r"permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person\s+obtaining\s+a\s+copy"),
+    ("isc", 90, r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software\s+for\s+any\s+purpose"),
+    ("bsd", 90, r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms"),
+    ("bsd-3-clause", 91, r"neither\s+the\s+names?\s+of\s+[\s\S]{1,200}?\s+may\s+be\s+used\s+to\s+endorse\s+or\s+promote"),
+    ("bsd-4-clause", 92, r"all\s+advertising\s+materials\s+mentioning\s+features"),
+    ("apache-2.0", 90, r"https?://www\.apache\.org/licenses/LICENSE-2\.0"),
+    ("gpl", 90, r"gnu\s+general\s+public\s+license\s+as\s+published\s+by\s+the\s+free\s+software\s+foundation"),
+    ("mpl-2.0", 90, r"this\s+source\s+code\s+form\s+is\s+subject\s+to\s+the\s+terms\s+of\s+the\s+mozilla\s+public\s+license"),
+    ("boost", 90, r"distributed\s+under\s+the\s+boost\s+software\s+license"),
+    ("unlicense", 90, r"this\s+is\s+free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain"),
+    ("public-domain", 60, r"(?:in|into|to)\s+the\s+public\s+domain"),
+    ("proprietary", 50, r"all\s+rights\s+reserved"),
+    ("proprietary", 55, r"unauthori[sz]ed\s+(?:copying|use|distribution|reproduction)[^.]{0,80}\s+prohibited"),
+    ("copyright-notice", 30, r"copyright\s+(?:\(c\)|©|\d{4})"),
+    ("warranty-disclaimer", 20, r"(?:provided|distributed)\s+[\"“']?as\s+is[\"”']?,?\s+without\s+warrant"),
+    ("cc", 85, r"https?://creativecommons\.org/(?:licenses|publicdomain)/[a-z-]+/[0-9.]+"),
+    ("cc", 35, r"creative\s+commons\s+licen[cs]e"),
 )
 
 
+#: Strings that a keyword set holds at most.
+_MOST = 16
+#: Letters outside ASCII that IGNORECASE takes for one inside, which lower() does not.
+_CASELESS = (("\u0130", "i"), ("\u0131", "i"), ("\u017f", "s"))
+
+
+def normalised(text: str) -> str:
+    """Lower-cased text, every run of white space (also none at the ends) one blank."""
+    if not text.isascii():
+        for odd, plain in _CASELESS:
+            text = text.replace(odd, plain)
+    return f" {' '.join(text.lower().split())} "
+
+
+def _joined(a: set[str], b: set[str]) -> set[str]:
+    return {re.sub(" +", " ", x + y) for x in a for y in b}
+
+
+def _needs(parsed) -> tuple[set[str] | None, set[str]]:
+    """(all strings that a parsed pattern matches, or None; strings of which every
+    match holds one), both as they stand in ``normalised`` text."""
+    run, found, exact = {""}, [], True
+
+    def weight(keys: set[str]) -> tuple[int, int]:
+        return min(map(len, keys)), -len(keys)
+
+    for op, arg in parsed:
+        step: set[str] | None = None
+        more: set[str] = set()
+        if op in (_parser.AT, _parser.ASSERT, _parser.ASSERT_NOT):
+            continue
+        if op is _parser.LITERAL:
+            step = {chr(arg).lower()}
+        elif op is _parser.IN:
+            if all(o is _parser.LITERAL or (o, a) == (_parser.CATEGORY, _parser.CATEGORY_SPACE) for o, a in arg):
+                step = {chr(a).lower() if o is _parser.LITERAL else " " for o, a in arg}
+        elif op is _parser.SUBPATTERN:
+            step, more = _needs(arg[3])
+        elif op is _parser.BRANCH:
+            each = [_needs(x) for x in arg[1]]
+            step = set().union(*(e for e, _ in each)) if all(e is not None for e, _ in each) else None
+            more = set().union(*(m for _, m in each))
+        elif op in (_parser.MAX_REPEAT, _parser.MIN_REPEAT):
+            least, most, inner = arg
+            once, must = _needs(inner)
+            more = must if least else {""}
+            if once is not None and (most == 1 or once == {" "}):
+                step = once if least else once | {""}
+        if step is not None and len(longer := _joined(run, step)) <= _MOST:
+            run = longer
+            continue
+        found += [run, more or {""}]
+        run, exact = {""}, False
+    return (run if exact else None), max([*found, run], key=weight)
+
+
+def keywords(pattern: str) -> frozenset[str]:
+    """Strings of which every match of ``pattern`` holds at least one, in ``normalised`` text."""
+    return frozenset(_needs(_parser.parse(pattern, re.IGNORECASE))[1])
+
+
 @cache
-def rules() -> tuple[tuple[str, int, str, re.Pattern], ...]:
-    """(label, priority, keyword, pattern), highest priority first."""
-    flags = re.IGNORECASE
-    out = [(label, prio, key, re.compile(pat, flags)) for label, prio, key, pat in SENTENCES]
-    for label, key, name, spdx in FAMILIES:
-        out.append((label, 95, "spdx", re.compile(rf"SPDX-License-Identifier:\s*\(?{spdx}(?![\w.-])", flags)))
+def rules() -> tuple[tuple[str, int, frozenset[str], re.Pattern], ...]:
+    """(label, priority, keywords, pattern), highest priority first."""
+    out = [(label, prio, pat) for label, prio, pat in SENTENCES]
+    for label, name, spdx in FAMILIES:
+        out.append((label, 95, rf"SPDX-License-Identifier:\s*\(?{spdx}(?![\w.-])"))
         for form, prio, around in FORMS:
             # A bare name must say what it is: 'mit' alone is also an acronym or a word.
             own = name.replace(r"(?:\s+license)?", r"\s+license") if form == "name" else name
-            out.append((label, prio, key, re.compile(around.format(own), flags)))
-    return tuple(sorted(out, key=lambda r: -r[1]))
+            out.append((label, prio, around.format(own)))
+    return tuple((label, prio, keywords(pat), re.compile(pat, re.IGNORECASE)) for label, prio, pat in sorted(out, key=lambda r: -r[1]))
 
 
 @cache
@@ -147,27 +209,26 @@ def _gate() -> ahocorasick.Automaton:
     """Keyword -> the indexes of its rules."""
     by_key: dict[str, list[int]] = {}
     for i, r in enumerate(rules()):
-        by_key.setdefault(r[2], []).append(i)
+        for key in r[2]:
+            by_key.setdefault(key, []).append(i)
     machine = ahocorasick.Automaton()
     for key, ids in by_key.items():
-        machine.add_word(key, (key, ids))
+        machine.add_word(key, ids)
     machine.make_automaton()
     return machine
 
 
-#: One of these must occur in a text before the keyword automaton is run at all.
-_STEMS = ("licen", "spdx", "rights reserved", "copyright", "public domain", "unauthori", "warrant", "redistribution", "permission", "advertising materials", "endorse or promote", "creativecommons", "creative commons", "gpl", "cc-by", "cc by", "cc0", "wtfpl", "under ", "unencumbered", "bsd")
+def gated(text: str) -> set[int]:
+    """The indexes of the rules that may match: one of their keywords occurs."""
+    active: set[int] = set()
+    for _, ids in _gate().iter(normalised(text)):
+        active.update(ids)
+    return active
 
 
 def detect(text: str) -> list[tuple[int, int, str, int]]:
     """Detections (start, end, label, priority) of one text after suppression."""
-    low = text.lower()
-    if not any(s in low for s in _STEMS):
-        return []
-    active: set[int] = set()
-    for _, (_, ids) in _gate().iter(low):
-        active.update(ids)
-    found = [(m.start(), m.end(), r[0], r[1]) for i in sorted(active) for r in (rules()[i],) for m in r[3].finditer(text)]
+    found = [(m.start(), m.end(), r[0], r[1]) for i in sorted(gated(text)) for r in (rules()[i],) for m in r[3].finditer(text)]
     # By priority, then the more specific label of the longer match; contained ones go.
     found.sort(key=lambda d: (-d[3], d[0] - d[1], d[0], d[2]))
     kept: list[tuple[int, int, str, int]] = []

@@ -102,6 +102,65 @@ def test_license_signatures(text, label):
     assert label in {d[2] for d in licenses.detect(text)}
 
 
+def sample_of(parsed, pick):
+    """A string that a parsed pattern matches; ``pick`` chooses among its ways."""
+    out = ""
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "NOT_LITERAL":
+            out += "q"
+        elif name == "IN":
+            kind, value = pick(arg)
+            out += {"CATEGORY_SPACE": " ", "CATEGORY_NOT_SPACE": "x", "CATEGORY_WORD": "a", "CATEGORY_DIGIT": "7"}[str(value)] if str(kind) == "CATEGORY" else (
+                "q" if str(kind) == "NEGATE" else chr(value[0] if str(kind) == "RANGE" else value)
+            )
+        elif name == "SUBPATTERN":
+            out += sample_of(arg[3], pick)
+        elif name == "BRANCH":
+            out += sample_of(pick(arg[1]), pick)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += "".join(sample_of(arg[2], pick) for _ in range(pick([arg[0], min(arg[1], arg[0] + 1)])))
+        else:
+            assert name in ("AT", "ASSERT", "ASSERT_NOT"), name
+    return out
+
+
+def test_license_gate_passes_every_match_of_every_rule():
+    import random
+
+    own = random.Random(4)
+    for i, (label, _, _, pattern) in enumerate(licenses.rules()):
+        seen = 0
+        for _ in range(60):
+            sample = sample_of(re._parser.parse(pattern.pattern, re.IGNORECASE), own.choice)
+            for text in (sample, sample.replace(" ", "\n    "), sample.upper(), sample.replace("s", "\u017f").replace("i", "\u0130")):
+                if pattern.search(text):
+                    seen += 1
+                    assert i in licenses.gated(text), (label, pattern.pattern, text)
+        assert seen, (label, pattern.pattern)
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("the GNU General\n    Public License, version 2", "gpl-2.0"),
+        ("All rights\nreserved.", "proprietary"),
+        ("Redistribution and\n use in source and binary forms", "bsd"),
+        ("the Python\nSoftware Foundation License", "psf"),
+        ("a Creative\nCommons licence", "cc"),
+        ("GNU Library General Public License version 2", "lgpl-2.0"),
+        ("Unauthorised use of this file is prohibited", "proprietary"),
+        ("Creative Commons Attribution-ShareAlike 4.0", "cc-by-sa"),
+        ("Creative Commons Attribution-NoDerivatives 4.0", "cc-by-nd"),
+        ("Neither the name of the copyright\nholder nor the names of its contributors may be used to endorse or promote", "bsd-3-clause"),
+    ],
+)
+def test_license_signatures_wrapped_or_spelt_otherwise(text, label):
+    assert label in {d[2] for d in licenses.detect(text)}
+
+
 @pytest.mark.parametrize("text", ["I commit to the plan", "we sat by the sea", "mit der Bahn", "no license to kill"])
 def test_license_leaves_prose_alone(text):
     assert licenses.detect(text) == []
