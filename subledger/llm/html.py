@@ -23,6 +23,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,16 +31,21 @@ from pyspark.sql import functions as F
 
 from subledger.llm.common import ascii_lower, cut
 
-#: Elements whose content is not markup or never shown.
-_RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|title"
+#: Elements whose content is not markup: to their end tag, or to the end of the page.
+_RAW = "script|style|iframe|textarea|title"
+#: Elements whose content is never shown: to their end tag; without one, the tag alone.
+_HIDDEN = "noscript|template|svg|math|object|select"
+_INSIDE = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    rf"|<(?:svg|math)(?=[\s/]){_INSIDE}(?<=/)>"
+    rf"|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<({_HIDDEN})(?=[\s/>])[^>]*>(?:.*?</\2\s*>)?"
+    rf"|<(/?)([a-z][a-z0-9:-]*)({_INSIDE})>"
     r"|<(/?)([a-z][a-z0-9:-]*)([^<>]*)>",
     re.IGNORECASE | re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
@@ -52,13 +58,15 @@ ENDS = {t: ("p",) for t in BLOCK} | {
     "td": ("p", "td", "th"), "th": ("p", "td", "th"), "body": ("head",),
 }
 _SCOPE = frozenset("article aside body div section main table ul ol dl nav header footer blockquote form".split())
-#: Elements that are no part of an article, by tag and by a word of class, id or role.
+#: Elements that are no part of an article, by tag and by a whole name of class, id or role:
+#: one of these words, or several joined, also with one of NEUTRAL (not 'has-sidebar').
 NOT_TEXT = frozenset("nav footer aside form button menu head dialog figure-actions".split())
 NOT_TEXT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice notices "
     "popup modal sidebar aside menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments respond "
     "reply replies discussion share sharing social related recommended newsletter subscribe signup login widget toolbar pagination".split()
 )
+NEUTRAL = frozenset("area areas list box block wrap wrapper container section left right top bottom site links buttons bar inner items posts primary secondary".split())
 MAIN = ("article", "main")
 #: Children that a wrapper's element keeps; the rarest beyond are forgotten, and
 #: pages that have them are read by the general rules.
@@ -70,7 +78,8 @@ def _attributes(raw: str) -> str:
     if "=" not in raw:
         return ""
     found = [(a.lower(), b or c or d) for a, b, c, d in ATTRIBUTE.findall(raw)]
-    return "".join(f"[{a}={' '.join(sorted(re.sub(r'[0-9]+', '0', v).lower().split()))}]" for a, v in sorted(found))
+    plain = [(a, re.sub(r"[0-9]+", "0", re.sub(r"[\[\]>]", "_", v)).lower().split()) for a, v in sorted(found)]
+    return "".join(f"[{a}={' '.join(sorted(names))}]" for a, names in plain)
 
 
 def events(page: str) -> Iterator[tuple[str, str, str]]:
@@ -82,10 +91,10 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         if m.start() > at:
             yield "text", entities.unescape(page[at : m.start()]), ""
         at = m.end()
-        tag = (m[3] or m[6] or "").lower()
+        tag = (m[4] or m[7] or "").lower()
         if not tag:
             continue
-        if m[2] or m[5]:
+        if m[3] or m[6]:
             if tag in stack:
                 while True:
                     last = stack.pop()
@@ -101,7 +110,7 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
                     break
                 if stack[k] in _SCOPE:
                     break
-        yield "open", tag, tag + _attributes(m[4] or m[7] or "")
+        yield "open", tag, tag + _attributes(m[5] or m[8] or "")
         if tag in VOID:
             yield "close", tag, ""
         else:
@@ -198,14 +207,19 @@ def page_wrapper(page: str) -> list:
     return fold(stack[0][3])
 
 
-def _words(key: str) -> set[str]:
-    return set(re.findall(r"[a-z]+", key.partition("[")[2].replace("class=", " ").replace("id=", " ").replace("role=", " ")))
+def _is_skip_name(name: str) -> bool:
+    words = re.findall(r"[a-z]+", name)
+    return not NOT_TEXT_WORDS.isdisjoint(words) and all(w in NOT_TEXT_WORDS or w in NEUTRAL for w in words)
 
 
+@lru_cache(maxsize=1 << 16)
 def skipped(key: str) -> bool:
     """Is an element with this key no part of an article?"""
     tag = key.partition("[")[0]
-    return tag in NOT_TEXT or ("[" in key and tag not in ("html", "body") and bool(_words(key) & NOT_TEXT_WORDS))
+    if tag in NOT_TEXT:
+        return True
+    names = (n for a in re.findall(r"\[(?:class|id|role)=([^\]]*)\]", key) for n in a.split())
+    return tag not in ("html", "body") and any(map(_is_skip_name, names))
 
 
 def main_path(wrapper: list) -> str:

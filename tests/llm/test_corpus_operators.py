@@ -270,6 +270,21 @@ def test_html_cases(spark):
         assert (got[i].text, got[i].n_chars) == (text, len(text))
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<article><p>One</p><svg class=icon/><math/><p>Two</p></article>",
+        "<article><p>One</p><title-bar></title-bar><p>Two</p></article>",
+        "<article><p>One</p><select-menu></select-menu><object-x></object-x><p>Two</p></article>",
+        "<article><p>One</p><template><svg viewBox='0 0'><object data=x><p>Two</p></article>",
+        "<div class='content has-sidebar'><article class='post no-comments'><p>One</p><p>Two</p></article></div>",
+        "<main class='with-menu'><p>One</p><div data-id=sidebar><p>Two</p></div><div class=social-share>Tell</div></main>",
+    ],
+)
+def test_html_loses_no_text_to_icons_custom_tags_and_class_words(body):
+    assert html.main_text(page(body), "") == "One\n\nTwo"
+
+
 def test_wrapper_finds_the_container_without_article(spark):
     body = lambda i: f"<div id=top>Welcome</div><div class=col><div class=story><p>Story {i} begins here and goes on {i}.</p><p>End {i}</p></div></div><div class=sidebar><p>Links {i}</p></div>"
     pages = spark.createDataFrame([(i, "http://one.net/x", page(body(i))) for i in range(6)], "page_id long, url string, html string")
