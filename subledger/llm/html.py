@@ -10,10 +10,15 @@ slot. Merging is associative enough to be done in parts: every task folds its
 pages into one wrapper per host, and the parts are merged in two rounds, the
 first over 64 salts, so a host with a third of all pages is no single task.
 
-The wrapper says where the main text is: in ``article`` or ``main`` if the
-template has one, else in the innermost element that holds most of the text of
-the slots outside menus, forms and the like. Pages are then read whole: blocks
-below that element, without elements that are not part of an article.
+Elements whose keys differ only in some class or id names are merged under the
+names they share.
+
+The wrapper says where the main text is: in those of its ``article`` and ``main``
+elements whose slots hold much text for their number (a teaser's hold little),
+or, where such elements hold next to none of the template's text, in the
+innermost element that holds most of the text of the slots outside menus, forms
+and the like. Pages are then read whole: blocks below every such element,
+without elements that are not part of an article.
 """
 
 from __future__ import annotations
@@ -68,9 +73,15 @@ NOT_TEXT_WORDS = frozenset(
 )
 NEUTRAL = frozenset("area areas list box block wrap wrapper container section left right top bottom site links buttons bar inner items posts primary secondary".split())
 MAIN = ("article", "main")
-#: Children that a wrapper's element keeps; the rarest beyond are forgotten, and
-#: pages that have them are read by the general rules.
+#: Children that a wrapper's element keeps in order; the rarest beyond are merged
+#: by key, and by tag if still too many, so that their text stays counted.
 WIDTH = 256
+#: Elements of which a template has one, or a few with varying names.
+_ONE = frozenset(("html", "body", *MAIN))
+#: Share of the best candidate's text an element from which it holds main text, share of a
+#: template's text below which candidates are passed over, share of a main element's
+#: text from which the articles inside it are read in its place.
+ENOUGH, LEAST, NESTED = 0.25, 0.2, 0.75
 
 
 def _attributes(raw: str) -> str:
@@ -121,36 +132,69 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         yield "close", stack.pop(), ""
 
 
-# A wrapper node is [key, quantifier, pages, children]; a text node is
+# A wrapper node is [key, quantifier, pages, children, elements]; a text node is
 # ["#", fixed text or None, pages, characters].
 TEXT = "#"
 
 
-def _merge_node(a: list, b: list) -> list:
+@lru_cache(maxsize=1 << 16)
+def _parts(key: str) -> tuple[str, frozenset[tuple[str, str]]]:
+    """A key's tag and its (attribute, name) pairs."""
+    tag = key.partition("[")[0]
+    return tag, frozenset((a, n) for a, v in re.findall(r"\[(class|id|role)=([^\]]*)\]", key) for n in v.split())
+
+
+@lru_cache(maxsize=1 << 16)
+def _shared(a: str, b: str) -> str:
+    """The key of the names that two keys of one tag share."""
+    if a == b:
+        return a
+    both = _parts(a)[1] & _parts(b)[1]
+    names = {k: " ".join(sorted(n for x, n in both if x == k)) for k in ("class", "id", "role")}
+    return _parts(a)[0] + "".join(f"[{k}={v}]" for k, v in names.items() if v)
+
+
+@lru_cache(maxsize=1 << 16)
+def _likeness(a: str, b: str) -> int:
+    """1000 for equal keys, 1 for keys that may differ in varying names only, else 0."""
+    if a == b:
+        return 1000
+    (tag, x), (other, y) = _parts(a), _parts(b)
+    return int(tag == other and (tag in _ONE or not x.isdisjoint(y)))
+
+
+def _merge_node(a: list, b: list, one_page: bool = False) -> list:
+    """Two nodes as one; those of one page leave its texts, taken together, fixed."""
+    pages = max(a[2], b[2]) if one_page else a[2] + b[2]
     if a[0] == TEXT:
-        return [TEXT, a[1] if a[1] == b[1] else None, a[2] + b[2], a[3] + b[3]]
+        fixed = a[1] if a[1] == b[1] else None
+        if one_page and a[1] is not None and b[1] is not None:
+            fixed = f"+{zlib.crc32(f'{a[1]}{TEXT}{b[1]}'.encode('utf-8', 'replace'))}"
+        return [TEXT, fixed, pages, a[3] + b[3]]
     quantifier = "+" if "+" in (a[1], b[1]) else "?" if "?" in (a[1], b[1]) else "1"
-    return [a[0], quantifier, a[2] + b[2], align(a[3], b[3])]
+    return [_shared(a[0], b[0]), quantifier, pages, align(a[3], b[3], one_page), a[4] + b[4]]
 
 
-def align(a: list, b: list) -> list:
-    """Merge two child lists: their longest common subsequence by key is merged
-    pairwise, the others become optional."""
+def align(a: list, b: list, one_page: bool = False) -> list:
+    """Merge two child lists: the pairs of their heaviest common subsequence, equal
+    keys before like ones, are merged, the others become optional."""
     if [x[0] for x in a] == [x[0] for x in b]:
-        return [_merge_node(x, y) for x, y in zip(a, b, strict=True)]
+        return [_merge_node(x, y, one_page) for x, y in zip(a, b, strict=True)]
     n, m = len(a), len(b)
+    like = [[_likeness(x[0], y[0]) for y in b] for x in a]
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
+        row, below, own = best[i], best[i + 1], like[i]
         for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
+            row[j] = max(below[j], row[j + 1], below[j + 1] + own[j])
 
     def optional(x: list) -> list:
         return x if x[0] == TEXT or x[1] == "+" else [x[0], "?", *x[2:]]
 
     out, i, j = [], 0, 0
     while i < n and j < m:
-        if a[i][0] == b[j][0]:
-            out.append(_merge_node(a[i], b[j]))
+        if like[i][j] and best[i][j] == best[i + 1][j + 1] + like[i][j]:
+            out.append(_merge_node(a[i], b[j], one_page))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
             out.append(optional(a[i]))
@@ -161,18 +205,22 @@ def align(a: list, b: list) -> list:
     return fold(out + [optional(x) for x in a[i:]] + [optional(x) for x in b[j:]])
 
 
+def _repeated(a: list, b: list) -> list:
+    """Two children of one element as one repeated child."""
+    merged = _merge_node(a, b, True)
+    if a[0] != TEXT:
+        merged[1] = "+"
+    return merged
+
+
 def fold(children: list) -> list:
     """Neighbouring equal elements as one repeated element, neighbouring texts as
     one slot, groups of two or three elements that repeat as one round of them;
-    at most WIDTH children."""
+    WIDTH children in order, the rest merged."""
     out: list = []
     for x in children:
         if out and out[-1][0] == x[0]:
-            merged = _merge_node(out[-1], x)
-            merged[2] = max(out[-1][2], x[2])
-            if x[0] != TEXT:
-                merged[1] = "+"
-            out[-1] = merged
+            out[-1] = _repeated(out[-1], x)
             continue
         out.append(x)
         for size in (2, 3):
@@ -180,24 +228,25 @@ def fold(children: list) -> list:
                 late = out[-size:]
                 del out[-size:]
                 for k in range(-size, 0):
-                    merged = _merge_node(out[k], late[k])
-                    merged[2] = max(out[k][2], late[k][2])
-                    if merged[0] != TEXT:
-                        merged[1] = "+"
-                    out[k] = merged
+                    out[k] = _repeated(out[k], late[k])
                 break
-    if len(out) > WIDTH:
-        rare = sorted(range(len(out)), key=lambda k: -out[k][2])[:WIDTH]
-        out = [out[k] for k in sorted(rare)]
+    for group in (lambda x: x[0], lambda x: _parts(x[0])[0]):
+        if len(out) > WIDTH:
+            often = set(sorted(range(len(out)), key=lambda k: -out[k][2])[: WIDTH // 2])
+            rest: dict[str, list] = {}
+            for k, x in enumerate(out):
+                if k not in often:
+                    rest[group(x)] = _repeated(rest[group(x)], x) if group(x) in rest else x
+            out = [out[k] for k in sorted(often)] + list(rest.values())
     return out
 
 
 def page_wrapper(page: str) -> list:
     """The child list of a page's root: its wrapper before any alignment."""
-    stack: list[list] = [["", "1", 1, []]]
+    stack: list[list] = [["", "1", 1, [], 1]]
     for kind, value, key in events(page):
         if kind == "open":
-            stack.append([key, "1", 1, []])
+            stack.append([key, "1", 1, [], 1])
         elif kind == "close":
             done = stack.pop()
             done[3] = fold(done[3])
@@ -222,28 +271,39 @@ def skipped(key: str) -> bool:
     return tag not in ("html", "body") and any(map(_is_skip_name, names))
 
 
+def _named(key: str) -> bool:
+    return _parts(key)[0] in MAIN or "[role=article]" in key or "[role=main]" in key
+
+
 def main_path(wrapper: list) -> str:
-    """Keys from the root to the element that holds the main text, joined by '>';
-    empty if the wrapper has no text slot."""
+    """Where the main text is: the keys from the root to an element joined by '>',
+    a line for each place; a place after '-' is known to hold none. Empty if the
+    wrapper has no text slot."""
+
+    pages = max((x[2] for x in wrapper), default=0)
 
     def slots(node: list) -> int:
+        # Text that only one of many pages has is as little fixed as text that differs.
         if node[0] == TEXT:
-            return node[3] if node[1] is None else 0
+            return node[3] if node[1] is None or node[2] < min(2, pages) else 0
         return 0 if skipped(node[0]) else sum(map(slots, node[3]))
 
-    def named(children: list, path: list[str], tag: str) -> Iterator[tuple[int, list[str]]]:
+    def named(children: list, path: list[str], outer: int) -> Iterator[tuple[float, int, str]]:
+        """(slot text an element, slot text not inside another one, path)"""
         for x in children:
-            if x[0] != TEXT and not skipped(x[0]):
-                if x[0].partition("[")[0] == tag or f"[role={tag}]" in x[0]:
-                    yield x[2], [*path, x[0]]
-                else:
-                    yield from named(x[3], [*path, x[0]], tag)
-
-    for tag in MAIN:
-        if found := list(named(wrapper, [], tag)):
-            return ">".join(max(found, key=lambda x: x[0])[1])
-    path, children = [], wrapper
+            if x[0] == TEXT or skipped(x[0]):
+                continue
+            here = [*path, x[0]]
+            if _named(x[0]):
+                yield slots(x) / x[4], 0 if outer else slots(x), ">".join(here)
+            yield from named(x[3], here, outer or _named(x[0]))
+
     total = sum(map(slots, wrapper))
+    found = list(named(wrapper, [], 0))
+    most = max((x[0] for x in found), default=0)
+    if most and sum(x[1] for x in found) >= LEAST * total:
+        return "\n".join(dict.fromkeys("-" * (x[0] < ENOUGH * most) + x[2] for x in found))
+    path, children = [], wrapper
     while total:
         best = max((x for x in children if x[0] != TEXT), key=slots, default=None)
         if best is None or slots(best) < 0.6 * total:
@@ -255,23 +315,95 @@ def main_path(wrapper: list) -> str:
     return ">".join(path)
 
 
+@lru_cache(maxsize=4096)
+def _places(path: str) -> tuple[tuple[tuple, bool], ...]:
+    """(tag and names of each element from the root, is it main text) of each place."""
+    lines = path.split("\n") if path else ()
+    return tuple((tuple(map(_parts, x.removeprefix("-").split(">"))), not x.startswith("-")) for x in lines)
+
+
+def _place(keys: list[str], places: tuple) -> bool | None:
+    """Is an element with these keys from the root main text, by the place that
+    names it best? None where no place is its."""
+    fits = [
+        (sum(len(names) for _, names in place), yes)
+        for place, yes in places
+        if len(place) == len(keys)
+        and all(tag == t and names <= n for (tag, names), (t, n) in zip(reversed(place), map(_parts, reversed(keys)), strict=True))
+    ]
+    return max(fits)[1] if fits else None
+
+
+def _elements(seen: list, path: str, by_name: bool) -> list[list]:
+    """[event number, end, characters, place] of the elements that may hold a page's
+    main text. Without ``by_name`` only tags say what is skipped."""
+    places, keys, out = _places(path), [], []
+    depths = {(len(p), p[-1][0]) for p, _ in places}
+    open_, dropped = [], -1
+    for at, (kind, value, key) in enumerate(seen):
+        if kind == "text":
+            if open_ and dropped < 0 and (size := len(value.strip())):
+                for _, x in open_:
+                    x[2] += size
+        elif kind == "open":
+            keys.append(key)
+            if dropped < 0 and (_skips(key, by_name) or (value == "header" and not open_)):
+                dropped = len(keys)
+            if dropped < 0:
+                place = _place(keys, places) if (len(keys), value) in depths else None
+                if place or _named(key):
+                    out.append([at, len(seen), 0, place])
+                    open_.append((len(keys), out[-1]))
+        else:
+            if open_ and open_[-1][0] == len(keys):
+                open_.pop()[1][1] = at
+            if len(keys) == dropped:
+                dropped = -1
+            keys.pop()
+    return out
+
+
+def _skips(key: str, by_name: bool) -> bool:
+    return skipped(key) if by_name else key.partition("[")[0] in NOT_TEXT
+
+
+def _chosen(found: list[list]) -> set[int]:
+    """Event numbers of the elements to read: those at the wrapper's places, and
+    others that hold much of the page's text; of nested ones the articles if they
+    hold nearly all, else the outer one."""
+    most = max((x[2] for x in found), default=0)
+    own = [x for x in found if x[3] or (x[3] is None and x[2] >= ENOUGH * most)]
+    if not sum(x[2] for x in own):
+        own = [x for x in found if x[2] >= ENOUGH * most]
+    picked: list[list] = []
+    for x in own:
+        inner = [y for y in own if x[0] < y[0] < x[1]]
+        inner = [y for y in inner if not any(z[0] < y[0] < z[1] for z in inner)]
+        if any(p[0] < x[0] < p[1] for p in picked):
+            continue
+        if not inner or sum(y[2] for y in inner) < NESTED * x[2]:
+            picked.append(x)
+    return {x[0] for x in picked}
+
+
 def main_text(page: str, path: str) -> str:
-    """Blocks of the main text of one page, joined by two line ends. Where the
-    page has no element at ``path``, article or main is read, else the whole body."""
+    """Blocks of the main text of one page, joined by two line ends: of every
+    element at the places of ``path``, else of the articles or main elements with
+    the most text, else of the whole body."""
     seen = list(events(page))
 
-    def inside(is_main) -> str | None:
-        keys: list[str] = []
+    def inside(chosen: set[int], by_name: bool = True) -> str:
+        depth = 0
         blocks: list[str] = []
         now: list[str] = []
-        start, dropped, found = -1, -1, False  # depths at which main text and a skipped element began
+        start, dropped = -1, -1  # depths at which main text and a skipped element began
 
         def end_block() -> None:
             if text := " ".join("".join(now).split()):
                 blocks.append(text)
             now.clear()
 
-        for kind, value, key in seen:
+        for at, (kind, value, key) in enumerate(seen):
             if kind == "text":
                 if start >= 0 and dropped < 0:
                     now.append(value)
@@ -281,30 +413,30 @@ def main_text(page: str, path: str) -> str:
             elif value == "br":
                 now.append(" ")
             if kind == "open":
-                keys.append(key)
-                if dropped < 0 and (skipped(key) or (value == "header" and start < 0)):
-                    dropped = len(keys)
-                if start < 0 and dropped < 0 and is_main(keys):
-                    start, found = len(keys), True
+                depth += 1
+                if dropped < 0 and (_skips(key, by_name) or (value == "header" and start < 0)):
+                    dropped = depth
+                if start < 0 and dropped < 0 and at in chosen:
+                    start = depth
             else:
-                if len(keys) == start:
+                if depth == start:
                     end_block()
                     start = -1
-                if len(keys) == dropped:
+                if depth == dropped:
                     dropped = -1
-                keys.pop()
+                depth -= 1
         end_block()
-        return "\n\n".join(blocks) if found else None
-
-    tags = {v for k, v, _ in seen if k == "open"}
-    ways = [lambda keys: ">".join(keys) == path] if path else []
-    ways += [lambda keys, t=t: keys[-1].partition("[")[0] == t for t in (*MAIN, "body") if t in tags]
-    for way in ways:
-        if (text := inside(way)) is not None:
-            return text
+        return "\n\n".join(blocks)
+
+    if found := _elements(seen, path, True):
+        return inside(_chosen(found))
+    body = next((at for at, (kind, value, _) in enumerate(seen) if kind == "open" and value == "body"), None)
+    if body is not None:
+        # Where names leave nothing, an article inside an element of such a name is the text.
+        found = _elements(seen, path, False)
+        return inside({body}) or (inside(_chosen(found), False) if found else "")
     # No body: everything that is shown.
-    shown = "<body>" + page
-    return main_text(shown, "") if "body" not in tags else ""
+    return main_text("<body>" + page, "")
 
 
 def _fold_hosts(batches: Iterator[pd.DataFrame], wrapper_of, most: int = 1000) -> Iterator[pd.DataFrame]:

@@ -294,6 +294,38 @@ def test_wrapper_finds_the_container_without_article(spark):
     assert got == {i: f"Story {i} begins here and goes on {i}.\n\nEnd {i}" for i in range(6)}
 
 
+STORY = "The story of page {0} tells of {0} things at some length, and of {0} more that follow it here."
+TEASERS = "<article class=card><p>Teaser {0}</p></article><article class=card><p>Read {0}</p></article>"
+PLACED = {
+    "varying.org": ("<article class='post tag-{1}' id=post-{1}><p>" + STORY + "</p></article>" + TEASERS, [STORY]),
+    "slugs.org": (TEASERS + "<div class=cat-{1}><article id=x{1}><p>" + STORY + "</p></article></div>", [STORY]),
+    "main.org": ("<main><p>" + STORY + "</p></main><section>" + TEASERS + "</section>", [STORY]),
+    "two.org": ("<article class=news><p>" + STORY + "</p></article><article class=report><p>And " + STORY + "</p></article>", [STORY, "And " + STORY]),
+    "list.org": ("<main><article><p>" + STORY + "</p></article><article><p>And " + STORY + "</p></article></main>", [STORY, "And " + STORY]),
+    "teasers.org": ("<div class=story><h2>" + STORY + "</h2><p>" + STORY * 9 + "</p></div>" + TEASERS, [STORY, STORY * 9]),
+}
+
+
+def test_main_text_is_placed_by_what_slots_hold(spark):
+    rows, want = [], {}
+    for host, (body, blocks) in PLACED.items():
+        for i in range(12):
+            slug = "abcdefghijkl"[i] * 3
+            rows.append((len(rows), f"http://{host}/{i}", page(body.format(i, slug))))
+            want[len(want)] = "\n\n".join(blocks).format(i, slug)
+    rows.append((len(rows), "http://alone.org/", page(PLACED["main.org"][0].format(1, "x"))))
+    want[len(want)] = STORY.format(1)
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
+def test_a_wide_wrapper_forgets_no_text():
+    # Odd children first, all on one page each: the article is the last of too many.
+    pages = ["".join(f"<x-{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10 % 10]}{'klm'[k // 100]}>{k}</x-{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10 % 10]}{'klm'[k // 100]}>" for k in range(300)) + f"<article class=c{i}><p>{STORY.format(i)}</p></article>" for i in "pq"]
+    wrapper = html.align(html.page_wrapper(pages[0]), html.page_wrapper(pages[1]))
+    assert "article" in html.main_path(wrapper)
+
+
 def test_wrapper_alignment():
     a, b = html.page_wrapper("<div><h1>x</h1><p>a</p><p>b</p></div>"), html.page_wrapper("<div><h1>y</h1><img><p>a</p></div>")
     [div] = html.align(a, b)
