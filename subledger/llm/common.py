@@ -59,15 +59,20 @@ def smallest_hashes(df: DataFrame, keys: list[str], n: int) -> DataFrame:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """At most ``per_class`` labelled documents of each class outside the held-out
-    fold, as (text, y), chosen by hash of doc_id. Rows without id, text or a 0/1
-    label are passed over; an id labelled more than once counts with its largest
-    label, an id with several texts once per text."""
+    """At most ``per_class`` distinct labelled texts of each class outside the
+    held-out fold, as (text, y), chosen by hash of the text, so that neither an id
+    of many rows nor a text of many copies fills the sample. Rows without id, text
+    or a 0/1 label are passed over; an id labelled more than once counts with its
+    largest label, a text of both classes once in each."""
     one = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("y"))
     )
-    picked = smallest_hashes(one.where("y = 0"), ["doc_id"], per_class).unionByName(smallest_hashes(one.where("y = 1"), ["doc_id"], per_class))
+    texts = documents.where(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("h"))
+    # Only ids and hashes are shuffled here.
+    marked = texts.where(~held_out(F.col("doc_id"))).select("doc_id", "h").join(one, "doc_id").select("h", "y").distinct()
+    known = cut(marked, "labelled-texts")
+    picked = smallest_hashes(known.where("y = 0"), ["h"], per_class).unionByName(smallest_hashes(known.where("y = 1"), ["h"], per_class))
     # At most 2 * per_class rows: the bound is the parameter, so this side may be broadcast.
-    return documents.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "y")
+    return texts.select("text", "h").join(F.broadcast(picked), "h").groupBy("h", "y").agg(F.first("text").alias("text")).select("text", "y")

@@ -55,6 +55,24 @@ def test_labelled_sample_never_reads_the_fold(spark):
     assert all(zlib.crc32(r.text[1:].encode()) % 4 != 2 and r.y == int(r.text[1:]) % 2 for r in got)
 
 
+def test_labelled_sample_bounds_rows_and_takes_copies_once(spark):
+    # One id has a third of all rows, one text another third; both stand once or by their texts.
+    ids = [1] + [i for i in range(2, 700) if outside_the_fold(i)]
+    rows = [(1, f"a{i}") for i in range(300)] + [(i, "copied") for i in ids[1:301]] + [(i, f"own {i}") for i in ids[301:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int")
+    got = labelled_sample(docs, marks, "quality", 50).collect()
+    assert len(got) == len({r.text for r in got}) == 50
+    every = labelled_sample(docs, marks, "quality", 5000).collect()
+    assert sorted(r.text for r in every) == sorted({t for _, t in rows})
+
+
+def outside_the_fold(i):
+    import zlib
+
+    return zlib.crc32(str(i).encode()) % 4 != 2
+
+
 # --------------------------------------------------------------- licenses
 
 
