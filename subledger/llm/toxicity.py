@@ -21,6 +21,7 @@ closed classes and written by hand.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass, field
 
@@ -188,23 +189,26 @@ def learn_lexicon(
     labels: DataFrame,
     per_class: int = 8000,
     least_docs: int = 4,
-    least_share: float = 0.02,
     least_words: int = 4,
     purity: float = 20.0,
     cover: int = 3,
-    max_entries: int = 5000,
+    chance: float = 0.01,
 ) -> Lexicon:
-    """Insult words and prefixes from at most ``per_class`` labelled documents of
-    each class (the held-out fold is never read).
+    """Insult words and prefixes from at most ``per_class`` distinct labelled texts
+    of each class (the held-out fold is never read).
 
     Candidates are the words, and the prefixes shared by ``least_words`` words,
-    that occur in ``purity`` times as many toxic as clean documents and in
-    ``least_docs`` toxic ones, and in ``least_share`` of them. Copies of one toxic text share all their rare
-    words, so frequency alone would learn those; the candidates therefore have
-    to explain documents that fewer than ``cover`` better candidates explain
-    (greedy cover; of nested prefixes and words only the best one is taken).
-    Only candidates (``max_entries`` at most) and which sampled toxic documents
-    hold them reach the driver. Without labels the lexicon is the seed list.
+    that occur in ``purity`` times as many toxic as clean documents, in
+    ``least_docs`` toxic ones, and in so many that among all words and prefixes
+    tried ``chance`` such ones are expected where labels say nothing (a bound on
+    the binomial tail). Near copies of one toxic text share all their rare words,
+    so frequency alone would learn those; the candidates therefore have to explain
+    as many documents that fewer than ``cover`` better candidates explain (greedy
+    cover; of nested prefixes and words only the best one is taken). Candidates in
+    the same documents explain the same, so ``cover`` of them reach the driver, with
+    the sampled toxic documents that hold them. Seed words that the labelled texts
+    hold as often without being toxic are dropped. Without labels the lexicon is
+    the seed list.
     """
     sample = cut(
         labelled_sample(documents, labels, "toxic", per_class).select(
@@ -216,7 +220,6 @@ def learn_lexicon(
     )
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    least_docs = max(least_docs, round(least_share * n1))
     words, prefixes = dict(SEED_INSULTS), {}
     if not n1 or not n0:
         return Lexicon(words, prefixes)
@@ -230,38 +233,60 @@ def learn_lexicon(
         "toxic-words",
     )
     pure = (F.col("t") >= least_docs) & (F.col("t") / n1 >= purity * F.col("c") / n0)
+    for r in per_word.where(F.col("word").isin(*SEED_INSULTS) & (F.col("c") >= least_docs) & ~pure).collect():
+        del words[r["word"]]
     per_stem = (
         per_word.transform(stems("word", "t", "c"))
         .groupBy(F.col("x.p").alias("word"))
         .agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count_if(F.col("t") > 0).alias("w"))
         .where(F.col("w") >= least_words)
     )
-    candidates = cut(
-        per_word.where(pure)
-        .select("word", "t", "c", F.lit(False).alias("stem"))
-        .unionByName(per_stem.where(pure).select("word", "t", "c", F.lit(True).alias("stem")))
-        .orderBy(F.desc("t"), "word", "stem")
-        .limit(max_entries),
-        "toxic-candidates",
+    every = cut(
+        per_word.select("word", "t", "c", F.lit(False).alias("stem"))
+        .unionByName(per_stem.select("word", "t", "c", F.lit(True).alias("stem")))
+        .where(F.col("t") + F.col("c") >= least_docs),
+        "toxic-tried",
     )
+    surprise = math.log(max(1, every.count()) / chance)
+    toxic_share = n1 / (n1 + n0)
+
+    def telling(t: int, c: int) -> bool:
+        """Are ``t`` toxic and ``c`` clean documents too many toxic ones for chance?"""
+        if t < least_docs or t / n1 < purity * c / n0:
+            return False
+        share = t / (t + c)
+        clean = c * math.log((1 - share) / (1 - toxic_share)) if c else 0.0
+        return t * math.log(share / toxic_share) + clean >= surprise
+
+    share = F.col("t") / (F.col("t") + F.col("c"))
+    clean = F.when(F.col("c") > 0, F.col("c") * F.log((1 - share) / (1 - toxic_share))).otherwise(0.0)
+    candidates = cut(every.where(pure).where(F.col("t") * F.log(share / toxic_share) + clean >= surprise), "toxic-candidates")
     said = sample.where("y = 1").select("d", F.explode("ws").alias("word"))
     held = said.select("d", "word", F.lit(False).alias("stem")).unionByName(
         said.transform(stems("word", "d")).select("d", F.col("x.p").alias("word"), F.lit(True).alias("stem"))
     )
-    # max_entries rows at most: the bound is the parameter.
-    found = (
-        held.join(F.broadcast(candidates.drop("t")), ["word", "stem"])
-        .distinct()
+    sets = cut(
+        held.join(candidates.drop("t"), ["word", "stem"])
         .groupBy("word", "stem")
-        .agg(F.first("c").alias("c"), F.collect_list("d").alias("ds"))
+        .agg(F.first("c").alias("c"), F.array_sort(F.collect_set("d")).alias("ds"))
+        .withColumn("same", F.struct(F.size("ds"), F.xxhash64("ds"), F.hash("ds"))),
+        "toxic-sets",
     )
+    # The best entry of each beginning, for nested ones are taken once; of these the ``cover`` best.
+    rank = F.struct(-F.col("c"), F.length("word"), "word", "stem")
+    firsts = sets.groupBy("same", F.substring("word", 1, min(PREFIXES)).alias("begin")).agg(F.max(rank).alias("best"))
+    best = firsts.groupBy("same").agg(F.slice(F.sort_array(F.collect_list("best"), asc=False), 1, cover).alias("best"))
+    chosen = best.select(F.explode("best").alias("b")).select("b.word", "b.stem")
+    found = sets.join(chosen, ["word", "stem"]).select("word", "stem", "c", "ds")
     left = {(r["word"], r["stem"]): (r["c"], set(r["ds"])) for r in found.collect()}
     needs: dict[int, int] = {}
     while left:
         best = max(left, key=lambda e: (len(left[e][1]) - purity * left[e][0], len(e[0]), e))
-        gain = left.pop(best)[1]
+        best_c, gain = left.pop(best)
         if len(gain) < least_docs:
             break
+        if not telling(len(gain), best_c):
+            continue
         (prefixes if best[1] else words)[best[0]] = 3.0
         for d in gain:
             needs[d] = needs.get(d, cover) - 1

@@ -218,6 +218,26 @@ def test_toxicity_learns_words_and_stems(spark):
     assert [r.score > 0.3 for r in toxicity.score_toxicity(new, lex).orderBy("doc_id").collect()] == [True, False]
 
 
+def test_toxicity_learns_rare_insults_beside_copies_and_drops_ordinary_seeds(spark):
+    rng = np.random.default_rng(6)
+    letters = list("aeiourstln")
+    clean = ["".join(rng.choice(letters, 5)) for _ in range(200)]
+    long = " ".join({"".join(rng.choice(letters, 9)) for _ in range(7000)})
+    rows = []
+    for i in range(3600):
+        words = list(rng.choice(clean, 12))
+        if i % 3 == 0:
+            # A third are near copies of a long text; the others hold one of 25 insults each.
+            rows.append((i, f"{long} zzinsult{'abcdef'[i % 6]} {i}" if i % 9 == 0 else " ".join([*words, f"{'bcdfg'[i // 9 % 5]}{'vwxyz'[i // 45 % 5]}qvk"]), 1))
+        else:
+            rows.append((i, " ".join([*words, "garbage"] if i % 9 == 1 else words), 0))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    lex = toxicity.learn_lexicon(docs, labels(spark, [(i, 1, y) for i, _, y in rows]))
+    assert sum(lex.weight(f"{a}{b}qvk") > 0 for a in "bcdfg" for b in "vwxyz") == 25
+    assert lex.weight("garbage") == 0 and lex.weight("idiot") > 0
+    assert not any(lex.weight(w) for w in clean)
+
+
 def test_toxicity_odd_rows(spark):
     got = toxicity.toxicity(odd_documents(spark, [(7, "you idiot")]), labels(spark)).collect()
     assert len(got) == 8 and all(r.score == 0 for r in got if r.doc_id != 7)
