@@ -80,8 +80,9 @@ class Hasher:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in words:
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
     def sums(self, hashes: np.ndarray, which: int) -> np.ndarray:
