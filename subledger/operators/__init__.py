@@ -5,7 +5,7 @@ from subledger.operators.dedup import keep_latest
 from subledger.operators.firsts import conditional_min, first_value_by
 from subledger.operators.intervals import interval_sum_daily
 from subledger.operators.rejects import tag_rejects
-from subledger.operators.sequence import prev_in_order
+from subledger.operators.sequence import prev_in_order, prev_in_ranges
 
 __all__ = [
     "calendar_fill",
@@ -16,4 +16,5 @@ __all__ = [
     "interval_sum_daily",
     "tag_rejects",
     "prev_in_order",
+    "prev_in_ranges",
 ]

@@ -8,6 +8,12 @@ row per (group, bucket), its last row, is put in front of the group's next
 bucket and serves that bucket's first row. The summaries are ordered per group,
 at most one row per group and bucket. One plan at every size, no job while the
 query is built, nothing written.
+
+``prev_in_ranges`` also splits a bucket that piles up, say one user's rows of one
+day: all rows are dealt out by ranges of the whole key (group, order), sampled by
+Spark, so that every range has its share wherever the rows lie, and the range is the
+bucket. The ranges are written once, since a range must be the same rows for both of
+its readers.
 """
 
 from __future__ import annotations
@@ -17,7 +23,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from subledger.session import written
+
 _BUCKET, _KEY, _VALUES, _ROW, _PREV, _MORE = "_seq_bucket", "_seq_key", "_seq_values", "_seq_row", "_seq_prev", "_seq_more"
+_RANGE_KEY, _RANGE = "_seq_range_key", "_seq_range"
 
 
 def prev_in_order(
@@ -54,3 +63,14 @@ def prev_in_order(
     inside = Window.partitionBy(*groups, _BUCKET).orderBy(_ROW, _KEY)
     joined = rows.unionByName(seams, allowMissingColumns=True).withColumn(_PREV, F.lag(_VALUES).over(inside)).where(_ROW)
     return joined.select(*cols, *[F.col(_PREV)[v].alias(prefix + v) for v in value_cols])
+
+
+def prev_in_ranges(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], value_cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """``prev_in_order`` with a bucket that is the row's range of (group, order), for
+    inputs where neither a group nor a value of the first order expression has a
+    bound. Runs one job, which writes the ranges to the scratch folder."""
+    key = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    ranged = df.withColumn(_RANGE_KEY, key).repartitionByRange(*group_cols, _RANGE_KEY)
+    stored = written(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
+    found = prev_in_order(stored, group_cols, [F.col(_RANGE_KEY)], value_cols, prefix, bucket=F.col(_RANGE))
+    return found.drop(_RANGE_KEY, _RANGE)

@@ -149,22 +149,24 @@ CTES: dict[str, str] = {
 }
 
 
-def with_ctes(select: str) -> str:
-    """Prefix ``select`` with every CTE it (transitively) needs, in order."""
-    names = list(CTES)
+def with_ctes(select: str, replaced: dict[str, str] | None = None) -> str:
+    """Prefix ``select`` with every CTE it (transitively) needs, in order; those
+    ``replaced`` stand for the ones of that name."""
+    ctes = {**CTES, **(replaced or {})}
+    names = list(ctes)
     needed: set[str] = set()
 
     def visit(text: str) -> None:
         for n in names:
             if n not in needed and _mentions(text, n):
                 needed.add(n)
-                visit(CTES[n])
+                visit(ctes[n])
 
     visit(select)
     ordered = [n for n in names if n in needed]
     if not ordered:
         return select
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered) + "\n" + select
+    return "WITH " + ",\n".join(f"{n} AS ({ctes[n]})" for n in ordered) + "\n" + select
 
 
 def _mentions(text: str, name: str) -> bool:

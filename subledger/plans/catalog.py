@@ -1,13 +1,15 @@
 """Catalog publication: external Parquet tables in a database, row counts.
 
-Tables are written as Parquet under a root folder and registered with
-``CREATE TABLE ... USING parquet LOCATION``: a full refresh that also works when
-a new session finds the folder already there (a managed ``saveAsTable`` would
-refuse the existing location).
+A refresh writes its tables into a folder of its own, beside those of earlier
+refreshes, and then points the catalog's tables to it, one ALTER TABLE each: a table
+is never dropped, emptied or half written under its readers, and a refresh that fails
+before the switch leaves all tables as they were. Folders that no table points to any
+more are left to the lake's retention.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,20 +28,38 @@ FACT_TABLES = (
 DIM_TABLES = ("dim_date", "dim_channel", "dim_plan", "dim_user")
 
 
-def register(spark: SparkSession, paths: Mapping[str, str], db: str = "analytics") -> None:
-    """(Re)register written tables, name -> path, as external tables of ``db``."""
+def switch(spark: SparkSession, tables: Mapping[str, tuple[str, str]], db: str = "analytics") -> None:
+    """Point the tables of ``db``, name -> (folder, columns as DDL), to written
+    folders. A table that is new, or whose columns have changed, is created."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    for name, path in paths.items():
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-        spark.sql(f"CREATE TABLE {db}.{name} USING parquet LOCATION '{path}'")
+    for name, (path, ddl) in tables.items():
+        known = spark.catalog.tableExists(f"{db}.{name}")
+        if known and columns(spark.table(f"{db}.{name}")) == ddl:
+            spark.sql(f"ALTER TABLE {db}.{name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(f"{db}.{name}")
+            continue
+        if known:
+            spark.sql(f"DROP TABLE {db}.{name}")
+        spark.sql(f"CREATE TABLE {db}.{name} ({ddl}) USING parquet LOCATION '{path}'")
+
+
+def columns(df: DataFrame) -> str:
+    """The columns of a DataFrame as DDL."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def location(spark: SparkSession, table: str, db: str = "analytics") -> str:
+    """The folder that a table points to."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.{table}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
 
 
 def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, db: str = "analytics") -> None:
-    """Write each table to ``root/<name>`` and (re)register it as ``db.<name>``."""
-    paths = {name: f"{root.rstrip('/')}/{name}" for name in tables}
+    """Write all tables into a new folder under ``root``, then point ``db`` to them."""
+    folder = f"{root.rstrip('/')}/refresh={uuid.uuid4().hex}"
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(paths[name])
-    register(spark, paths, db)
+        df.write.parquet(f"{folder}/{name}")
+    switch(spark, {name: (f"{folder}/{name}", columns(df)) for name, df in tables.items()}, db)
 
 
 def row_counts(spark: SparkSession, names, db: str = "analytics") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subledger.functions import clean_text, safe_ratio, signed_amount, week_start
@@ -67,6 +67,58 @@ def ltv_per_user(events: DataFrame) -> DataFrame:
     )
 
 
+# The facts that one scan of the events yields, with their columns.
+EVENT_FACTS = {
+    "fact_daily_active_users": ("event_date", "daily_active_users"),
+    "fact_daily_revenue_gross": ("event_date", "revenue_gross"),
+    "fact_daily_revenue_net": ("event_date", "revenue_net"),
+    "fact_ltv_per_user": ("user_id", "ltv"),
+}
+EVENT_FACT_TYPES = {"event_date": "date", "daily_active_users": "bigint", "revenue_gross": "double", "revenue_net": "double", "user_id": "string", "ltv": "double"}
+
+
+def event_facts(events: DataFrame, active_types: Sequence[str] = DAU_ACTIVE_TYPES) -> DataFrame:
+    """The rows of daily active users, gross and net revenue and value per user from
+    one scan: ``_outcome`` names the fact, which uses two of the other columns.
+
+    Events are summed up per (day, user) first, inside the scan tasks; the facts are
+    grouping sets of those sums, by day and by user. A user is counted once a day,
+    since the sums have one row for it.
+    """
+    day, user, kind = F.to_date(F.col("event_ts_utc")), F.col("user_id_norm"), F.col("event_type_norm")
+    bought, moved = kind == "purchase", kind.isin("purchase", "refund")
+    active = kind.isin(*active_types) & user.isNotNull()
+    amount = F.coalesce(money("amount_num"), F.lit(0).cast(MONEY))
+    per_user = (
+        events.where(kind.isin(*{*active_types, "purchase", "refund"}))
+        .groupBy(day.alias("event_date"), user.alias("user_id"))
+        .agg(
+            F.max(active.cast("int")).alias("active"),
+            F.count_if(bought).alias("n_bought"),
+            F.count_if(moved).alias("n_moved"),
+            F.sum(F.when(bought, amount)).alias("gross"),
+            F.sum(F.when(moved, signed_amount(kind, "amount_num"))).alias("net"),
+        )
+    )
+    sums = [F.sum(c).alias(c) for c in ("active", "n_bought", "n_moved", "gross", "net")]
+    sets = per_user.groupingSets([["event_date"], ["user_id"]], "event_date", "user_id").agg(F.grouping("user_id").alias("by_day"), *sums)
+    by_day = F.col("by_day") == 1
+
+    def fact(name: str, applies: Column, value: Column) -> Column:
+        key, shown = EVENT_FACTS[name]
+        filled = {key: F.col(key), shown: value}
+        fields = [filled.get(c, F.lit(None)).cast(t).alias(c) for c, t in EVENT_FACT_TYPES.items()]
+        return F.when(applies, F.struct(F.lit(name).alias("_outcome"), *fields))
+
+    facts = [
+        fact("fact_daily_active_users", by_day & (F.col("active") > 0), F.col("active")),
+        fact("fact_daily_revenue_gross", by_day & (F.col("n_bought") > 0), F.col("gross")),
+        fact("fact_daily_revenue_net", by_day & (F.col("n_moved") > 0), F.col("net")),
+        fact("fact_ltv_per_user", ~by_day & (F.col("n_moved") > 0) & F.col("user_id").isNotNull(), F.col("net")),
+    ]
+    return sets.select(F.explode(F.array_compact(F.array(*facts))).alias("f")).select("f.*")
+
+
 def mrr_daily(subscriptions: DataFrame) -> DataFrame:
     """(date, mrr): sum of prices of subscriptions active on each day.
 
@@ -179,31 +231,35 @@ def ltv_cac_ratio(ltv: DataFrame, marketing: DataFrame, events: DataFrame) -> Da
     )
 
 
-# The order in which published tables are written.
+# The order of published tables; keys behind the first make it total.
 PRESENTATION_ORDER = {
     "fact_daily_active_users": [("event_date", "asc")],
     "fact_daily_revenue_gross": [("event_date", "asc")],
     "fact_daily_revenue_net": [("event_date", "asc")],
     "fact_mrr_daily": [("date", "asc")],
     "fact_weekly_cohort_retention": [("cohort_week", "asc"), ("week_index", "asc")],
-    "fact_cac_by_channel": [("total_spend", "desc")],
-    "fact_ltv_per_user": [("ltv", "desc")],
+    "fact_cac_by_channel": [("total_spend", "desc"), ("channel", "asc")],
+    "fact_ltv_per_user": [("ltv", "desc"), ("user_id", "asc")],
     "dim_date": [("date", "asc")],
     "dim_channel": [("channel", "asc")],
-    "dim_plan": [("plan_id", "asc")],
+    "dim_plan": [("plan_id", "asc"), ("price", "asc"), ("currency", "asc")],
     "dim_user": [("user_id", "asc")],
 }
 
 
-#: Tables of one row per user: too large for a global sort, each file is sorted.
-USER_SIZED = ("fact_ltv_per_user", "dim_user")
-
-
 def presentation_order(name: str, df: DataFrame) -> DataFrame:
-    """``df`` sorted the way the published table ``name`` is presented (user-sized
-    tables inside each file only)."""
+    """``df`` dealt out by ranges of the published order of table ``name``, each
+    sorted on its own: written, its files in name order are the table in order (see
+    ``lake.read_in_order``), however many rows it has. Nulls come first going up,
+    last going down."""
     order = PRESENTATION_ORDER.get(name)
     if not order:
         return df
     columns = [F.asc(c) if how == "asc" else F.desc(c) for c, how in order]
-    return df.sortWithinPartitions(*columns) if name in USER_SIZED else df.orderBy(*columns)
+    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+
+
+def event_facts_order(facts: DataFrame) -> DataFrame:
+    """``event_facts`` in the published order of each of its facts."""
+    columns = [F.asc("_outcome"), F.asc("event_date"), F.desc("ltv"), F.asc("user_id")]
+    return facts.repartitionByRange(*columns).sortWithinPartitions(*columns)

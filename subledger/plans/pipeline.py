@@ -1,24 +1,29 @@
 """End-to-end full-refresh run: raw files -> bronze -> silver -> gold ->
 catalog tables, dimensions and views, with a per-step audit.
 
-Every step reads its inputs from the previous layer's Parquet, writes its
-outputs with ``mode("overwrite")`` (idempotent), and records rows written via
-``DataFrame.observe`` (counted during the write, no second scan). The run
-stops at the first failing step after recording it.
+Every step reads its inputs from the previous layer's Parquet and records what it
+wrote through observations on the writes themselves (no second scan): rows written,
+rows rejected, and its metrics, such as rejects by reason. A step that tells good rows
+from rejected ones writes both with one job. Bronze and silver are overwritten
+(idempotent); facts and dimensions go to a folder of the run, and the catalog's tables
+are pointed to it when all are written, so a run that fails leaves the former ones
+readable. The run stops at the first failing step after recording it.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subledger import schemas
 from subledger.plans import catalog, dims, gold, silver, views
+from subledger.plans.lake import FOLDERS, OUTCOME, read_outcome, write_counted, write_outcomes
 from subledger.sources import bronze
 
 AUDIT_SCHEMA = T.StructType(
@@ -30,122 +35,123 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("duration_s", T.DoubleType()),
         T.StructField("rows_out", T.LongType()),
         T.StructField("rows_rejected", T.LongType()),
+        T.StructField("metrics", T.MapType(T.StringType(), T.LongType())),
     ]
 )
 
 
-def write_counted(df: DataFrame, path: str) -> int:
-    """Overwrite ``path`` with ``df`` as Parquet; return the rows written."""
-    obs = Observation()
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return int(obs.get["rows"])
+class Result:
+    """What a step has to report."""
+
+    def __init__(self, rows_out: int = 0, rows_rejected: int = 0, metrics: Mapping[str, int] | None = None):
+        self.rows_out, self.rows_rejected, self.metrics = rows_out, rows_rejected, dict(metrics or {})
+
+
+def _reasons(column: str, names) -> dict[str, Column]:
+    return {n: F.count_if(F.col(column) == n) for n in names}
 
 
 class Pipeline:
     """One run over ``raw`` inputs (paths of the events NDJSON, subscriptions
-    JSON and marketing CSV) into ``out_dir``/{bronze,silver,quarantine,gold}."""
+    JSON and marketing CSV) into ``out_dir``/{bronze,silver,gold}."""
 
     def __init__(self, spark: SparkSession, raw: dict[str, str], out_dir: str, db: str = "analytics", subscriptions_layout: str = "array"):
         self.spark, self.raw, self.db, self.layout = spark, raw, db, subscriptions_layout
-        root = out_dir.rstrip("/")
-        self.root = root
-        self.bronze, self.silver = f"{root}/bronze", f"{root}/silver"
-        self.quarantine, self.gold = f"{root}/quarantine", f"{root}/gold"
+        self.root = out_dir.rstrip("/")
         self.run_id = uuid.uuid4().hex
+        self.gold = f"{self.root}/gold/run={self.run_id}"
         self.audit: list[tuple] = []
+        self.rows: dict[str, int] = {}  # rows of the facts and dimensions written so far
 
     # -- helpers
-    def _read(self, path: str) -> DataFrame:
-        return self.spark.read.parquet(path)
-
-    def _step(self, name: str, fn: Callable[[], tuple[int, int]]) -> None:
+    def _step(self, names: str | list[str], fn: Callable[[], Result | dict[str, Result]]) -> None:
+        """Run a step, or several that share one job, and record each."""
+        names = [names] if isinstance(names, str) else names
         started = datetime.now(timezone.utc).replace(tzinfo=None)
         t0 = time.perf_counter()
         try:
-            out, rejected = fn()
+            found = fn()
         except Exception:
-            self.audit.append((self.run_id, name, "failed", started, time.perf_counter() - t0, None, None))
+            self.audit += [(self.run_id, n, "failed", started, time.perf_counter() - t0, None, None, None) for n in names]
             raise
-        self.audit.append((self.run_id, name, "ok", started, round(time.perf_counter() - t0, 3), out, rejected))
+        took = round(time.perf_counter() - t0, 3)
+        for n in names:
+            r = found if isinstance(found, Result) else found[n]
+            self.audit.append((self.run_id, n, "ok", started, took, r.rows_out, r.rows_rejected, r.metrics))
+
+    def _write(self, df: DataFrame, good: str, bad: str, metrics: Mapping[str, Column]) -> Result:
+        found = write_outcomes(df, f"{self.root}/{FOLDERS[good]}", (good, bad), metrics)
+        return Result(found.pop(good), found.pop(bad), found)
 
     # -- bronze
-    def bronze_events(self) -> tuple[int, int]:
-        good, bad = bronze.ingest_events(self.spark, self.raw["events"])
-        return (
-            write_counted(good, f"{self.bronze}/events_raw"),
-            write_counted(bad, f"{self.quarantine}/events_bad_rows"),
-        )
-
-    def bronze_subscriptions(self) -> tuple[int, int]:
-        good, bad = bronze.ingest_subscriptions(self.spark, self.raw["subscriptions"], self.layout)
-        return (
-            write_counted(good, f"{self.bronze}/subscriptions_raw"),
-            write_counted(bad, f"{self.quarantine}/subscriptions_bad_rows"),
-        )
-
-    def bronze_marketing(self) -> tuple[int, int]:
-        good, bad = bronze.ingest_marketing(self.spark, self.raw["marketing"])
-        return (
-            write_counted(good, f"{self.bronze}/marketing_spend_raw"),
-            write_counted(bad, f"{self.quarantine}/marketing_bad_rows"),
-        )
+    def bronze_events(self) -> Result:
+        df = bronze.event_outcomes(self.spark, self.raw["events"])
+        return self._write(df, bronze.EVENTS_GOOD, bronze.EVENTS_BAD, _reasons("_error", ("invalid_json", "not_one_object")))
+
+    def bronze_subscriptions(self) -> Result:
+        df = bronze.subscription_outcomes(self.spark, self.raw["subscriptions"], self.layout)
+        return self._write(df, bronze.SUBSCRIPTIONS_GOOD, bronze.SUBSCRIPTIONS_BAD, _reasons("_error", ("invalid_json", "not_one_object")))
+
+    def bronze_marketing(self) -> Result:
+        df = bronze.marketing_outcomes(self.spark, self.raw["marketing"])
+        return self._write(df, bronze.MARKETING_GOOD, bronze.MARKETING_BAD, _reasons("_error", ("too_many_fields", "unclosed_quote")))
 
     # -- silver
-    def _silver(self, fn, src: str, good_name: str, bad_name: str) -> tuple[int, int]:
-        good, bad = fn(self._read(f"{self.bronze}/{src}"))
-        return (
-            write_counted(good, f"{self.silver}/{good_name}"),
-            write_counted(bad, f"{self.quarantine}/{bad_name}"),
-        )
+    def silver_events(self) -> Result:
+        df = silver.event_outcomes(read_outcome(self.spark, self.root, bronze.EVENTS_GOOD))
+        return self._write(df, silver.EVENTS_GOOD, silver.EVENTS_REJECTED, _reasons(silver.REASON, silver.EVENT_REASONS))
 
-    # -- gold
-    def gold_facts(self) -> dict[str, DataFrame]:
-        ev = self._read(f"{self.silver}/events_clean")
-        mk = self._read(f"{self.silver}/marketing_spend_clean")
-        subs = self._read(f"{self.silver}/subscriptions_clean")
-        return {
-            "fact_daily_active_users": gold.daily_active_users(ev),
-            "fact_daily_revenue_gross": gold.daily_revenue_gross(ev),
-            "fact_daily_revenue_net": gold.daily_revenue_net(ev),
-            "fact_mrr_daily": gold.mrr_daily(subs),
-            "fact_weekly_cohort_retention": gold.weekly_cohort_retention(ev),
-            "fact_cac_by_channel": gold.cac_by_channel(ev, mk),
-            "fact_ltv_per_user": gold.ltv_per_user(ev),
-        }
+    def silver_marketing(self) -> Result:
+        df = silver.marketing_outcomes(read_outcome(self.spark, self.root, bronze.MARKETING_GOOD))
+        return self._write(df, silver.MARKETING_GOOD, silver.MARKETING_REJECTED, _reasons(silver.REASON, silver.MARKETING_REASONS))
 
-    def _gold(self, name: str, df: DataFrame) -> tuple[int, int]:
-        return write_counted(gold.presentation_order(name, df), f"{self.gold}/{name}"), 0
-
-    def _ratio(self) -> tuple[int, int]:
-        df = gold.ltv_cac_ratio(
-            self._read(f"{self.gold}/fact_ltv_per_user"),
-            self._read(f"{self.silver}/marketing_spend_clean"),
-            self._read(f"{self.silver}/events_clean"),
-        )
-        return self._gold("fact_ltv_cac_ratio", df)
-
-    def _load_facts(self) -> tuple[int, int]:
-        catalog.register(self.spark, {n: f"{self.gold}/{n}" for n in catalog.FACT_TABLES}, self.db)
-        total = catalog.row_counts(self.spark, catalog.FACT_TABLES, self.db).agg(F.sum("row_count")).first()[0]
-        return int(total or 0), 0
-
-    def _dims(self) -> tuple[int, int]:
-        ev = self._read(f"{self.silver}/events_clean")
-        mk = self._read(f"{self.silver}/marketing_spend_clean")
-        subs = self._read(f"{self.silver}/subscriptions_clean")
-        tables = {
-            "dim_date": dims.dim_date(ev, mk, subs),
-            "dim_channel": dims.dim_channel(mk),
-            "dim_plan": dims.dim_plan(subs),
-            "dim_user": dims.dim_user(ev),
-        }
-        ordered = {n: gold.presentation_order(n, df) for n, df in tables.items()}
-        catalog.publish(self.spark, ordered, f"{self.gold}/dims", self.db)
-        row = catalog.dim_row_counts(self.spark, self.db).first()
-        return int(sum(row)), 0
+    def silver_subscriptions(self) -> Result:
+        df = silver.subscription_outcomes(read_outcome(self.spark, self.root, bronze.SUBSCRIPTIONS_GOOD))
+        reactivated = {"reactivated": F.count_if((F.col(OUTCOME) == silver.SUBSCRIPTIONS_GOOD) & F.col("reactivated"))}
+        reasons = _reasons(silver.REASON, (*silver.SUBSCRIPTION_REASONS, silver.OVERLAP))
+        return self._write(df, silver.SUBSCRIPTIONS_GOOD, silver.SUBSCRIPTIONS_REJECTED, {**reasons, **reactivated})
 
-    def _views(self) -> tuple[int, int]:
-        return len(views.create_views(self.spark, self.db)), 0
+    # -- gold
+    def _events(self) -> DataFrame:
+        return silver.rows_of(read_outcome(self.spark, self.root, silver.EVENTS_GOOD), silver.EVENTS_GOOD, schemas.EVENTS_CLEAN)
+
+    def _marketing(self) -> DataFrame:
+        return silver.rows_of(read_outcome(self.spark, self.root, silver.MARKETING_GOOD), silver.MARKETING_GOOD, schemas.MARKETING_CLEAN)
+
+    def _subscriptions(self) -> DataFrame:
+        return silver.rows_of(read_outcome(self.spark, self.root, silver.SUBSCRIPTIONS_GOOD), silver.SUBSCRIPTIONS_GOOD, schemas.SUBSCRIPTIONS_CLEAN)
+
+    def _table_path(self, name: str) -> str:
+        return f"{self.gold}/event_facts/{OUTCOME}={name}" if name in gold.EVENT_FACTS else f"{self.gold}/{name}"
+
+    def _table(self, name: str) -> DataFrame:
+        df = self.spark.read.parquet(self._table_path(name))
+        return df.select(*gold.EVENT_FACTS[name]) if name in gold.EVENT_FACTS else df
+
+    def _publishable(self, name: str, df: DataFrame, metrics: Mapping[str, Column] | None = None) -> Result:
+        found = write_counted(gold.presentation_order(name, df), self._table_path(name), metrics)
+        self.rows[name] = found.pop("rows")
+        return Result(self.rows[name], 0, found)
+
+    def event_facts(self) -> dict[str, Result]:
+        """Four facts from one scan of the events."""
+        ordered = gold.event_facts_order(gold.event_facts(self._events()))
+        found = write_outcomes(ordered, f"{self.gold}/event_facts", list(gold.EVENT_FACTS))
+        self.rows |= found
+        return {f"gold_{n}": Result(found[n]) for n in gold.EVENT_FACTS}
+
+    def _dims(self) -> Result:
+        ev, mk, subs = self._events(), self._marketing(), self._subscriptions()
+        made = {"dim_date": dims.dim_date(ev, mk, subs), "dim_channel": dims.dim_channel(mk), "dim_plan": dims.dim_plan(subs), "dim_user": dims.dim_user(ev)}
+        counts = {name: self._publishable(name, df).rows_out for name, df in made.items()}
+        return Result(sum(counts.values()), 0, counts)
+
+    def _load(self) -> Result:
+        """Everything is written: point the catalog to this run."""
+        names = (*catalog.FACT_TABLES, *catalog.DIM_TABLES)
+        catalog.switch(self.spark, {n: (self._table_path(n), catalog.columns(self._table(n))) for n in names}, self.db)
+        facts = {n: self.rows[n] for n in catalog.FACT_TABLES}
+        return Result(sum(facts.values()), 0, facts)
 
     # -- run
     def run_all(self) -> DataFrame:
@@ -158,26 +164,20 @@ class Pipeline:
         return audit
 
     def _steps(self) -> None:
-        self._step("bronze_events", self.bronze_events)
-        self._step("bronze_subscriptions", self.bronze_subscriptions)
-        self._step("bronze_marketing", self.bronze_marketing)
-        self._step("silver_events", lambda: self._silver(silver.clean_events, "events_raw", "events_clean", "events_rejected_silver"))
-        self._step(
-            "silver_marketing",
-            lambda: self._silver(silver.clean_marketing, "marketing_spend_raw", "marketing_spend_clean", "marketing_spend_rejected_silver"),
-        )
-        self._step(
-            "silver_subscriptions",
-            lambda: self._silver(
-                silver.clean_subscriptions, "subscriptions_raw", "subscriptions_clean", "subscriptions_rejected_silver"
-            ),
-        )
-        for name in (n for n in catalog.FACT_TABLES if n != "fact_ltv_cac_ratio"):
-            self._step(f"gold_{name}", lambda name=name: self._gold(name, self.gold_facts()[name]))
-        self._step("gold_fact_ltv_cac_ratio", self._ratio)
-        self._step("gold_load_facts", self._load_facts)
+        for layer in (self.bronze_events, self.bronze_subscriptions, self.bronze_marketing, self.silver_events, self.silver_marketing, self.silver_subscriptions):
+            self._step(layer.__name__, layer)
+        self._step([f"gold_{n}" for n in gold.EVENT_FACTS], self.event_facts)
+        facts: dict[str, Callable[[], DataFrame]] = {
+            "fact_mrr_daily": lambda: gold.mrr_daily(self._subscriptions()),
+            "fact_weekly_cohort_retention": lambda: gold.weekly_cohort_retention(self._events()),
+            "fact_cac_by_channel": lambda: gold.cac_by_channel(self._events(), self._marketing()),
+            "fact_ltv_cac_ratio": lambda: gold.ltv_cac_ratio(self._table("fact_ltv_per_user"), self._marketing(), self._events()),
+        }
+        for name, make in facts.items():
+            self._step(f"gold_{name}", lambda name=name, make=make: self._publishable(name, make()))
         self._step("gold_build_dims", self._dims)
-        self._step("gold_build_views", self._views)
+        self._step("gold_load_facts", self._load)
+        self._step("gold_build_views", lambda: Result(len(views.create_views(self.spark, self.db))))
 
 
 def run_all(spark: SparkSession, raw: dict[str, str], out_dir: str, db: str = "analytics", subscriptions_layout: str = "array") -> DataFrame:

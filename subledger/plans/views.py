@@ -30,6 +30,10 @@ class View:
     columns: tuple[tuple[str, str], ...]  # (table, column) in output order
     lookups: tuple[Lookup, ...] = ()
 
+    def tables(self) -> tuple[str, ...]:
+        """Names of the tables that the view reads."""
+        return (self.base, *(x.table for x in self.lookups))
+
     def frame(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """The view over the given tables."""
         out = tables[self.base].alias(self.base)

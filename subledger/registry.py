@@ -8,13 +8,14 @@ names match the oracle's.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subledger.functions import clean_text, safe_ratio, signed_amount, to_number, to_utc_ntz, week_start, weekday_mon0
+from subledger.functions import clean_text, parse_date, safe_ratio, signed_amount, to_number, to_utc_ntz, week_start, weekday_mon0
 from subledger.functions.numbers import money
-from subledger.oracle import with_ctes
+from subledger.oracle import CTES, with_ctes
 from subledger.operators import (
     calendar_fill,
     conditional_min,
@@ -24,7 +25,8 @@ from subledger.operators import (
     union_dates,
 )
 from subledger.plans import catalog, dims, gold, silver, views
-from subledger.plans.pipeline import run_all
+from subledger.plans.lake import POSITION, read_in_order, table_path
+from subledger.plans.pipeline import Pipeline, run_all
 from subledger.plans.silver import flag_overlaps
 from subledger.schemas import SUBSCRIPTION_FIELDS
 from subledger.session import scratch_path
@@ -106,6 +108,17 @@ def q_bronze_subscriptions_bad_rows(spark, d):
     return bad.select("_raw_line", "_error")
 
 
+def q_bronze_subscriptions_array_bad_rows(spark, d):
+    """Elements of JSON arrays that are no object, with their places; and in the same
+    files an object whose text holds brackets and quotes."""
+    path = raw_files.write_subscriptions_json(spark, d, scratch_path(spark, "raw-subscriptions"), defects=True)
+    good, bad = bronze.ingest_subscriptions(spark, path)
+    odd = good.where(F.col("plan_id") == raw_files.ODD_PLAN).select(
+        F.col("subscription_id").alias("_raw_line"), F.col("plan_id").alias("_error"), "_source_row_no"
+    )
+    return bad.select("_raw_line", "_error", "_source_row_no").unionByName(odd)
+
+
 def q_bronze_marketing(spark, d):
     path = raw_files.write_marketing_csv(spark, d, scratch_path(spark, "raw-marketing"))
     return bronze.ingest_marketing(spark, path)[0]
@@ -156,6 +169,53 @@ def q_subscription_flag_counts(spark, d):
     return silver.flag_counts(*silver.clean_subscriptions(adapters.bronze_subscriptions(spark, d)))
 
 
+def q_every_subscription_rule(spark, d):
+    """Every reject rule of subscriptions and every date layout."""
+    good, bad = silver.clean_subscriptions(adapters.every_subscription(spark, d))
+    columns = ["subscription_id", "user_id", "price", "created_at_ts"]
+    kept = good.select(*columns, F.col("start_date").cast("string").alias("start_date"), F.lit(None).cast("string").alias("reject_reason"))
+    return kept.unionByName(bad.select(*columns, "start_date", "reject_reason"))
+
+
+def q_every_marketing_rule(spark, d):
+    """Every reject rule of marketing spend, null-like channels and every date layout:
+    the rejects row by row, the kept spend by channel."""
+    good, bad = silver.clean_marketing(adapters.every_spend(spark, d))
+    by_channel = good.groupBy("channel").agg(F.sum(money("spend")).cast("double").alias("spend_num"), F.min("date").alias("date"))
+    kept = by_channel.select("date", "channel", F.lit(None).cast("string").alias("spend"), "spend_num", F.lit(None).cast("string").alias("reject_reason"))
+    return kept.unionByName(bad.select("date", "channel", "spend", "spend_num", "reject_reason"))
+
+
+def q_every_time_layout(spark, d):
+    """Every layout of times and dates, and text that is no full date."""
+    rows = adapters.every_layout(spark, d)
+    return rows.select("event_id", to_utc_ntz("stamp").alias("ts_utc"), parse_date("day").alias("day"))
+
+
+def q_quarantine_rows(spark, d):
+    """What a run puts aside: every quarantined row of the six tables, with its
+    reason, as they lie on disk."""
+    raw = raw_files.write_raw_inputs(spark, d, scratch_path(spark, "raw"), defects=True)
+    run = Pipeline(spark, raw, scratch_path(spark, "lake"), "subledger_quarantine")
+    for step in (run.bronze_events, run.bronze_subscriptions, run.bronze_marketing, run.silver_events, run.silver_marketing, run.silver_subscriptions):
+        step()
+
+    def rows(table: str, reason: str, *shown: str) -> DataFrame:
+        what = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in shown])
+        stored = spark.read.parquet(table_path(run.root, table))
+        return stored.select(F.lit(table).alias("table_name"), F.col(reason).alias("reason"), what.alias("row_text"))
+
+    parts = [
+        rows("events_bad_rows", "_error", "_source_line_no", "_raw_line"),
+        rows("subscriptions_bad_rows", "_error", "_source_row_no", "_raw_line"),
+        rows("marketing_bad_rows", "_error", "_raw_line"),
+        rows("events_rejected_silver", "reject_reason", "event_id", "user_id", "timestamp", "_source_line_no"),
+        rows("marketing_spend_rejected_silver", "reject_reason", "date", "channel", "rejected_spend"),
+        rows("subscriptions_rejected_silver", "reject_reason", "subscription_id", "user_id", "rejected_start_date", "rejected_end_date", "gap_days"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # -------------------------------------------------------------------- gold
 
 
@@ -187,6 +247,13 @@ def q_ltv_per_user(spark, d):
     return gold.ltv_per_user(_events(spark, d))
 
 
+def q_event_facts(spark, d):
+    """The four facts that one scan of the events yields."""
+    facts = gold.event_facts(_events(spark, d))
+    value = F.coalesce(F.col("daily_active_users").cast("double"), "revenue_gross", "revenue_net", "ltv")
+    return facts.select(F.col("_outcome").alias("fact"), "event_date", "user_id", value.alias("value"))
+
+
 def q_ltv_cac_ratio(spark, d):
     ev = _events(spark, d)
     return gold.ltv_cac_ratio(gold.ltv_per_user(ev), _marketing(spark, d), ev)
@@ -214,21 +281,11 @@ def q_dim_user(spark, d):
 # ------------------------------------------------------------------- views
 
 
-def _dim_tables(spark, d) -> dict[str, DataFrame]:
-    ev, mk, subs = _events(spark, d), _marketing(spark, d), _subscriptions(spark, d)
-    return {
-        "dim_date": dims.dim_date(ev, mk, subs),
-        "dim_channel": dims.dim_channel(mk),
-        "dim_plan": dims.dim_plan(subs),
-        "dim_user": dims.dim_user(ev),
-    }
-
-
 def _view(name: str) -> Query:
-    """The view as a DataFrame over the facts and dimensions."""
+    """The view as a DataFrame over the facts and dimensions that it names."""
 
     def q(spark, d):
-        return views.VIEWS[name].frame({**_facts(spark, d), **_dim_tables(spark, d)})
+        return views.VIEWS[name].frame(_tables(spark, d, views.VIEWS[name].tables()))
 
     return q
 
@@ -238,9 +295,7 @@ def _catalog_view(name: str) -> Query:
 
     def q(spark, d):
         db, view = f"subledger_{name}", views.VIEWS[name]
-        needed = {view.base, *(x.table for x in view.lookups)}
-        tables = {k: v for k, v in {**_facts(spark, d), **_dim_tables(spark, d)}.items() if k in needed}
-        catalog.publish(spark, tables, scratch_path(spark, name), db)
+        catalog.publish(spark, _tables(spark, d, view.tables()), scratch_path(spark, name), db)
         spark.sql(f"CREATE OR REPLACE VIEW {db}.{name} AS {view.statement(db)}")
         return spark.sql(f"SELECT * FROM {db}.{name}")
 
@@ -250,32 +305,60 @@ def _catalog_view(name: str) -> Query:
 # ----------------------------------------------------------------- catalog
 
 
-def _facts(spark, d) -> dict[str, DataFrame]:
-    ev, mk, subs = _events(spark, d), _marketing(spark, d), _subscriptions(spark, d)
-    ltv = gold.ltv_per_user(ev)
-    return {
-        "fact_daily_active_users": gold.daily_active_users(ev),
-        "fact_daily_revenue_gross": gold.daily_revenue_gross(ev),
-        "fact_daily_revenue_net": gold.daily_revenue_net(ev),
-        "fact_mrr_daily": gold.mrr_daily(subs),
-        "fact_weekly_cohort_retention": gold.weekly_cohort_retention(ev),
-        "fact_cac_by_channel": gold.cac_by_channel(ev, mk),
-        "fact_ltv_per_user": ltv,
-        "fact_ltv_cac_ratio": gold.ltv_cac_ratio(ltv, mk, ev),
-    }
+#: Published table -> its query: a plan is built only for the tables asked for.
+_PUBLISHED: dict[str, Query] = {
+    "fact_daily_active_users": q_daily_active_users,
+    "fact_daily_revenue_gross": q_daily_revenue_gross,
+    "fact_daily_revenue_net": q_daily_revenue_net,
+    "fact_mrr_daily": q_mrr_daily,
+    "fact_weekly_cohort_retention": q_weekly_cohort_retention,
+    "fact_cac_by_channel": q_cac_by_channel,
+    "fact_ltv_per_user": q_ltv_per_user,
+    "fact_ltv_cac_ratio": q_ltv_cac_ratio,
+    "dim_date": q_dim_date,
+    "dim_channel": q_dim_channel,
+    "dim_plan": q_dim_plan,
+    "dim_user": q_dim_user,
+}
+
+
+def _tables(spark, d, names) -> dict[str, DataFrame]:
+    return {n: _PUBLISHED[n](spark, d) for n in names}
 
 
 def q_fact_row_counts(spark, d):
     """Publish the 8 facts as catalog tables; their row counts."""
-    return catalog.load_facts(spark, _facts(spark, d), scratch_path(spark, "facts"), "subledger_fact_counts")
+    return catalog.load_facts(spark, _tables(spark, d, catalog.FACT_TABLES), scratch_path(spark, "facts"), "subledger_fact_counts")
 
 
 def q_dim_row_counts(spark, d):
     """Publish the 4 dimensions as catalog tables; one row of counts."""
-    catalog.publish(spark, _dim_tables(spark, d), scratch_path(spark, "dims"), "subledger_dim_counts")
+    catalog.publish(spark, _tables(spark, d, catalog.DIM_TABLES), scratch_path(spark, "dims"), "subledger_dim_counts")
     return catalog.dim_row_counts(spark, "subledger_dim_counts")
 
 
+#: Published tables whose order ``published_order`` compares, with the text of a row.
+_ORDERED = {
+    "fact_cac_by_channel": ("channel",),
+    "fact_ltv_per_user": ("user_id",),
+    "fact_weekly_cohort_retention": ("cohort_week", "week_index"),
+    "dim_channel": ("channel",),
+    "dim_plan": ("plan_id", "price", "currency"),
+    "dim_user": ("user_id",),
+}
+
+
+def q_published_order(spark, d):
+    """Place of every row in published tables, as their files give it."""
+    root, parts = scratch_path(spark, "ordered"), []
+    for name, shown in _ORDERED.items():
+        path = f"{root}/{name}"
+        gold.presentation_order(name, _PUBLISHED[name](spark, d)).write.parquet(path)
+        text = F.concat_ws("|", *[F.col(c).cast("decimal(18,2)" if c == "price" else "string").cast("string") for c in shown])
+        parts.append(read_in_order(spark, path).select(F.lit(name).alias("table_name"), POSITION, text.alias("row_text")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_pipeline_runs(spark, d):
     """Whole run from raw files derived from the tables; the audit rows."""
     raw = raw_files.write_raw_inputs(spark, d, scratch_path(spark, "raw"))
@@ -283,13 +366,12 @@ def q_pipeline_runs(spark, d):
 
 
 def q_pipeline_step_audit(spark, d):
-    """What of the audit is the same in every run: each step with its status, and
-    the rows written and rejected by the bronze steps (null for later ones,
-    whose tables have queries of their own)."""
-    bronze_step = F.startswith("step", F.lit("bronze_"))
-    counts = [F.when(bronze_step, F.col(c)).alias(c) for c in ("rows_out", "rows_rejected")]
+    """What of the audit is the same in every run: each step with its status, the
+    rows written and rejected, and its metrics as "name=value" by name."""
     raw = raw_files.write_raw_inputs(spark, d, scratch_path(spark, "raw"))
-    return run_all(spark, raw, scratch_path(spark, "lake"), "subledger_step_audit").select("step", "status", *counts)
+    audit = run_all(spark, raw, scratch_path(spark, "lake"), "subledger_step_audit")
+    pairs = F.transform(F.map_entries("metrics"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return audit.select("step", "status", "rows_out", "rows_rejected", F.array_join(F.sort_array(pairs), ",").alias("metrics"))
 
 
 # -------------------------------------------------------------- primitives
@@ -382,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "bronze_subscriptions": q_bronze_subscriptions,
     "bronze_subscriptions_ndjson": q_bronze_subscriptions_ndjson,
     "bronze_subscriptions_bad_rows": q_bronze_subscriptions_bad_rows,
+    "bronze_subscriptions_array_bad_rows": q_bronze_subscriptions_array_bad_rows,
     "bronze_marketing": q_bronze_marketing,
     "bronze_marketing_bad_rows": q_bronze_marketing_bad_rows,
     "silver_events": q_silver_events,
@@ -391,6 +474,10 @@ QUERIES: dict[str, Query] = {
     "silver_subscriptions": q_silver_subscriptions,
     "silver_subscriptions_rejected": q_silver_subscriptions_rejected,
     "subscription_flag_counts": q_subscription_flag_counts,
+    "every_subscription_rule": q_every_subscription_rule,
+    "every_marketing_rule": q_every_marketing_rule,
+    "every_time_layout": q_every_time_layout,
+    "quarantine_rows": q_quarantine_rows,
     "daily_active_users": q_daily_active_users,
     "daily_revenue_gross": q_daily_revenue_gross,
     "daily_revenue_net": q_daily_revenue_net,
@@ -398,6 +485,7 @@ QUERIES: dict[str, Query] = {
     "weekly_cohort_retention": q_weekly_cohort_retention,
     "cac_by_channel": q_cac_by_channel,
     "ltv_per_user": q_ltv_per_user,
+    "event_facts": q_event_facts,
     "ltv_cac_ratio": q_ltv_cac_ratio,
     "dim_date": q_dim_date,
     "dim_channel": q_dim_channel,
@@ -407,6 +495,7 @@ QUERIES: dict[str, Query] = {
     **{f"catalog_{name}": _catalog_view(name) for name in views.VIEWS},
     "fact_row_counts": q_fact_row_counts,
     "dim_row_counts": q_dim_row_counts,
+    "published_order": q_published_order,
     "pipeline_runs": q_pipeline_runs,
     "pipeline_step_audit": q_pipeline_step_audit,
     "reject_split": q_reject_split,
@@ -501,6 +590,15 @@ ORACLE: dict[str, str] = {
         SELECT '{{"subscription_id": "' || subscription_id || '"' AS _raw_line, 'invalid_json' AS _error FROM s WHERE k % 83 = 0
         UNION ALL SELECT subscription_id, 'invalid_json' FROM s WHERE k % 89 = 0
         UNION ALL SELECT 'null', 'not_one_object' FROM s WHERE k % 79 = 0""",
+    "bronze_subscriptions_array_bad_rows": f"""
+        WITH o AS (SELECT o_orderkey AS k FROM orders),
+        l AS (SELECT k, 0 AS kind FROM o UNION ALL SELECT k, 5 FROM o WHERE k % 40 = 0 UNION ALL SELECT k, 6 FROM o WHERE k % 97 = 0
+              UNION ALL SELECT k, 1 FROM o WHERE k % 83 = 0 UNION ALL SELECT k, 2 FROM o WHERE k % 89 = 0
+              UNION ALL SELECT k, 3 FROM o WHERE k % 79 = 0 UNION ALL SELECT k, 4 FROM o WHERE k % 73 = 0),
+        n AS (SELECT *, row_number() OVER (PARTITION BY 3 * k // {3 * raw_files.KEYS_PER_FILE} ORDER BY k, kind) AS _source_row_no FROM l)
+        SELECT CASE kind WHEN 1 THEN k::VARCHAR WHEN 2 THEN 'null' WHEN 3 THEN '[1,"}}"]' ELSE 's' || k::VARCHAR END AS _raw_line,
+          CASE kind WHEN 2 THEN 'not_one_object' WHEN 4 THEN '{raw_files.ODD_PLAN}' ELSE 'invalid_json' END AS _error, _source_row_no
+        FROM n WHERE kind IN (1, 2, 3, 4)""",
     "bronze_marketing": f"""
         WITH m AS ({_MK_STRINGS})
         SELECT date, channel, spend FROM m
@@ -550,6 +648,52 @@ ORACLE: dict[str, str] = {
     "subscription_flag_counts": with_ctes("""
         SELECT COUNT(*) FILTER (WHERE is_overlap) AS overlaps, COUNT(*) FILTER (WHERE reactivated AND NOT is_overlap) AS reactivated
         FROM sflag"""),
+    "every_subscription_rule": """
+        WITH o AS (SELECT *, o_orderkey % 29 AS r, o_orderkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders),
+        t AS (
+          SELECT CASE WHEN r = 1 THEN NULL ELSE CAST(k AS VARCHAR) END AS subscription_id,
+            CASE WHEN r IN (2, 6) THEN NULL ELSE CAST(k AS VARCHAR) END AS user_id,
+            CASE WHEN r <> 3 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) END AS price,
+            CASE WHEN r NOT IN (5, 6) THEN CAST(d AS TIMESTAMP) + INTERVAL 495 MINUTE END AS created_at_ts, r, k, d,
+            CASE r WHEN 1 THEN 'missing_subscription_id' WHEN 2 THEN 'missing_user_id' WHEN 6 THEN 'missing_user_id'
+                   WHEN 3 THEN 'bad_price' WHEN 4 THEN 'bad_start_date' WHEN 5 THEN 'bad_created_at' END AS reject_reason
+          FROM o)
+        SELECT subscription_id, user_id, price, created_at_ts, reject_reason,
+          CASE WHEN r = 4 THEN strftime(d, '%m-%d') WHEN reject_reason IS NULL THEN CAST(d AS VARCHAR)
+               WHEN k % 8 = 0 THEN strftime(d, '%Y-%m-%d') WHEN k % 8 = 1 THEN strftime(d, '%Y/%m/%d')
+               WHEN k % 8 = 2 THEN strftime(d, '%m/%d/%Y') WHEN k % 8 = 3 THEN strftime(d, '%m-%d-%Y')
+               WHEN k % 8 = 4 THEN strftime(d, '%-d %b %Y') WHEN k % 8 = 5 THEN strftime(d, '%b %-d, %Y')
+               WHEN k % 8 = 6 THEN strftime(d, '%a, %d %b %Y') ELSE strftime(d, '%B %-d %Y') END AS start_date
+        FROM t""",
+    "every_marketing_rule": """
+        WITH o AS (SELECT o_orderkey % 23 AS r, o_orderkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders),
+        t AS (
+          SELECT r, k, CASE WHEN r IN (1, 4) THEN NULL ELSE d END AS date,
+            CASE WHEN r = 5 THEN 'Unknown' ELSE 'ch' || CAST(k % 5 AS VARCHAR) END AS channel,
+            CASE WHEN r IN (2, 4) THEN '1,200' WHEN r = 3 THEN '-' || CAST(k AS VARCHAR) ELSE CAST(k AS VARCHAR) END AS spend,
+            CASE WHEN r IN (1, 4) THEN 'bad_date' WHEN r = 2 THEN 'bad_spend' WHEN r = 3 THEN 'negative_spend' END AS reject_reason
+          FROM o)
+        SELECT date, channel, spend, TRY_CAST(spend AS DOUBLE) AS spend_num, reject_reason FROM t WHERE reject_reason IS NOT NULL
+        UNION ALL
+        SELECT (SELECT MIN(date) FROM t WHERE reject_reason IS NULL), channel, NULL, CAST(SUM(k) AS DOUBLE), NULL
+        FROM t WHERE reject_reason IS NULL GROUP BY channel""",
+    "every_time_layout": """
+        SELECT event_id, CASE WHEN event_id % 31 IN (1, 2) THEN NULL ELSE date_trunc('second', ts)::TIMESTAMP END AS ts_utc,
+          CASE WHEN event_id % 31 IN (1, 2) THEN NULL ELSE CAST(ts AS DATE) END AS day
+        FROM events""",
+    "event_facts": with_ctes("""
+        SELECT 'fact_daily_active_users' AS fact, event_date, NULL AS user_id, CAST(daily_active_users AS DOUBLE) AS value FROM dau
+        UNION ALL SELECT 'fact_daily_revenue_gross', event_date, NULL, revenue_gross FROM gross
+        UNION ALL SELECT 'fact_daily_revenue_net', event_date, NULL, revenue_net FROM net
+        UNION ALL SELECT 'fact_ltv_per_user', NULL, user_id, ltv FROM ltv"""),
+    "published_order": with_ctes("""
+        SELECT 'fact_cac_by_channel' AS table_name, row_number() OVER (ORDER BY total_spend DESC NULLS LAST, channel NULLS FIRST) AS position, channel AS row_text FROM cac
+        UNION ALL SELECT 'fact_ltv_per_user', row_number() OVER (ORDER BY ltv DESC NULLS LAST, user_id), user_id FROM ltv
+        UNION ALL SELECT 'fact_weekly_cohort_retention', row_number() OVER (ORDER BY cohort_week, week_index), concat_ws('|', cohort_week::VARCHAR, week_index::VARCHAR) FROM ret
+        UNION ALL SELECT 'dim_channel', row_number() OVER (ORDER BY channel), channel FROM dim_channel
+        UNION ALL SELECT 'dim_plan', row_number() OVER (ORDER BY plan_id NULLS FIRST, price, currency),
+          concat_ws('|', plan_id, CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR), currency) FROM dim_plan
+        UNION ALL SELECT 'dim_user', row_number() OVER (ORDER BY user_id), user_id FROM dim_user"""),
     "daily_active_users": with_ctes("SELECT * FROM dau"),
     "daily_revenue_gross": with_ctes("SELECT * FROM gross"),
     "daily_revenue_net": with_ctes("SELECT * FROM net"),
@@ -633,16 +777,115 @@ ORACLE: dict[str, str] = {
 ORACLE.update({f"catalog_{name}": ORACLE[name] for name in views.VIEWS})
 ORACLE["bronze_subscriptions_ndjson"] = ORACLE["bronze_subscriptions"]
 
-#: Steps of a run behind the bronze ones, in order.
-_LATER_STEPS = [
-    *(f"silver_{n}" for n in ("events", "marketing", "subscriptions")),
-    *(f"gold_{n}" for n in (*catalog.FACT_TABLES, "load_facts", "build_dims", "build_views")),
-]
-# The array file of subscriptions holds no malformed element.
-ORACLE["pipeline_step_audit"] = f"""
-    SELECT 'bronze_events' AS step, 'ok' AS status, (SELECT COUNT(*) FROM ({ORACLE["bronze_events"]})) AS rows_out,
-      (SELECT COUNT(*) FROM ({ORACLE["bronze_events_bad_rows"]})) AS rows_rejected
-    UNION ALL SELECT 'bronze_subscriptions', 'ok', (SELECT COUNT(*) FROM ({ORACLE["bronze_subscriptions"]})), 0
-    UNION ALL SELECT 'bronze_marketing', 'ok', (SELECT COUNT(*) FROM ({ORACLE["bronze_marketing"]})),
-      (SELECT COUNT(*) FROM ({ORACLE["bronze_marketing_bad_rows"]}))
-    UNION ALL SELECT unnest({_LATER_STEPS!r}), 'ok', NULL, NULL"""
+# What a run reads: the adapters' rows and those that only the raw files hold (see
+# raw_files): objects 'dup<id>', CSV rows without spend or with an odd channel.
+_RUN_CTES = {
+    "ev": CTES["ev"] + """
+        UNION ALL SELECT 'dup' || CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR), 'signup', ts, NULL, NULL FROM events WHERE event_id % 97 = 0""",
+    "mraw": """
+        WITH m AS (SELECT CAST(o_orderdate AS DATE) AS date, 'ch' || CAST(o_orderkey % 5 AS VARCHAR) AS channel,
+                          CAST((o_totalprice - 5000) / 1000 AS DECIMAL(18,5)) AS spend5, o_orderkey FROM orders)
+        SELECT * FROM m
+        UNION ALL SELECT date, channel, NULL, o_orderkey FROM m WHERE o_orderkey % 331 = 0
+        UNION ALL SELECT date, 'a "b", c' || chr(10) || 'd', spend5, o_orderkey FROM m WHERE o_orderkey % 307 = 0""",
+}
+_ZERO_REASONS = ("bad_created_at", "bad_price", "bad_start_date", "missing_subscription_id")
+
+
+def _count(of: str) -> str:
+    return f"(SELECT COUNT(*) FROM {of})"
+
+
+def _metrics(**counts: str) -> str:
+    """SQL of the audit's "name=value" text."""
+    return " || ',' || ".join(f"'{n}=' || CAST({c} AS VARCHAR)" for n, c in sorted(counts.items())) or "''"
+
+
+def _step(name: str, out: str, rejected: str = "0", metrics: str = "''") -> str:
+    return f"SELECT '{name}' AS step, 'ok' AS status, {out} AS rows_out, {rejected} AS rows_rejected, {metrics} AS metrics"
+
+
+_REJECTED_SUBS = "CAST((SELECT COUNT(*) FROM sflag WHERE is_overlap) + (SELECT COUNT(*) FROM sraw WHERE o_orderkey % 97 = 0) AS BIGINT)"
+_FACT_COUNTS = {t: _count(c) for t, c in _FACT_CTES.items()}
+_DIM_COUNTS = {t: _count(t) for t in catalog.DIM_TABLES}
+ORACLE["pipeline_step_audit"] = with_ctes(
+    " UNION ALL ".join(
+        [
+            _step(
+                "bronze_events",
+                _count("ev"),
+                _count("events WHERE event_id % 83 = 0"),
+                _metrics(invalid_json=_count("events WHERE event_id % 83 = 0"), not_one_object="0"),
+            ),
+            # The array file of subscriptions holds no malformed element.
+            _step("bronze_subscriptions", _count(f"({ORACLE['bronze_subscriptions']})"), "0", _metrics(invalid_json="0", not_one_object="0")),
+            _step(
+                "bronze_marketing",
+                _count("mraw"),
+                _count("orders WHERE o_orderkey % 499 = 0"),
+                _metrics(too_many_fields=_count("orders WHERE o_orderkey % 499 = 0"), unclosed_quote="0"),
+            ),
+            _step("silver_events", _count("ev"), "0", _metrics(bad_timestamp="0", missing_event_id="0")),
+            _step(
+                "silver_marketing",
+                _count("mk"),
+                _count("mraw WHERE spend5 IS NULL OR spend5 < 0"),
+                _metrics(bad_date="0", bad_spend=_count("mraw WHERE spend5 IS NULL"), negative_spend=_count("mraw WHERE spend5 < 0")),
+            ),
+            _step(
+                "silver_subscriptions",
+                _count("sub"),
+                _REJECTED_SUBS,
+                _metrics(
+                    **dict.fromkeys(_ZERO_REASONS, "0"),
+                    missing_user_id=_count("sraw WHERE o_orderkey % 97 = 0"),
+                    overlap=_count("sflag WHERE is_overlap"),
+                    reactivated=_count("sub WHERE reactivated"),
+                ),
+            ),
+            *[_step(f"gold_{t}", c) for t, c in _FACT_COUNTS.items()],
+            _step("gold_load_facts", " + ".join(_FACT_COUNTS.values()), "0", _metrics(**_FACT_COUNTS)),
+            _step("gold_build_dims", " + ".join(_DIM_COUNTS.values()), "0", _metrics(**_DIM_COUNTS)),
+            _step("gold_build_views", str(len(views.VIEWS))),
+        ]
+    ),
+    _RUN_CTES,
+)
+
+# The quarantine of a run over raw files with all defects. Lines of the events files
+# are ordered by (id, kind); elements of the subscriptions' ones by (key, kind).
+ORACLE["quarantine_rows"] = with_ctes(
+    f"""
+    SELECT 'events_bad_rows' AS table_name, 'invalid_json' AS reason,
+      CAST(line_no AS VARCHAR) || '|{{"event_id": ' || CAST(event_id AS VARCHAR) || ', "broken"' AS row_text FROM qlines WHERE kind = 2
+    UNION ALL
+    SELECT 'events_rejected_silver', CASE kind WHEN 4 THEN 'bad_timestamp' ELSE 'missing_event_id' END,
+      CASE kind WHEN 4 THEN 'late' || CAST(event_id AS VARCHAR) || '|-|10:00|'
+                ELSE 'None|n' || CAST(event_id AS VARCHAR) || '|2024-01-01T00:00:00Z|' END || CAST(line_no AS VARCHAR)
+    FROM qlines WHERE kind IN (4, 5)
+    UNION ALL
+    SELECT 'subscriptions_bad_rows', _error, CAST(_source_row_no AS VARCHAR) || '|' || _raw_line
+    FROM ({ORACLE["bronze_subscriptions_array_bad_rows"]}) WHERE _error <> '{raw_files.ODD_PLAN}'
+    UNION ALL SELECT 'marketing_bad_rows', _error, _raw_line FROM ({ORACLE["bronze_marketing_bad_rows"]})
+    UNION ALL
+    SELECT 'marketing_spend_rejected_silver', CASE WHEN spend5 IS NULL THEN 'bad_spend' ELSE 'negative_spend' END,
+      CAST(date AS VARCHAR) || '|' || channel || '|' || coalesce(CAST(spend5 AS VARCHAR), '-')
+    FROM mraw WHERE spend5 IS NULL OR spend5 < 0
+    UNION ALL
+    SELECT 'subscriptions_rejected_silver', 'overlap', concat_ws('|', subscription_id, user_id, CAST(start_date AS VARCHAR),
+      coalesce(CAST(end_date AS VARCHAR), '-'), CAST(gap_days AS VARCHAR)) FROM sflag WHERE is_overlap
+    UNION ALL
+    SELECT 'subscriptions_rejected_silver', 'missing_user_id', concat_ws('|', 'x' || subscription_id, '-',
+      CASE WHEN o_orderkey % 11 = 0 THEN replace(CAST(start_date AS VARCHAR), '-', '/') ELSE CAST(start_date AS VARCHAR) END,
+      coalesce(CAST(end_date AS VARCHAR), '-'), '-') FROM sraw WHERE o_orderkey % 97 = 0
+    UNION ALL
+    SELECT 'subscriptions_rejected_silver', 'missing_user_id', 's' || subscription_id || '|-|-|-|-' FROM sraw WHERE o_orderkey % 73 = 0""",
+    {
+        **_RUN_CTES,
+        "qlines": f"""
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id // {raw_files.KEYS_PER_FILE} ORDER BY event_id, kind) AS line_no
+        FROM (SELECT event_id, unnest([0, 1, 2, 3, 4, 5]) AS kind FROM events) WHERE
+          CASE kind WHEN 0 THEN event_id % 50 = 0 WHEN 1 THEN true WHEN 2 THEN event_id % 83 = 0 WHEN 3 THEN event_id % 97 = 0
+                    WHEN 4 THEN event_id % 89 = 0 ELSE event_id % 71 = 0 END""",
+    },
+)

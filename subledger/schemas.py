@@ -70,6 +70,7 @@ EVENTS_CLEAN = _struct(
     ("event_type_norm", _S),
     ("user_id_norm", _S),
 )
+EVENTS_REJECTED = T.StructType([*EVENTS_CLEAN.fields, T.StructField("reject_reason", _S)])
 SUBSCRIPTIONS_CLEAN = _struct(
     ("subscription_id", _S),
     ("user_id", _S),

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -43,6 +43,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/subledger/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the scratch folder: its lineage ends there, a lost
+    executor re-reads the files, and the planner knows its true size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the benchmark (no UI, AQE on)."""
     return (

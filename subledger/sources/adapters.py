@@ -12,6 +12,8 @@ them:
                            and rows without a user
 * ``bronze_marketing``     spend rows from orders, mixed date layouts, padded
                            channel names and negative spend
+* ``every_*``              the same with every reject rule, date layout and null-like
+                           token planted
 """
 
 from __future__ import annotations
@@ -188,3 +190,90 @@ def bronze_marketing(spark: SparkSession, sf_dir: str, keep_key: bool = False) -
         spend.cast("string").alias("spend"),
         *([k.alias("_k")] if keep_key else []),
     )
+
+
+# ------------------------------------------------------- every rule, every layout
+
+# The accepted layouts of a date, as date patterns.
+DATE_LAYOUTS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "MM-dd-yyyy", "d MMM yyyy", "MMM d, yyyy", "EEE, dd MMM yyyy", "MMMM d yyyy")
+# The accepted layouts of a time of day, as date patterns, with the text
+# that says how far its zone is ahead of UTC, in minutes.
+TIME_LAYOUTS = (
+    ("'T'HH:mm:ss", "Z", 0),
+    (" HH:mm:ss.SSSSSS", "", 0),
+    (" HH:mm:ss", " UTC", 0),
+    ("'T'HH:mm:ss", "+05:30", 330),
+    (" HH:mm:ss", "-0330", -210),
+    (" HH:mm:ss", "+02", 120),
+    (" hh:mm:ss a", "", 0),
+    (" HH:mm:ss", " PST", -480),
+)
+NULL_LIKE = ("", "  ", "NaN", "None", "<NA>")
+
+
+def date_text(day: Column, pick: Column) -> Column:
+    """A date in the layout of that number."""
+    out = F.date_format(day, DATE_LAYOUTS[0])
+    for n, layout in enumerate(DATE_LAYOUTS[1:], 1):
+        out = F.when(pick == n, F.date_format(day, layout)).otherwise(out)
+    return out
+
+
+def time_text(ts: Column, day_pick: Column, time_pick: Column) -> Column:
+    """A UTC time in the date layout and the time layout of those numbers."""
+    out = None
+    for n, (layout, zone, ahead) in enumerate(TIME_LAYOUTS):
+        local = ts + F.expr(f"INTERVAL {ahead} MINUTES")
+        text = F.concat(date_text(local, day_pick), F.date_format(local, layout), F.lit(zone))
+        out = text if out is None else F.when(time_pick == n, text).otherwise(out)
+    return out
+
+
+def null_like(pick: Column) -> Column:
+    return F.get(F.array(*[F.lit(t) for t in NULL_LIKE]), pick % len(NULL_LIKE))
+
+
+def every_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One subscription per order, the start in the date layout of key mod 8; by key
+    mod 29: 1 no subscription id, 2 no user, 3 a price that is no number, 4 a start
+    without a year, 5 a creation time of text, 6 no creation time and no user."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    r = k % 29
+    price = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    return o.select(
+        F.when(r == 1, null_like(k)).otherwise(k.cast("string")).alias("subscription_id"),
+        F.when(r.isin(2, 6), null_like(k)).otherwise(F.concat(F.lit(" "), k.cast("string"), F.lit("\t"))).alias("user_id"),
+        F.col("o_orderpriority").alias("plan_id"),
+        F.when(r == 3, F.concat(price, F.lit("d"))).otherwise(price).alias("price"),
+        F.when(r == 4, F.date_format(_order_date(), "MM-dd")).otherwise(date_text(_order_date(), k % 8)).alias("start_date"),
+        F.when(r == 5, "yesterday").when(r == 6, F.lit(None)).otherwise(F.concat(_order_date().cast("string"), F.lit(" 08:15"))).alias("created_at"),
+    )
+
+
+def every_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One spend row per order, the date in the layout of key mod 8; by key mod 23:
+    1 a day that no month has, 2 text for spend, 3 a negative spend, 4 both a bad date
+    and bad spend, 5 a channel that is null-like."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    r = k % 23
+    return o.select(
+        F.when(r.isin(1, 4), F.lit("2024-02-31")).otherwise(date_text(_order_date(), k % 8)).alias("date"),
+        F.when(r == 5, null_like(k)).otherwise(F.concat(F.lit("ch"), (k % 5).cast("string"))).alias("channel"),
+        F.when(r.isin(2, 4), "1,200").when(r == 3, F.concat(F.lit("-"), k.cast("string"))).otherwise(k.cast("string")).alias("spend"),
+    )
+
+
+def every_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's time to the second as text, once in a date layout (id mod 8) with
+    a time layout (id div 8 mod 8), once as a date alone; by id mod 31, 1 and 2 carry
+    what is no full date."""
+    ev = table(spark, sf_dir, "events")
+    i, ts = F.col("event_id"), F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
+    bad = F.when(i % 31 == 1, "10:00").when(i % 31 == 2, F.concat(ts.cast("string"), F.lit(" or so")))
+    return ev.select(
+        "event_id",
+        F.coalesce(bad, time_text(ts, i % 8, F.floor(i / 8) % 8)).alias("stamp"),
+        F.coalesce(bad, date_text(ts, i % 8)).alias("day"),
+    )

@@ -40,11 +40,12 @@ def _lines(frame: DataFrame, file_key: Column, o1: Column, o2: int, value: Colum
     return frame.select(file_key.alias("_file"), o1.cast("bigint").alias("_o1"), F.lit(o2).alias("_o2"), value.alias("value"))
 
 
-def write_events_ndjson(spark: SparkSession, sf_dir: str, path: str, keys_per_file: int = KEYS_PER_FILE) -> str:
+def write_events_ndjson(spark: SparkSession, sf_dir: str, path: str, keys_per_file: int = KEYS_PER_FILE, rejects: bool = False) -> str:
     """One JSON object per event, plus planted defects:
     id%50=0 blank line before the event; id%83=0 truncated object after it;
     id%97=0 an extra object 'dup<id>' whose duplicate key event_type ends as
-    'signup' (last key wins)."""
+    'signup' (last key wins). With ``rejects`` also id%89=0 an extra object 'late<id>'
+    without a full date, id%71=0 one whose id is 'None'."""
     ev = adapters.table(spark, sf_dir, "events")
     i, ts = F.col("event_id"), F.col("ts")
     ts_txt = ts.cast("string")
@@ -72,14 +73,31 @@ def write_events_ndjson(spark: SparkSession, sf_dir: str, path: str, keys_per_fi
         .unionByName(_lines(ev.where(i % 83 == 0), key, i, 2, F.concat(F.lit('{"event_id": '), i.cast("string"), F.lit(', "broken"'))))
         .unionByName(_lines(ev.where(i % 97 == 0), key, i, 3, dup))
     )
+    if rejects:
+        late = F.concat(F.lit('{"event_id":"late'), i.cast("string"), F.lit('","timestamp":"10:00"}'))
+        nameless = F.concat(F.lit('{"event_id":"None","user_id":"n'), i.cast("string"), F.lit('","timestamp":"2024-01-01T00:00:00Z"}'))
+        lines = lines.unionByName(_lines(ev.where(i % 89 == 0), key, i, 4, late)).unionByName(_lines(ev.where(i % 71 == 0), key, i, 5, nameless))
     return write_ordered_text(lines, path)
 
 
-def write_subscriptions_json(spark: SparkSession, sf_dir: str, path: str, keys_per_file: int = KEYS_PER_FILE) -> str:
-    """The subscription adapter's rows as JSON arrays, one array per file."""
+#: A plan name that holds all that a scan for brackets and quotes could trip over.
+ODD_PLAN = 'a}"],[{\\b"'
+
+
+def write_subscriptions_json(spark: SparkSession, sf_dir: str, path: str, keys_per_file: int = KEYS_PER_FILE, defects: bool = False) -> str:
+    """The subscription adapter's rows as JSON arrays, one array per file. With
+    ``defects``, by order key, every 83rd adds a number, every 89th a null, every 79th
+    an array, every 73rd an object 's<key>' whose plan is ``ODD_PLAN``."""
     subs = adapters.bronze_subscriptions(spark, sf_dir)
     key = _file(F.col("_source_row_no"), 3 * keys_per_file)
-    rows = subs.select(key.alias("_file"), F.col("_source_row_no").alias("_o1"), F.to_json(F.struct(*SUBSCRIPTION_FIELDS)).alias("obj"))
+    no = F.col("_source_row_no")
+    rows = subs.select(key.alias("_file"), (no * 8).alias("_o1"), F.to_json(F.struct(*SUBSCRIPTION_FIELDS)).alias("obj"))
+    if defects:
+        base = subs.where(no % 3 == 0).withColumn("k", (no / 3).cast("bigint"))
+        odd = F.struct(F.concat(F.lit("s"), "subscription_id").alias("subscription_id"), F.lit(ODD_PLAN).alias("plan_id"))
+        planted = [(83, F.col("subscription_id")), (89, F.lit("null")), (79, F.lit('[1, "}"]')), (73, F.to_json(odd))]
+        for i, (step, text) in enumerate(planted, 1):
+            rows = rows.unionByName(base.where(F.col("k") % step == 0).select(key.alias("_file"), (no * 8 + i).alias("_o1"), text.alias("obj")))
     # Comma before every record but the first of its file (one row per file).
     firsts = rows.groupBy("_file").agg(F.min("_o1").alias("_first"))
     body = rows.join(firsts, "_file").select(
@@ -136,11 +154,11 @@ def write_marketing_csv(spark: SparkSession, sf_dir: str, path: str, keys_per_fi
     return write_ordered_text(lines, path)
 
 
-def write_raw_inputs(spark: SparkSession, sf_dir: str, root: str, keys_per_file: int = KEYS_PER_FILE) -> dict[str, str]:
+def write_raw_inputs(spark: SparkSession, sf_dir: str, root: str, keys_per_file: int = KEYS_PER_FILE, defects: bool = False) -> dict[str, str]:
     """All three raw inputs under ``root``; returns their paths."""
     r = root.rstrip("/")
     return {
-        "events": write_events_ndjson(spark, sf_dir, f"{r}/events_ndjson", keys_per_file),
-        "subscriptions": write_subscriptions_json(spark, sf_dir, f"{r}/subscriptions_json", keys_per_file),
+        "events": write_events_ndjson(spark, sf_dir, f"{r}/events_ndjson", keys_per_file, defects),
+        "subscriptions": write_subscriptions_json(spark, sf_dir, f"{r}/subscriptions_json", keys_per_file, defects),
         "marketing": write_marketing_csv(spark, sf_dir, f"{r}/marketing_csv", keys_per_file),
     }

@@ -1,8 +1,14 @@
+import csv
+import io
+import json
 import os
+import random
+from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
 
-from subledger.sources import bronze
+from subledger.sources import bronze, records
 from subledger.sources.lines import numbered_lines
 
 
@@ -114,3 +120,130 @@ def test_subscriptions_as_lines(spark, tmp_dir):
     assert sorted((r._source_row_no, r._raw_line) for r in bad.collect()) == [(4, '{"cut"'), (5, "3")]
     with pytest.raises(ValueError):
         bronze.ingest_subscriptions(spark, p, "xml")
+
+
+# ------------------------------------------------------------------ large files
+
+
+@contextmanager
+def splits_of(spark, size):
+    """Files are read in splits of so many bytes."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in old:
+            spark.conf.set(k, str(size))
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+ODD = ['plain', 'a}"],[{\\b"', "}", '"', "\\", '\\"', "},{", "line\nend", "[", "é}ü", "", "x" * 300]
+
+
+def _element(rng, i):
+    kind = rng.random()
+    if kind < 0.1:
+        return rng.choice(["7", "null", "true", '"s}"', "[1, {\"a\": \"}\"}]", "-1.5e3"])
+    fields = {"subscription_id": str(i), "plan_id": rng.choice(ODD)}
+    if kind < 0.3:
+        fields["meta"] = {"deep": [{"a": rng.choice(ODD)}, {"b": {}}], "n": i}
+    return json.dumps(fields, indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5)
+
+
+@pytest.mark.parametrize("size", [37, 200, 1000, 1 << 20])
+def test_json_array_elements_over_any_splits(spark, tmp_dir, size):
+    rng = random.Random(size)
+    want, bad = {}, {}
+    for name, n in (("a.json", 60), ("b.json", 1), ("empty.json", 0), ("c.json", 25)):
+        texts = [_element(rng, f"{name}{i}") for i in range(n)]
+        gap = lambda: rng.choice(["", " ", "\n", "\n  "])
+        _write(tmp_dir, name, gap() + "[" + ",".join(gap() + t + gap() for t in texts) + "]" + gap())
+        for i, t in enumerate(texts, 1):
+            v = json.loads(t)
+            (want if isinstance(v, dict) else bad)[name, i] = v
+    _write(tmp_dir, "blank.json", " \n ")
+    with splits_of(spark, size):
+        good, quarantined = bronze.ingest_subscriptions(spark, tmp_dir)
+        got = {(os.path.basename(r._source_file), r._source_row_no): r for r in good.collect()}
+        lost = {(os.path.basename(r._source_file), r._source_row_no): r._raw_line for r in quarantined.collect()}
+    assert set(got) == set(want) and set(lost) == set(bad)
+    for k, v in want.items():
+        assert (got[k].subscription_id, got[k].plan_id) == (v["subscription_id"], v["plan_id"])
+        assert json.loads(got[k].extras.get("meta", "null")) == v.get("meta")
+
+
+@pytest.mark.parametrize("size", [64, 1 << 20])
+def test_json_array_files_that_are_none(spark, tmp_dir, size):
+    objects = [json.dumps({"subscription_id": str(i), "plan_id": "p" * 40}) for i in range(6)]
+    _write(tmp_dir, "cut.json", "[" + ",".join(objects) + ",")
+    _write(tmp_dir, "in_string.json", "[" + ",".join(objects) + ', {"subscription_id": "9')
+    _write(tmp_dir, "ends_early.json", "[" + ",".join(objects) + ", {}")
+    _write(tmp_dir, "good.json", "[" + ",".join(objects) + "]")
+    _write(tmp_dir, "gap.json", "[" + objects[0] + " " + objects[1] + "," + objects[2] + "]")
+    _write(tmp_dir, "behind.json", "[" + objects[0] + "] x")
+    with splits_of(spark, size):
+        good, bad = bronze.ingest_subscriptions(spark, tmp_dir)
+        got = sorted((os.path.basename(r._source_file), r.subscription_id) for r in good.collect())
+        lost = {}
+        for r in bad.collect():
+            lost.setdefault(os.path.basename(r._source_file), []).append((r._source_row_no, r._raw_line))
+    assert got == sorted([("good.json", str(i)) for i in range(6)] + [("gap.json", "0"), ("gap.json", "2"), ("behind.json", "0")])
+    for name in ("cut.json", "in_string.json", "ends_early.json"):
+        assert all(no == 0 for no, _ in lost[name])
+        whole = open(f"{tmp_dir}/{name}", encoding="utf-8").read()
+        assert sorted("".join(t for _, t in lost[name])) == sorted(whole)
+    assert len(lost["gap.json"]) == 1 and lost["behind.json"] == [(2, "] x")]
+
+
+def test_one_long_line_is_many_tasks(spark, tmp_dir):
+    n = 20000
+    _write(tmp_dir, "one.json", "[" + ",".join(json.dumps({"subscription_id": str(i), "plan_id": "}" * (i % 7)}) for i in range(n)) + "]")
+    with splits_of(spark, 1 << 15):
+        elements, lost = records.json_array_elements(spark, tmp_dir)
+        assert lost.count() == 0
+        places = elements.select("_source_row_no", F.get_json_object("_line", "$.subscription_id").cast("long").alias("i"))
+        assert places.where("i + 1 <> _source_row_no").count() == 0 and places.count() == n
+        pieces = records.scanned(spark, tmp_dir, "}").groupBy(F.spark_partition_id()).count()
+        assert pieces.count() > 20 and pieces.agg(F.max("count") < F.sum("count") / 10).first()[0]
+
+
+def _csv_text(rows):
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(rows)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("size", [23, 100, 1 << 20])
+def test_csv_records_over_any_splits(spark, tmp_dir, size):
+    rng = random.Random(size)
+    cells = ["a", 'say "hi"', "two\nlines", "x,y", '"', 'end"', "\n", 'a""b\n"c', "é\nü,", "plain text"]
+    rows = [[f"2024-01-{i % 28 + 1:02d}", rng.choice(cells), str(i)] + (["more"] if i % 11 == 0 else []) for i in range(120)]
+    _write(tmp_dir, "m.csv", _csv_text([["date", "channel", "spend"], *rows]))
+    with splits_of(spark, size):
+        good, bad = bronze.ingest_marketing(spark, tmp_dir)
+        got = sorted((r.date, r.channel, r.spend) for r in good.collect())
+        lost = sorted((r.date, r.channel, r.spend) for r in bad.collect())
+    assert got == sorted(tuple(r) for r in rows if len(r) == 3)
+    assert lost == sorted(tuple(r[:3]) for r in rows if len(r) == 4)
+
+
+@pytest.mark.parametrize("size", [30, 1 << 20])
+def test_csv_stray_quotes_and_unclosed_ends(spark, tmp_dir, size):
+    body = 'date,channel,spend\r\n2024-01-01,5" pipe,1\r\n\r\n2024-01-02,"in ""quotes""\r\nhere",2\r\n2024-01-03,b,3\r\n2024-01-04,"never closed,4\r\n2024-01-05,c,5\r\n'
+    _write(tmp_dir, "m.csv", body)
+    with splits_of(spark, size):
+        good, bad = bronze.ingest_marketing(spark, tmp_dir)
+        got = sorted((r.date, r.channel, r.spend) for r in good.collect())
+        lost = [(r._error, r._raw_line) for r in bad.collect()]
+    assert got == [("2024-01-01", '5" pipe', "1"), ("2024-01-02", 'in "quotes"\nhere', "2"), ("2024-01-03", "b", "3")]
+    assert {e for e, _ in lost} == {"unclosed_quote"} and "".join(sorted("".join(t for _, t in lost))).count("never") <= 1
+    assert any("never closed" in t for _, t in lost)
+
+
+def test_numbered_lines_have_no_shuffle(spark, tmp_dir):
+    p = _write(tmp_dir, "e.ndjson", '{"event_id":"1"}\n' * 5000)
+    with splits_of(spark, 1 << 14):
+        df = bronze.event_outcomes(spark, p)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan

@@ -10,6 +10,7 @@ from subledger.operators import (
     interval_sum_daily,
     keep_latest,
     prev_in_order,
+    prev_in_ranges,
     tag_rejects,
 )
 
@@ -43,6 +44,24 @@ def test_building_the_query_starts_no_job(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_prev_in_ranges_splits_a_hot_user_and_day(spark):
+    random.seed(11)
+    hot = [("hot", 7, None if i % 3 else 5, i) for i in range(4000)]
+    rest = [(random.choice([None, "hot", *map(str, range(20))]), random.choice([None, *range(40)]), random.choice([None, 1, 2]), 10000 + i) for i in range(4000)]
+    df = spark.createDataFrame(hot + rest, "u string, s int, c int, id int").withColumn("seq", F.lit(1))
+    order = [F.col("s"), -F.col("c"), F.col("id")]
+    got = prev_in_ranges(df, ["u"], order, ["id", "c"])
+    over = Window.partitionBy("u").orderBy(*order)
+    want = df.withColumn("prev_id", F.lag("id").over(over)).withColumn("prev_c", F.lag("c").over(over))
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # Each range has its share of the rows: the hot day is dealt out over several.
+    ranged = df.withColumn("k", F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])).repartitionByRange(8, "u", "k")
+    sizes = ranged.where("u = 'hot' AND s = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) < 2500
+    assert prev_in_ranges(df.limit(0), ["u"], order, ["id"]).count() == 0
+
+
 def _scans(df):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
