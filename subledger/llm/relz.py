@@ -60,11 +60,19 @@ BLOCKS = "doc_id long, text_id long, place int, windows int, anchor long, print
 # ------------------------------------------------------------- words and hashes
 
 
+class _WordHashes(dict):
+    """Word -> hash, filled as words come up."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class Hasher:
     """Word hashes and, from them, hashes of runs of words."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
+        self.known = _WordHashes()
         self.powers: list[tuple[np.ndarray, np.ndarray]] = []
         self._grow(1 << 12)
 
@@ -79,11 +87,7 @@ class Hasher:
         words = text.encode("utf-8", "surrogatepass").split()
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        known = self.known
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
     def sums(self, hashes: np.ndarray, which: int) -> np.ndarray:
         """Running sums from which ``run`` gives the hash of any run of words."""
@@ -133,10 +137,12 @@ class Parsed:
         """Fingerprint of every block's words."""
         return self.own.run(self.second, 1, self.place, self.place + self.windows + self.window - 1)
 
-    def window_prints(self, block: int) -> np.ndarray:
-        """Fingerprints of a block's windows."""
-        at = np.arange(self.place[block], self.place[block] + self.windows[block])
-        return self.own.run(self.second, 1, at, at + self.window)
+    def window_prints(self, blocks: np.ndarray) -> list[np.ndarray]:
+        """Fingerprints of the windows of each of these blocks."""
+        counts = self.windows[blocks]
+        ends = np.cumsum(counts)
+        at = np.arange(ends[-1]) + np.repeat(self.place[blocks] - (ends - counts), counts)
+        return np.split(self.own.run(self.second, 1, at, at + self.window).view(np.int64), ends[:-1])
 
 
 def _parsed(texts: pd.Series, window: int) -> Iterator[tuple[int, Parsed]]:
@@ -201,14 +207,19 @@ def boundary_windows(documents: DataFrame, anchors: DataFrame, window: int = 50)
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = np.frombuffer(shared.value, np.uint64)
         for frame in frames:
-            rows = []
+            out: dict[str, list] = {c: [] for c in ("doc_id", "text_id", "place", "anchor")}
+            prints: list[np.ndarray] = []
             ids, texts = frame["doc_id"].to_numpy(), frame["text_id"].to_numpy()
             for i, doc in _parsed(frame["text"], window):
                 slot = (doc.anchor >> np.uint64(20)) % np.uint64(MAP_BITS)
-                hit = (words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
-                for b in np.flatnonzero(hit):
-                    rows.append((ids[i], texts[i], int(doc.place[b]), int(doc.anchor[b].view(np.int64)), doc.window_prints(b).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "text_id", "place", "anchor", "prints"])
+                hit = np.flatnonzero((words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1))
+                if len(hit):
+                    out["doc_id"].append(np.full(len(hit), ids[i]))
+                    out["text_id"].append(np.full(len(hit), texts[i]))
+                    out["place"].append(doc.place[hit].astype("int32"))
+                    out["anchor"].append(doc.anchor[hit].view(np.int64))
+                    prints += doc.window_prints(hit)
+            yield _frame(out).assign(prints=pd.Series(prints, dtype=object))
 
     return documents.mapInPandas(run, "doc_id long, text_id long, place int, anchor long, prints array<long>")
 
