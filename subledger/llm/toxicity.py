@@ -1,17 +1,21 @@
 """Toxicity: a weighted finite-state grammar over the clauses of a text.
 
-A lexicon maps each word to a symbol (insult, threat, target, negation, report)
-with a weight. Small transducers rewrite the symbol string of a clause and are
-composed into one machine:
+A lexicon maps each word to a symbol (insult, threat, target, negation, report,
+copula, determiner) with a weight. Small transducers rewrite the symbol string of a
+clause and are composed into one machine:
 
 * ``negation`` turns an insult shortly after a negation into a weak one,
 * ``report`` does so for an insult shortly after a verb of reported speech,
-* ``target`` strengthens an insult beside a word that addresses a person,
+* ``insult`` accepts an insult that the clause throws at someone: beside a word that
+  addresses a person (strengthened), as an epithet behind a copula or on top of
+  another insult, or as a clause of its own ("what a fool"),
 * ``threat`` matches a threat verb that has a target in the same clause.
 
 Words without a symbol are read as ``o``. The score of a clause is the sum of
-its matched weights, that of a text 1 - prod(1 - p) over its clauses, so an
-isolated word outside the grammar counts nothing.
+its matched weights, that of a text 1 - prod(1 - p) over its clauses. An insult word
+that no pattern accepts ("the garbage truck came") counts only a share of its
+weight: ``LONE`` for words of the seed list, so that one of them alone stays far
+below the threshold, and for learnt words as much as the labels bear out.
 
 The insult lexicon is learnt from labelled documents: words, and prefixes that
 many different words share (inflected insults), whose documents are toxic far
@@ -29,13 +33,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subledger.llm.common import ascii_lower, cut, held_out, labelled_sample
+from subledger.llm.common import cut, held_out, labelled_sample
 
 #: Closed classes of the grammar (English, French, German, Spanish).
 TARGETS = frozenset("you your yours yourself u tu toi vous votre du dich dir ihr euch tú te ti usted ustedes vosotros".split())
 NEGATIONS = frozenset("not no never isn't aren't wasn't nor pas jamais nicht kein keine nie nunca jamás".split())
 REPORTS = frozenset("said says say called calls quoted quote wrote reported according dit appelé sagte nannte dijo llamó".split())
 THREATS = frozenset("kill hurt destroy beat shoot stab burn murder tuer frapper töten schlagen matar golpear".split())
+COPULAS = frozenset("am is are was were be been est es sont suis était bin bist ist sind seid war soy eres son era".split())
+DETERMINERS = frozenset("a an the this that such what un une le la les des quel quelle ein eine einen der die das so el los las qué".split())
 #: Insults that hold before any label is seen: word and weight.
 SEED_INSULTS = dict.fromkeys("idiot moron stupid scum loser pathetic worthless disgusting clown trash garbage filth dumb imbécile crétin arschloch dummkopf estúpido imbécil".split(), 2.0)
 
@@ -43,8 +49,18 @@ WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE = re.compile(r"[.!?;:\n]+")
 #: Prefix lengths (code points) from which inflected insults are learnt.
 PREFIXES = (4, 5, 6)
-#: How many words a negation or report reaches forward.
+#: How many words a negation or report reaches forward, an address back to an insult.
 REACH = 4
+#: How many words may stand between a copula and an epithet.
+BETWEEN = 2
+#: Share of its weight that an insult word of the seed list has by itself.
+LONE = 0.25
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text, or clause, as the lexicon holds them: learning and scoring
+    both read texts through this."""
+    return WORD.findall(text.lower())
 
 
 @dataclass
@@ -75,9 +91,12 @@ class Fst:
         return out
 
 
-#: o other, I insult, T target, N negation, R report, H threat, and the
-#: outputs w (weakened insult) and S (insult strengthened by a target).
-ALPHABET = "oITNRHwS"
+#: o other, I insult, T target, N negation, R report, H threat, C copula, D determiner,
+#: $ end of the clause, and the outputs w (weakened insult), A (insult accepted), S
+#: (accepted and strengthened by a target), B (a target that the insult before it
+#: addresses), V (the clause was nothing but insults).
+ALPHABET = "oITNRHCDwSAB$V"
+_PLAIN = "oNRHD"
 
 
 def _weaken(trigger: str, factor: float) -> Fst:
@@ -85,18 +104,31 @@ def _weaken(trigger: str, factor: float) -> Fst:
     machine = Fst(0)
     for left in range(REACH + 1):
         machine.arcs[left, trigger] = (REACH, trigger, 1.0)
-        for symbol in "oTNRHwS":
+        for symbol in "oTNRHCDwS":
             if symbol != trigger:
                 machine.arcs[left, symbol] = (max(0, left - 1), symbol, 1.0)
         machine.arcs[left, "I"] = (max(0, left - 1), "w" if left else "I", factor if left else 1.0)
     return machine
 
 
-def _address() -> Fst:
-    """A target before an insult in the clause strengthens it."""
-    machine = Fst("free")
-    machine.arcs["free", "T"] = ("aimed", "T", 1.0)
-    machine.arcs["aimed", "I"] = ("aimed", "S", 1.5)
+def _insult() -> Fst:
+    """Which insults the clause throws at someone. States: ``open`` (nothing but
+    determiners yet), ``alone`` (and insults), ("near", k) (an unaccepted insult within
+    reach), ("copula", k), ``aimed`` (a target came), ``free``."""
+    machine = Fst("open")
+    states = ["open", "alone", "free", *(("near", k) for k in range(1, REACH + 1)), *(("copula", k) for k in range(1, BETWEEN + 2))]
+    for state in states:
+        kind, k = state if isinstance(state, tuple) else (state, 0)
+        later = (kind, k - 1) if k > 1 else "free"
+        for symbol in _PLAIN:
+            machine.arcs[state, symbol] = (("near", REACH) if state == "alone" else later, symbol, 1.0)
+        machine.arcs[state, "C"] = (("copula", BETWEEN + 1), "C", 1.0)
+        machine.arcs[state, "T"] = ("aimed", "B" if state == "alone" or kind == "near" else "T", 1.0)
+        accepted = state == "alone" or kind == "copula" or state == ("near", REACH)
+        machine.arcs[state, "I"] = ("alone" if state in ("open", "alone") else ("near", REACH), "A" if accepted else "I", 1.0)
+    machine.arcs["open", "D"] = ("open", "D", 1.0)
+    machine.arcs["alone", "$"] = ("open", "V", 1.0)
+    machine.arcs["aimed", "I"] = ("aimed", "S", AIMED)
     return machine
 
 
@@ -108,10 +140,14 @@ def _threat() -> Fst:
     machine.arcs["target", "H"] = ("target", "H", 1.0)
     machine.arcs["verb", "H"] = ("verb", "o", 1.0)
     machine.arcs["verb", "T"] = ("target", "H", 1.0)
+    machine.arcs["none", "B"] = ("target", "B", 1.0)
+    machine.arcs["verb", "B"] = ("target", "H", 1.0)
     return machine
 
 
-GRAMMAR = _weaken("N", 0.1).compose(_weaken("R", 0.2), ALPHABET).compose(_address(), ALPHABET).compose(_threat(), ALPHABET)
+#: Factor of an insult that a target in its clause addresses.
+AIMED = 1.5
+GRAMMAR = _weaken("N", 0.1).compose(_weaken("R", 0.2), ALPHABET).compose(_insult(), ALPHABET).compose(_threat(), ALPHABET)
 THREAT_WEIGHT = 1.0
 #: Weight of a matched clause at which its probability is one half.
 HALF = 1.0
@@ -119,16 +155,26 @@ HALF = 1.0
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Insult words and prefixes with their weights."""
+    """Insult words and prefixes with their weights, and the share of it that an entry
+    has by itself (``LONE`` where none is given)."""
 
     words: dict
     prefixes: dict
+    lone: dict = field(default_factory=dict)
+
+    def entry(self, word: str) -> str | None:
+        """The entry that speaks for a word: itself, or its heaviest prefix."""
+        if word in self.words:
+            return word
+        known = [word[:n] for n in PREFIXES if len(word) > n and word[:n] in self.prefixes]
+        return max(known, key=self.prefixes.__getitem__, default=None)
 
     def weight(self, word: str) -> float:
         w = self.words.get(word)
-        if w is not None:
-            return w
-        return max((self.prefixes.get(word[:n], 0.0) for n in PREFIXES if len(word) > n), default=0.0)
+        return w if w is not None else self.prefixes.get(self.entry(word), 0.0)
+
+    def share(self, word: str) -> float:
+        return self.lone.get(self.entry(word), LONE)
 
     def strikes(self, word: str) -> bool:
         """Can this word give a clause its weight?"""
@@ -141,19 +187,29 @@ class Lexicon:
             return "H", THREAT_WEIGHT
         if word in TARGETS:
             return "T", 0.0
-        if word in NEGATIONS:
-            return "N", 0.0
-        return ("R", 0.0) if word in REPORTS else ("o", 0.0)
+        for symbol, words in (("N", NEGATIONS), ("R", REPORTS), ("C", COPULAS), ("D", DETERMINERS)):
+            if word in words:
+                return symbol, 0.0
+        return "o", 0.0
 
 
 def clause_score(words: list[str], lexicon: Lexicon) -> float:
     """Sum of the weights that the grammar lets through for one clause."""
     state, total = GRAMMAR.start, 0.0
-    for word in words:
-        symbol, weight = lexicon.symbol(word)
+    last = alone = (0.0, 0.0)  # weight and counted weight: of the last lone insult, of all
+    for word in (*words, None):
+        symbol, weight = ("$", 0.0) if word is None else lexicon.symbol(word)
         state, out, factor = GRAMMAR.step(state, symbol)
-        if out in "IwS":
+        if out in "AwS":
             total += weight * factor
+        elif out == "I":
+            last = (weight, weight * lexicon.share(word))
+            alone = (alone[0] + last[0], alone[1] + last[1])
+            total += last[1]
+        elif out == "B":
+            total += AIMED * last[0] - last[1]
+        elif out == "V":
+            total += alone[0] - alone[1]
         elif out == "H":
             total += THREAT_WEIGHT * factor
     return total
@@ -167,17 +223,16 @@ def text_score(text: str, lexicon: Lexicon, known: dict) -> tuple[float, int]:
     """(probability that the text is toxic, number of matched clauses).
     ``known`` remembers words already looked up; a text without any insult or
     threat needs no run of the grammar."""
-    low = text.lower()
     hit = False
-    for word in set(WORD.findall(low)):
+    for word in set(words_of(text)):
         if (strikes := known.get(word)) is None:
             if len(known) >= CACHE_WORDS:
                 known.clear()
             strikes = known[word] = lexicon.strikes(word)
         hit = hit or strikes
     clean, matched = 1.0, 0
-    for clause in CLAUSE.split(low) if hit else ():
-        words = WORD.findall(clause)
+    for clause in CLAUSE.split(text) if hit else ():
+        words = words_of(clause)
         if (total := clause_score(words, lexicon)) > 0:
             matched += 1
             clean *= 1.0 - total * total / (total * total + HALF * HALF)
@@ -207,20 +262,23 @@ def learn_lexicon(
     cover; of nested prefixes and words only the best one is taken). Candidates in
     the same documents explain the same, so ``cover`` of them reach the driver, with
     the sampled toxic documents that hold them. Seed words that the labelled texts
-    hold as often without being toxic are dropped. Without labels the lexicon is
-    the seed list.
+    hold as often without being toxic are dropped. Of its weight a learnt entry keeps,
+    where no pattern accepts it, the share of toxic documents among those that hold
+    it (both classes made equal, one lone seed word added). Without labels the lexicon
+    is the seed list.
     """
+    distinct_words = F.pandas_udf(lambda texts: pd.Series([sorted(set(words_of(t))) for t in texts]), "array<string>")
     sample = cut(
         labelled_sample(documents, labels, "toxic", per_class).select(
             "y",
             F.monotonically_increasing_id().alias("d"),
-            F.array_distinct(F.regexp_extract_all(ascii_lower("text"), F.lit(r"[\p{L}']{3,40}"), 0)).alias("ws"),
+            distinct_words("text").alias("ws"),
         ),
         "toxic-sample",
     )
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    words, prefixes = dict(SEED_INSULTS), {}
+    words, prefixes, lone = dict(SEED_INSULTS), {}, {}
     if not n1 or not n0:
         return Lexicon(words, prefixes)
 
@@ -278,7 +336,9 @@ def learn_lexicon(
     best = firsts.groupBy("same").agg(F.slice(F.sort_array(F.collect_list("best"), asc=False), 1, cover).alias("best"))
     chosen = best.select(F.explode("best").alias("b")).select("b.word", "b.stem")
     found = sets.join(chosen, ["word", "stem"]).select("word", "stem", "c", "ds")
+    lone_of = lambda t, c: (t + LONE) / (t + c * n1 / n0 + 1)
     left = {(r["word"], r["stem"]): (r["c"], set(r["ds"])) for r in found.collect()}
+    held_by = {e: len(ds) for e, (_, ds) in left.items()}
     needs: dict[int, int] = {}
     while left:
         best = max(left, key=lambda e: (len(left[e][1]) - purity * left[e][0], len(e[0]), e))
@@ -288,6 +348,7 @@ def learn_lexicon(
         if not telling(len(gain), best_c):
             continue
         (prefixes if best[1] else words)[best[0]] = 3.0
+        lone[best[0]] = lone_of(held_by[best], best_c)
         for d in gain:
             needs[d] = needs.get(d, cover) - 1
         done = {d for d in gain if not needs[d]}
@@ -297,7 +358,7 @@ def learn_lexicon(
             if not ((best[1] and word.startswith(best[0])) or (stem and best[0].startswith(word)))
             and len(rest := ds - done) >= least_docs
         }
-    return Lexicon(words, prefixes)
+    return Lexicon(words, prefixes, lone)
 
 
 def score_toxicity(documents: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -307,7 +368,7 @@ def score_toxicity(documents: DataFrame, lexicon: Lexicon, id_col: str = "doc_id
     passed over. No shuffle; the lexicon (bounded, see ``learn_lexicon``) goes
     out once as a broadcast variable.
     """
-    shared = documents.sparkSession.sparkContext.broadcast((lexicon.words, lexicon.prefixes))
+    shared = documents.sparkSession.sparkContext.broadcast((lexicon.words, lexicon.prefixes, lexicon.lone))
 
     def run(texts: pd.Series) -> pd.DataFrame:
         own, known = Lexicon(*shared.value), {}
