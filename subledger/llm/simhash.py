@@ -224,17 +224,20 @@ def representatives(
 ) -> DataFrame:
     """The documents, all their columns, with one row of each component: the one
     of the smallest doc_id (null ids last), then of the smallest fingerprint and
-    text hash; of equal rows one stays."""
+    text hash; of equal rows one stays. Null and empty texts have fingerprint 0 and
+    are one group; an empty table gives an empty one; columns of any name pass
+    through untouched."""
     fps = cut(fingerprints(documents, shingle, seed, id_col, text_col), "fingerprints")
     rooted = _rooted(fps, radius)
     # Per fingerprint first: an exact copy held by a third of all rows is reduced where it is read.
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "h")).alias("k")
     per_fp = cut(fps.groupBy("fp").agg(least).select("fp", "k"), "first-of-fingerprint")
     chosen = per_fp.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min("k").alias("k"))
-    keepers = cut(chosen.select(F.col("k.doc_id").alias("_kid"), F.col("k.h").alias("_kh")), "keepers")
-    rows = documents.withColumn("_kh", F.xxhash64(text_col)).withColumn("_kid", F.col(id_col))
-    kept = rows.join(keepers, rows["_kid"].eqNullSafe(keepers["_kid"]) & (rows["_kh"] == keepers["_kh"]), "left_semi")
-    return kept.dropDuplicates(["_kid", "_kh"]).drop("_kid", "_kh")
+    keepers = cut(chosen.select(F.col("k.doc_id").alias("kid"), F.col("k.h").alias("kh")), "keepers")
+    # The row's columns travel in one struct, where no name can clash with those used here.
+    rows = documents.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
+    kept = rows.join(keepers, F.col("id").eqNullSafe(F.col("kid")) & (F.col("h") == F.col("kh")), "left_semi")
+    return kept.dropDuplicates(["id", "h"]).select("row.*")
 
 
 def hex_fingerprint(fp: Column) -> Column:
