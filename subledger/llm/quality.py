@@ -42,36 +42,33 @@ def _bucket(h: np.ndarray, salt: int) -> np.ndarray:
     return (h * _MIX >> np.uint32(32 - 15)).astype(np.int32) % (BUCKETS - 1) + 1
 
 
-def _pieces(data: bytes) -> Iterator[bytes]:
-    """A text's words joined by single blanks, in pieces that end between words
-    (a word longer than CHUNK is cut)."""
-    at = 0
-    while at < len(data):
-        end = min(at + CHUNK, len(data))
-        if end < len(data) and (space := data.rfind(b" ", at, end)) > at:
-            end = space + 1
-        yield data[at:end]
-        at = end
-
-
 def ngrams(text: str | None) -> Iterator[tuple[str, np.ndarray]]:
-    """(kind, bucket numbers) of a text, piece by piece."""
-    data = " ".join((text or "").split()).encode("utf-8", "replace")
-    for piece in _pieces(data):
-        b = np.frombuffer(b" " + piece.strip() + b" ", np.uint8).astype(np.uint32)
+    """(kind, bucket numbers) of a text, in pieces of whole words of some CHUNK bytes;
+    what crosses from one piece to the next is counted once, where it starts."""
+    words = " ".join((text or "").split()).encode("utf-8", "replace")
+    data = b" " + words + b" " if words else b""
+    at, last = 0, np.empty(0, np.uint32)
+    while at < len(data) - 1:
+        end = data.find(b" ", at + CHUNK, len(data) - 1)
+        end = len(data) - 1 if end < 0 else end
+        # A blank, whole words and a blank, and the longest n-gram that starts before it.
+        b = np.frombuffer(data[at : end + 4], np.uint8).astype(np.uint32)
         h = b[:-1] * _P + b[1:]
         for n in (3, 4, 5):
             if len(b) < n:
                 break
             h = h[: len(b) - n + 1] * _P + b[n - 1 :]
-            yield "char", _bucket(h, n)
+            yield "char", _bucket(h[: end - at], n)
+        b = b[: end - at + 1]
         starts = np.flatnonzero(b[:-1] == 32) + 1
         lengths = np.diff(np.append(starts, len(b)))
         place = np.arange(1, len(b)) - np.repeat(starts, lengths)
         word = np.add.reduceat(b[1:] * _POWERS[place & 4095], starts - 1)
         yield "word", _bucket(word, 1)
+        word = np.concatenate((last, word))
         if len(word) > 1:
             yield "pair", np.where(word[1:] == word[:-1], REPEAT, _bucket(word[:-1] * _P + word[1:], 2))
+        at, last = end, word[-1:]
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
