@@ -231,10 +231,19 @@ def detect(text: str) -> list[tuple[int, int, str, int]]:
     found = [(m.start(), m.end(), r[0], r[1]) for i in sorted(gated(text)) for r in (rules()[i],) for m in r[3].finditer(text)]
     # By priority, then the more specific label of the longer match; contained ones go.
     found.sort(key=lambda d: (-d[3], d[0] - d[1], d[0], d[2]))
+    place = {start: i for i, start in enumerate(sorted({d[0] for d in found}), 1)}
+    reach = [-1] * (len(place) + 1)  # binary indexed: largest end of the kept ones up to a start
     kept: list[tuple[int, int, str, int]] = []
     for d in found:
-        if not any(k[0] <= d[0] and d[1] <= k[1] for k in kept):
-            kept.append(d)
+        i, furthest = place[d[0]], -1
+        while i:
+            furthest, i = max(furthest, reach[i]), i & (i - 1)
+        if furthest >= d[1]:
+            continue
+        kept.append(d)
+        i = place[d[0]]
+        while i < len(reach):
+            reach[i], i = max(reach[i], d[1]), i + (i & -i)
     return sorted(kept)
 
 
