@@ -29,7 +29,7 @@ URL_RULES = [
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=10)
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=10, slop=2)
     return found.select(
         "doc_id",
         "n_words",
@@ -37,6 +37,7 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         "n_items",
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_ids").cast("long").alias("n_near"),
     )
 
 
@@ -130,7 +131,7 @@ WITH d AS (
                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents
 ), i AS (
-  SELECT item_id,
+  SELECT row_number() OVER () AS iid, item_id,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM benchmark
@@ -143,10 +144,23 @@ places AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(gener
 ids AS (
   SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS id_text
   FROM (SELECT DISTINCT rid, item_id::VARCHAR AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY rid
+),
+-- Near windows: of their places all but a fifth within 2 places of one alignment.
+aligned AS (
+  SELECT DISTINCT d.rid, t.iid, t.i, d.p - t.i - unnest([0, 1, 2]) AS x
+  FROM (SELECT rid, unnest(w) AS word, unnest(generate_series(0, len(w) - 1)) AS p FROM d) d
+  JOIN (SELECT iid, unnest(w) AS word, unnest(generate_series(0, len(w) - 1)) AS i FROM i WHERE item_id IS NOT NULL) t USING (word)
+), met AS (SELECT rid, iid, list(i) AS places FROM aligned GROUP BY rid, iid, x),
+near AS (
+  SELECT rid, count(DISTINCT item_id) AS n_near
+  FROM (SELECT rid, item_id, places, least(len(w), 10) AS m, unnest(generate_series(0, greatest(len(w) - 10, 0))) AS s
+        FROM met JOIN i USING (iid) WHERE len(places) >= least(len(w), 10) - least(len(w), 10) // 5)
+  WHERE len(list_filter(places, lambda p: p >= s AND p < s + m)) >= m - m // 5
+  GROUP BY rid
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(id_text, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN places USING (rid) LEFT JOIN ids USING (rid)
+  sha256(coalesce(id_text, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN places USING (rid) LEFT JOIN ids USING (rid) LEFT JOIN near USING (rid)
 """,
     "op10_exact_top_k": """
 WITH v AS (
@@ -193,7 +207,10 @@ FROM own JOIN below USING (prefix) LEFT JOIN n parent ON own.depth > 0 AND paren
     "op12_fill_in_middle": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS hex,
-    regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS u
+    regexp_extract_all(coalesce(text, ''), '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') AS u
   FROM documents
 ), h AS (
   SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(hex, i, 8))::BIGINT) AS h FROM d
@@ -216,7 +233,8 @@ FROM o
 """,
     "op13_substring_dedup": r"""
 WITH d AS (
-  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents
 ), p AS (
   SELECT rid, doc_id, s, array_to_string(list_slice(w, s, s + 49), ' ') AS win
   FROM (SELECT *, unnest(generate_series(1, len(w) - 49)) AS s FROM d WHERE len(w) >= 50 AND doc_id IS NOT NULL)
