@@ -229,7 +229,8 @@ def boundary_windows(documents: DataFrame, anchors: DataFrame, window: int = 50)
 
 def known_windows(documents: DataFrame, window: int = 50) -> DataFrame:
     """Runs of windows that a document of a smaller id holds: (doc_id, text_id,
-    place, windows, ref_doc, ref_place), the reference the one of smallest id."""
+    place, windows, ref_doc, ref_text, ref_place), the reference the one of smallest
+    id; ref_text is the text_id of its row."""
     blocks = cut(reference_blocks(documents, window), "relz-blocks")
     source = F.struct(F.col("doc_id").alias("ref_doc"), "text_id", "place", "windows")
     distinct = blocks.groupBy("anchor", "print").agg(F.min(source).alias("ref"), F.max("doc_id").alias("last"))
@@ -238,51 +239,56 @@ def known_windows(documents: DataFrame, window: int = 50) -> DataFrame:
     shared = by_anchor.where("a < b").select("anchor", "variants")
     index = distinct.join(shared, "anchor").where("last > ref.ref_doc or variants > 1")
     met = cut(blocks.join(index, ["anchor", "print"]).where("doc_id > ref.ref_doc or variants > 1"), "relz-met")
-    copied = met.where("doc_id > ref.ref_doc").select("doc_id", "text_id", "place", "windows", "ref.ref_doc", F.col("ref.place").alias("ref_place"))
+    copied = met.where("doc_id > ref.ref_doc").select("doc_id", "text_id", "place", "windows", "ref.ref_doc", F.col("ref.text_id").alias("ref_text"), F.col("ref.place").alias("ref_place"))
     # The boundaries: blocks new with their document, of an anchor that has others.
     opened = met.where("doc_id = ref.ref_doc").select("anchor", "doc_id", "text_id", "place")
     read = boundary_windows(documents, opened, window).join(opened, ["doc_id", "text_id", "place", "anchor"])
     each = cut(read.select("doc_id", "text_id", "place", "anchor", F.posexplode("prints").alias("i", "print")), "relz-windows")
     own = each.select("doc_id", "text_id", (F.col("place") + F.col("i")).alias("place"), "anchor", "print")
     firsts = own.groupBy("anchor", "print").agg(
-        F.min(F.struct(F.col("doc_id").alias("ref_doc"), "place")).alias("ref"), F.max("doc_id").alias("last")
+        F.min(F.struct(F.col("doc_id").alias("ref_doc"), "text_id", "place")).alias("ref"), F.max("doc_id").alias("last")
     )
     single = (
         own.join(firsts.where("last > ref.ref_doc"), ["anchor", "print"])
         .where("doc_id > ref.ref_doc")
-        .select("doc_id", "text_id", "place", F.lit(1).alias("windows"), "ref.ref_doc", F.col("ref.place").alias("ref_place"))
+        .select("doc_id", "text_id", "place", F.lit(1).alias("windows"), "ref.ref_doc", F.col("ref.text_id").alias("ref_text"), F.col("ref.place").alias("ref_place"))
     )
     return copied.unionByName(single)
 
 
-def greedy_factors(runs: list[tuple[int, int, int, int]], window: int) -> list[tuple[int, int, int, int]]:
-    """Factors (place, length, ref_doc, ref_place) in words from runs of known windows
-    (place, windows, ref_doc, ref_place): a factor goes on as long as the next window
-    is known from the place that continues it."""
+Run = tuple[int, int, int, int, int]
+
+
+def greedy_factors(runs: list[Run], window: int) -> list[Run]:
+    """Factors (place, length, ref_doc, ref_text, ref_place) in words from runs of known
+    windows (place, windows, ref_doc, ref_text, ref_place): a factor goes on as long as
+    the next window is known from the place that continues it."""
     out: list[list[int]] = []
-    for place, windows, doc, at in sorted(runs):
+    for place, windows, doc, text, at in sorted(runs):
         last = out[-1] if out else None
-        if last and last[0] + last[1] == place and last[2] == doc and last[3] + last[1] == at:
+        if last and last[0] + last[1] == place and last[2:4] == [doc, text] and last[4] + last[1] == at:
             last[1] += windows
         else:
-            out.append([place, windows, doc, at])
-    return [(p, n + window - 1, d, a) for p, n, d, a in out]
+            out.append([place, windows, doc, text, at])
+    return [(p, n + window - 1, d, t, a) for p, n, d, t, a in out]
 
 
 def factors(documents: DataFrame, window: int = 50) -> DataFrame:
     """One row per (doc_id, text_id) that repeats something: factors, an array of
-    (place, length, ref_doc, ref_place) in words: [place, place + length) stands at
-    ref_place of ref_doc, whose id is smaller."""
+    (place, length, ref_doc, ref_text, ref_place) in words: [place, place + length)
+    stands at ref_place of the text ref_text of ref_doc, whose id is smaller."""
     runs = known_windows(documents, window)
 
-    @F.pandas_udf("array<struct<place: int, length: int, ref_doc: long, ref_place: int>>")
+    asked = ("place", "windows", "ref_doc", "ref_text", "ref_place")
+
+    @F.pandas_udf("array<struct<place: int, length: int, ref_doc: long, ref_text: long, ref_place: int>>")
     def parse(found: pd.Series) -> pd.Series:
-        names = ("place", "length", "ref_doc", "ref_place")
-        read = [[(r["place"], r["windows"], r["ref_doc"], r["ref_place"]) for r in rows] for rows in found]
+        names = ("place", "length", *asked[2:])
+        read = [[tuple(r[c] for c in asked) for r in rows] for rows in found]
         return pd.Series([[dict(zip(names, f, strict=True)) for f in greedy_factors(rows, window)] for rows in read])
 
     # One document's runs: a twentieth of its words or so.
-    grouped = runs.groupBy("doc_id", "text_id").agg(F.collect_list(F.struct("place", "windows", "ref_doc", "ref_place")).alias("runs"))
+    grouped = runs.groupBy("doc_id", "text_id").agg(F.collect_list(F.struct(*asked)).alias("runs"))
     return grouped.select("doc_id", "text_id", parse("runs").alias("factors"))
 
 
