@@ -2,6 +2,7 @@
 
 import html as entities
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -95,6 +96,43 @@ def test_proximity_matches(spark):
     assert near(0) <= near(1) <= near(8)
 
 
+def brute_near(words, items, window, slop):
+    out = set()
+    for item, t in items:
+        ws = words_of(t)
+        for s in range(max(1, len(ws) - window + 1) if ws else 0):
+            win = ws[s : s + window]
+            for x in range(-len(win) - slop, len(words) + 1):
+                met = sum(any(0 <= x + i + d < len(words) and words[x + i + d] == w for d in range(slop + 1)) for i, w in enumerate(win))
+                if met >= len(win) - len(win) // 5:
+                    out.add(item)
+                    break
+    return sorted(str(i) for i in out if i is not None)
+
+
+@pytest.mark.parametrize(("window", "slop"), [(10, 0), (10, 2), (6, 1), (11, 3)])
+def test_proximity_against_brute_force(spark, window, slop):
+    rng = np.random.default_rng(window + slop)
+    vocabulary = [f"v{i}" for i in range(25)]
+    pick = lambda n: list(rng.choice(vocabulary, n))
+    items = [(i, " ".join([*pick(int(rng.integers(1, 16))), f"absent{i}"] if i % 3 == 0 else pick(int(rng.integers(1, 16))))) for i in range(20)]
+    items += [(50, None), (None, "v1 v2 v3 v4"), (51, "never here at all")]
+    docs = []
+    for i in range(60):
+        words = items[i % 20][1].split()
+        for _ in range(int(rng.integers(0, 4))):
+            k = int(rng.integers(0, len(words) + 1))
+            words[k : k + int(rng.integers(0, 2))] = pick(int(rng.integers(0, 2)))
+        docs.append((i, " ".join(pick(int(rng.integers(0, 8))) + words + pick(int(rng.integers(0, 8))))))
+    docs += [(100, None), (101, ""), (None, "v1 v2 x v3 v4"), (5, docs[7][1])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("cell", "near", "need", "at")})
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(frame, bench, window, slop=slop).select("doc_id", "near_ids").collect()
+    want = [(i, brute_near(words_of(t), items, window, slop)) for i, t in docs]
+    assert sorted((str(r.doc_id), r.near_ids) for r in got) == sorted((str(i), n) for i, n in want)
+    assert any(n for _, n in want) and not all(n for _, n in want)
+
+
 def test_decontamination_plan_has_no_python(spark):
     docs, bench = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
     plan = decontaminate.contamination(docs, bench)._jdf.queryExecution().executedPlan().toString()
@@ -353,6 +391,56 @@ def test_html_on_the_pages_table(spark):
         assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
 
 
+def test_html_of_any_depth_and_unclosed_tags(spark):
+    deep = page("<article>" + "<div>" * 5000 + "<p>Deep</p>" + "</div>" * 5000 + "<p>after</p></article>")
+    other = page("<article>" + "<div>" * 4000 + "<p>Deeper</p></article>")
+    open_ = page("<article><p>One</p>" + "<svg>" * 100_000 + "<p>Two</p>" + "<svg " * 100_000 + "</article>")
+    rows = [(1, "http://d.org/1", deep), (2, "http://d.org/2", other), (3, "http://d.org/3", page("<article><p>Flat</p></article>")), (4, "http://u.org/", open_)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "Deep\n\nafter", 2: "Deeper", 3: "Flat", 4: "One\n\nTwo"}
+
+
+@pytest.mark.parametrize("junk", ["<a href='", "<!-", "<p>" + "</i>", "<b><p>", "<a \"'", "<", "<script"])
+def test_html_takes_linear_time(junk):
+    started = time.monotonic()
+    html.main_text("<body><p>x" + junk * 30_000, "")
+    assert time.monotonic() - started < 20
+
+
+def test_a_wrapper_survives_its_text_form():
+    wrapper = html.align(html.page_wrapper(page(CASES[0][0])), html.page_wrapper(page(CASES[2][0])))
+    assert html.loads(html.dumps(wrapper)) == wrapper and html.loads(html.dumps([])) == []
+
+
+def words(n, i):
+    return " ".join(f"w{k * (i + 3) % 101}n{i}" for k in range(n))
+
+
+def test_main_text_does_not_depend_on_lengths(spark):
+    hosts = {
+        # Two articles of different class, one short; a long main text beside a short one.
+        "pair.org": lambda i: ("<article class=story><p>" + words(400, i) + "</p></article><article class=brief><p>" + words(6, i) + "</p></article>", [words(400, i), words(6, i)]),
+        # A list page of one class: all of them, with the heading that varies.
+        "index.org": lambda i: (f"<main><h1>Page {i}</h1>" + "".join(f"<article><h2>{words(3, i + k)}</h2><p>{words(9 * k + 2, i)}</p></article>" for k in range(3)) + "</main>", [f"Page {i}"] + [t for k in range(3) for t in (words(3, i + k), words(9 * k + 2, i))]),
+        # Teasers longer than the article.
+        "loud.org": lambda i: ("<article class=post><p>" + words(5, i) + "</p></article>" + ("<article class=teaser><p>" + words(90, i) + "</p></article>") * 3, [words(5, i)]),
+        # No article: paragraphs in two containers, the second one short.
+        "plain.org": lambda i: ("<div class=body><div class=first><p>" + words(200, i) + "</p></div><div class=second><p>" + words(4, i) + "</p></div></div>", [words(200, i), words(4, i)]),
+    }
+    rows, want = [], {}
+    for host, make in hosts.items():
+        for i in range(6):
+            body, blocks = make(i)
+            want[len(rows)] = "\n\n".join(blocks)
+            rows.append((len(rows), f"http://{host}/{i}", page(body)))
+    # Pages without a host share no wrapper.
+    for body, text in (("<article><p>alpha</p></article>", "alpha"), ("<div><p>beta</p></div>", "beta"), ("<main><p>gamma</p></main>", "gamma")):
+        want[len(rows)] = text
+        rows.append((len(rows), None, page(body)))
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 # ------------------------------------------------------------------ top-k
 
 

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from subledger.llm import bpe, licenses, quality, secrets, toxicity
+from subledger.llm import bpe, licenses, quality, secrets, simhash, toxicity
 from subledger.llm.common import held_out, labelled_sample
 
 from conftest import SF_CHECK, SF_SMALL
@@ -380,3 +381,142 @@ def test_bpe_fold_in_spark_functions(spark):
     got = bpe.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), ranks).collect()
     assert {r.word: r.ids for r in got} == {w: bpe.merge(w.encode(), ranks) for w in words if w}
     assert len(got) == len({w for w in words if w})
+
+
+# ------------------------------------------------------ results by another path
+
+
+def test_quality_scores_recomputed_from_the_model(spark):
+    docs, marks = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.learn_model(docs, marks)
+    got = docs.select("doc_id", quality.score_quality(docs, model).alias("score")).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in got:
+        at, weight = quality.features(texts[r.doc_id])
+        logit = model.bias + float((weight.astype(np.float64) * model.bucket[at]).sum())
+        assert r.score == pytest.approx(1 / (1 + np.exp(-np.clip(logit, -30, 30))), abs=1e-4)
+
+
+def test_quality_ngrams_do_not_depend_on_the_pieces(monkeypatch):
+    rng = np.random.default_rng(9)
+    texts = [" ".join("".join(rng.choice(list("abcé"), int(rng.integers(1, 9)))) for _ in range(int(rng.integers(1, 60)))) for _ in range(40)]
+    texts += ["one", "a " * 30, "x" * 200, "x" * 90 + " y", ""]
+    count = lambda t: {k: sorted(np.concatenate([i for kind, i in quality.ngrams(t) if kind == k] or [[]]).tolist()) for k in quality.SHARES}
+    whole = [count(t) for t in texts]
+    for size in (1, 7, 40):
+        monkeypatch.setattr(quality, "CHUNK", size)
+        assert [count(t) for t in texts] == whole
+
+
+def test_license_base_places_on_the_whole_table(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    phrases = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
+    for r in docs.collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.text or "").translate({c: c + 32 for c in range(65, 91)}))
+        places = [(i, label) for i in range(len(words)) for p, label in phrases.items() if tuple(words[i : i + len(p)]) == p]
+        starts = [i for i, _ in places]
+        g = got[r.doc_id]
+        assert (g.n_words, g.n_base, g.first_word, g.last_word) == (len(words), len(places), min(starts, default=None), max(starts, default=None))
+        assert g.base_labels == ",".join(sorted({label for _, label in places})) and {label for _, label in places} <= set(g.labels.split(","))
+
+
+def test_many_detections_in_a_text():
+    found = licenses.detect("the MIT License, " * 20_000)
+    assert len(found) == 20_000
+
+
+# ------------------------------------------------- toxicity: what is thrown at whom
+
+
+def test_insults_count_by_what_the_clause_does_with_them():
+    lex = toxicity.Lexicon(dict(toxicity.SEED_INSULTS), {})
+    score = lambda t: toxicity.text_score(t, lex, {})[0]
+    for text in ("the garbage truck came", "the clown made children laugh", "filth covers the road"):
+        assert 0 < score(text) < toxicity.THRESHOLD
+    for text in ("you are garbage", "garbage, you are", "he is an idiot", "what an idiot", "Idiot!", "a stupid idiot came by", "tu es un imbécile"):
+        assert score(text) > toxicity.THRESHOLD
+    assert score("he is not an idiot") < toxicity.THRESHOLD and score("she called him an idiot") < toxicity.THRESHOLD
+
+
+def test_learning_and_scoring_read_the_same_words(spark):
+    long = "Zz" + "y" * 60
+    rows, marks = [], []
+    for i in range(900):
+        insult = ["ÄRSCHZ", "'quorb'", long][i % 3]
+        toxic = i % 5 == 0
+        rows.append((i, f"word{chr(97 + i % 26)}{chr(97 + i % 7)} of plain prose {insult + ' so it goes' if toxic else 'and so it goes'} {chr(97 + i % 9)}{chr(97 + i % 11)}"))
+        marks.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lex = toxicity.learn_lexicon(docs, labels(spark, marks))
+    found = toxicity.score_toxicity(docs, lex).collect()
+    assert all((r.score > 0.3) == (r.doc_id % 5 == 0) for r in found)
+
+
+# --------------------------------------------- secrets: whole columns, many spans
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    names = ("_t", "_hex", "_clean", "_assign", "_access", "_cand", "_spans", "_own", "_text", "row", "spans", "clean", "text0", "kid", "kh", "_kid", "_kh", "id", "h")
+    text = "token = 'abcdefghij0123456789'"
+    docs = spark.createDataFrame([(1, text, len(text)), (2, "plain", 5), (3, None, 0), (2, "plain", 5)], "doc_id long, text string, n_chars long")
+    docs = docs.withColumns({c: F.concat(F.lit("keep"), F.col("doc_id").cast("string")) for c in names})
+    clean = secrets.without_secrets(docs, secrets.Markov((0.0,) * secrets._CLASSES**2))
+    assert clean.columns == docs.columns and clean.count() == 4
+    for r in clean.collect():
+        assert all(r[c] == f"keep{r.doc_id}" for c in names)
+        assert (r.text, r.n_chars) == {1: ("[SECRET]'", 9), 2: ("plain", 5), 3: (None, 0)}[r.doc_id]
+    kept = simhash.representatives(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
+    assert all(r[c] == f"keep{r.doc_id}" for r in kept.collect() for c in names)
+
+
+def test_redaction_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(60):
+        text = "".join(rng.choice(list("ab é𝄞"), int(rng.integers(0, 1500))))
+        ends = sorted({int(x) for x in rng.integers(0, len(text) + 1, int(rng.integers(0, 900)))})
+        spans = sorted((a, int(k), min(len(text), a + int(n))) for a in ends for k, n in [(rng.integers(0, 4), rng.integers(1, 6))] if a < len(text))
+        rows.append((i, text, spans))
+    df = spark.createDataFrame(rows, "i long, text string, spans array<struct<start:bigint,kind:int,end:bigint>>")
+    got = {r.i: r.o for r in df.select("i", secrets.redact(F.col("text"), F.col("spans")).alias("o")).collect()}
+    for i, text, spans in rows:
+        out, at = "", None
+        for s, _, e in spans:
+            if at is None or s > at:
+                out += text[at or 0 : s] + "[SECRET]"
+            at = max(at or 0, e)
+        assert got[i] == out + text[at or 0 :]
+
+
+def test_a_hundred_thousand_spans_in_one_text(spark):
+    n = 100_000
+    df = spark.createDataFrame([(1, "token=abcdefghij0123 é, " * n)], "doc_id long, text string")
+    started = time.monotonic()
+    out = secrets.without_secrets(df, secrets.Markov((0.0,) * secrets._CLASSES**2)).first().text
+    assert out == "[SECRET] é, " * n and time.monotonic() - started < 60
+
+
+def test_recall_of_planted_secrets(spark):
+    """Random tokens that no base pattern knows, from 12 characters on, letters alone too."""
+    rng = np.random.default_rng(10)
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text")
+    model = secrets.train(docs)
+    alphabets = {"mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"}
+    rows = [(f"{k}{n}", "the key is " + "".join(rng.choice(list(a), n)) + " and so on") for k, a in alphabets.items() for n in (12, 16, 20, 32) for _ in range(100)]
+    found = secrets.scan_secrets(spark.createDataFrame(rows, "kind string, text string"), model)
+    recall = {r.kind: r.r for r in found.groupBy("kind").agg(F.avg((F.size("spans") > 0).cast("int")).alias("r")).collect()}
+    assert min(recall.values()) >= 0.9, recall
+    # Ordinary words are left alone.
+    words = docs.select(F.explode(F.split("text", r"[^\p{L}]+")).alias("text")).where("length(text) >= 12").distinct()
+    flagged = secrets.scan_secrets(words, model).agg(F.avg((F.size("spans") > 0).cast("int"))).first()[0]
+    assert flagged < 0.01, flagged
+
+
+def test_a_token_that_reaches_beyond_a_base_span_stays(spark):
+    table = [0.0] * secrets._CLASSES**2
+    model = secrets.Markov(tuple(1.0 for _ in table))
+    text = "x QWERTY0123456789abcdefQWERTY y 0123456789abcdef z"
+    spans = secrets.scan_secrets(spark.createDataFrame([(text,)], "text string"), model).first().spans
+    assert [(s.start, s.kind, s.end) for s in spans] == [(2, 3, 30), (8, 2, 24), (33, 2, 49)]
