@@ -5,8 +5,9 @@
 as UTC. The result never depends on ``spark.sql.session.timeZone`` because the
 instant is computed from epoch microseconds, not through a local-time cast.
 
-Common ISO layouts are cast directly; the others go through a list of rewrites,
-each evaluated once a row.
+Common ISO layouts are cast directly; for all others one pattern tells the layout
+and takes its parts out of the text in one pass, and the parts are put together as
+ISO text for one typed cast.
 """
 
 from __future__ import annotations
@@ -16,52 +17,34 @@ from pyspark.sql import functions as F
 
 from subledger.functions.text import trimmed
 
-# Accepted layouts besides ISO 8601 ('yyyy-MM-dd[ T]HH:mm[:ss[.f]][zone]'),
-# each a pattern and what it is rewritten to, tried in this order.
+# English month names, and zone names with their offsets.
 _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
-_REWRITES = (
-    # compact: 20240105T100000[.f][zone]
-    (r"^([0-9]{4})([0-9]{2})([0-9]{2})T([0-9]{2})([0-9]{2})([0-9]{2})", "$1-$2-$3T$4:$5:$6"),
-    # 2024/01/05
-    (r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})(?![0-9])", "$1-$2-$3"),
-    # 13/01/2024 and 13-01-2024: no month is above 12, so the day stands first
-    (r"^(1[3-9]|2[0-9]|3[01])[-/](0?[1-9]|1[0-2])[-/]([0-9]{4})(?![0-9])", "$3-$2-$1"),
-    # 01/05/2024 and 01-05-2024: month first
-    (r"^([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})(?![0-9])", "$3-$1-$2"),
-    # [Fri, ]05 Jan 2024 and Jan 5, 2024 (month names are made numbers before)
-    (r"^(?:[A-Za-z]{3,9},?\s+)?([0-9]{1,2})\s+m([0-9]{2})\s+([0-9]{4})(?![0-9])", "$3-$2-$1"),
-    (r"^m([0-9]{2})\s+([0-9]{1,2}),?\s+([0-9]{4})(?![0-9])", "$3-$1-$2"),
-    # zone names and short offsets
-    (r"\s*(?<=[0-9])(?:\s?(?:UTC|GMT|utc|gmt)|z)$", "Z"),
-    (r"(:[0-9]{2}(?:\.[0-9]+)?)\s?([+-][0-9]{2})$", "$1$2:00"),
-    (r"\s?(?:EST)$", "-05:00"),
-    (r"\s?(?:EDT)$", "-04:00"),
-    (r"\s?(?:CST)$", "-06:00"),
-    (r"\s?(?:CDT)$", "-05:00"),
-    (r"\s?(?:MST)$", "-07:00"),
-    (r"\s?(?:MDT)$", "-06:00"),
-    (r"\s?(?:PST)$", "-08:00"),
-    (r"\s?(?:PDT)$", "-07:00"),
-    # an hour alone: 2024-01-05T10[zone]
-    (r"([T ][0-9]{2})(Z|[+-][0-9]{2}:[0-9]{2})?$", "$1:00$2"),
+_ZONES = {
+    "Z": "Z", "z": "Z", "UTC": "Z", "GMT": "Z", "utc": "Z", "gmt": "Z", "EST": "-05:00", "EDT": "-04:00",
+    "CST": "-06:00", "CDT": "-05:00", "MST": "-07:00", "MDT": "-06:00", "PST": "-08:00", "PDT": "-07:00",
+}
+_MONTH = f"((?i:{'|'.join(_MONTHS)}))(?i:[a-z]*)\\.?"
+# The accepted layouts, a date and perhaps a time of day; a bare year or
+# time of day is none, nothing is completed from today, and no text may follow.
+_LAYOUT = (
+    r"^(?:"
+    r"([0-9]{4})([-/])([0-9]{1,2})\2([0-9]{1,2})"  # 1-4: 2024-01-05, 2024/1/5
+    r"|([0-9]{4})([0-9]{2})([0-9]{2})(?=T[0-9]{6})"  # 5-7: 20240105, with a compact time only
+    r"|([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})"  # 8-10: 01/05/2024, month first unless above 12
+    rf"|(?:[A-Za-z]{{3,9}},?\s+)?([0-9]{{1,2}})\s+{_MONTH}\s+([0-9]{{4}})"  # 11-13: [Fri, ]05 Jan 2024
+    rf"|{_MONTH}\s+([0-9]{{1,2}}),?\s+([0-9]{{4}})"  # 14-16: Jan 5, 2024
+    r")(?:[T ](?:"
+    r"([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:\.([0-9]+))?)?(?:\s?([AaPp])\.?[Mm]\.?)?"  # 17-21: 10:00[:00[.0]][ PM]
+    r"|([0-9]{2})([0-9]{2})([0-9]{2})(?:\.([0-9]+))?"  # 22-25: 100000[.0]
+    r"|([0-9]{2})"  # 26: 10
+    rf")\s?({'|'.join(_ZONES)}|[+-][0-9]{{2}}(?::?[0-9]{{2}})?)?)?$"  # 27: zone
 )
-_TWELVE_HOURS = r"^(\S+)[ T]([0-9]{1,2}):([0-9]{2})(:[0-9]{2}(?:\.[0-9]+)?)?\s?([AaPp])\.?[Mm]\.?(.*)$"
-# Text that does not start with a full calendar date is blanked (so it casts
-# to null): a bare year or time of day is rejected, never completed from today.
-_NOT_FULL_DATE = r"^(?![0-9]{4}-[0-9]{1,2}-[0-9]{1,2}).*$"
-_DATE_ONLY = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})$"
-# 'HH:mm' without seconds does not parse once a zone is attached: pad ':00'.
-_HHMM_END = r"([ T][0-9]{1,2}:[0-9]{2})(Z|[+-][0-9]{2}:?[0-9]{2})?$"
-# End of text not preceded by a zone designator: append 'Z' there (naive = UTC).
-_NO_ZONE_END = r"(?<!Z)(?<![+-][0-9]{2}:[0-9]{2})(?<![+-][0-9]{4})$"
+_GROUPS, _MARK = 27, "\x01"
 
 # Fast paths: the common ISO layouts cast directly, without the rewrite chain.
 _ISO_ZONED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2})$"
 _ISO_NAIVE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?$"
 _ISO_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-# A whole date, with a whole time of day or none: other text after it is an error.
-_DAY_AND_TIME = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(?:[T ][0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
-
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -69,56 +52,69 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _named_months(t: Column) -> Column:
-    """English month names as 'mNN', only where letters follow digits or start the text."""
-    out = t
-    for n, name in enumerate(_MONTHS, 1):
-        out = F.regexp_replace(out, rf"(?i)\b{name}[a-z]*\.?(?=\s+[0-9])", f"m{n:02d}")
-    return out
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _twelve_hours(t: Column) -> Column:
-    """'... 10:00 PM' on the 24-hour clock."""
-    hour = F.regexp_extract(t, _TWELVE_HOURS, 2).try_cast("int")
-    late = F.lower(F.regexp_extract(t, _TWELVE_HOURS, 5)) == "p"
-    clock = F.lpad(((hour % 12) + F.when(late, 12).otherwise(0)).cast("string"), 2, "0")
-    rest = F.concat(F.lit(":"), F.regexp_extract(t, _TWELVE_HOURS, 3), F.regexp_extract(t, _TWELVE_HOURS, 4), F.regexp_extract(t, _TWELVE_HOURS, 6))
-    whole = F.concat(F.regexp_extract(t, _TWELVE_HOURS, 1), F.lit(" "), clock, rest)
-    return F.when(hour.between(1, 12), whole).otherwise(F.lit(""))
+class _Parts:
+    """The parts that ``_LAYOUT`` takes out of a text."""
 
+    def __init__(self, groups: Column):
+        self.groups = groups
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` evaluated once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    def first(self, *numbers: int) -> Column:
+        """The first of these groups that stands in the text, else null."""
+        return F.coalesce(*[F.nullif(F.get(self.groups, F.lit(n)), F.lit("")) for n in numbers])
+
+    def found(self) -> Column:
+        """Did the pattern fit, and is a compact time of day that of a compact date?"""
+        return (F.get(self.groups, F.lit(0)) == _MARK) & (self.first(22).isNull() == self.first(5).isNull()) & self.hour().isNotNull()
+
+    def day(self) -> Column:
+        """The date as ISO text."""
+        turned = self.first(8).cast("int") > 12
+        months = F.create_map(*[F.lit(x) for i, m in enumerate(_MONTHS, 1) for x in (m, f"{i:02d}")])
+        named = F.element_at(months, F.lower(self.first(12, 14)))
+        month = F.coalesce(self.first(3, 6), named, F.when(turned, self.first(9)).otherwise(self.first(8)))
+        day = F.coalesce(self.first(4, 7, 11, 15), F.when(turned, self.first(8)).otherwise(self.first(9)))
+        return F.concat(self.first(1, 5, 10, 13, 16), F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"))
 
+    def hour(self) -> Column:
+        """The hour on the 24-hour clock; null for an hour that a 12-hour one lacks."""
+        hour, half = F.coalesce(self.first(17, 22, 26), F.lit("0")).cast("int"), F.lower(self.first(21))
+        late = F.when(half == "p", 12).otherwise(0)
+        return F.when(half.isNull(), hour).when(hour.between(1, 12), hour % 12 + late)
 
-def _rewritten(t: Column) -> Column:
-    for pattern, to in _REWRITES:
-        t = F.regexp_replace(t, pattern, to)
-    return t
+    def time(self) -> Column:
+        """The time of day with its zone as ISO text; UTC where none is named."""
+        minute, second = (F.coalesce(self.first(*n), F.lit("00")) for n in ((18, 23), (19, 24)))
+        fraction = F.coalesce(F.concat(F.lit("."), self.first(20, 25)), F.lit(""))
+        zone = F.coalesce(self.first(27), F.lit("Z"))
+        offset = F.concat(F.substring(zone, 1, 3), F.lit(":"), F.coalesce(F.nullif(F.regexp_replace(F.substring(zone, 4, 3), ":", ""), F.lit("")), F.lit("00")))
+        names = F.create_map(*[F.lit(x) for pair in _ZONES.items() for x in pair])
+        clock = F.concat_ws(":", F.lpad(self.hour().cast("string"), 2, "0"), minute, second)
+        return F.concat(F.lit("T"), clock, fraction, F.coalesce(F.element_at(names, zone), offset))
 
 
-def _iso_text(c: str | Column) -> Column:
-    def clock(t: Column) -> Column:
-        return F.regexp_replace(F.when(t.rlike(_TWELVE_HOURS), _twelve_hours(t)).otherwise(t), _NOT_FULL_DATE, "")
+def _by_layout(text: Column, use) -> Column:
+    """``use`` of the parts of a text in one of the accepted layouts, else null."""
+    marked = F.regexp_replace(text, _LAYOUT, "|".join([_MARK, *(f"${n}" for n in range(1, _GROUPS + 1))]))
 
-    def months(t: Column) -> Column:
-        return F.when(t.rlike("[A-Za-z]{3}"), _named_months(t)).otherwise(t)
+    def read(groups: Column) -> Column:
+        parts = _Parts(groups)
+        return F.when(parts.found(), use(parts))
 
-    return _let(trimmed(c), lambda t: _let(months(t), lambda m: _let(_rewritten(m), clock)))
+    return _let(F.split(marked, r"\|", -1), read)
 
 
 def to_utc_ntz(c: str | Column) -> Column:
     """Timestamp text -> naive UTC timestamp_ntz; unparseable -> null."""
     raw = trimmed(c)
-    t = _iso_text(c)
-    t = F.regexp_replace(t, _DATE_ONLY, "$1 00:00:00")
-    t = F.regexp_replace(t, _HHMM_END, "$1:00$2")
-    t = F.regexp_replace(t, _NO_ZONE_END, "Z")
     text = (
         F.when(raw.rlike(_ISO_ZONED), raw)
         .when(raw.rlike(_ISO_NAIVE), F.concat(raw, F.lit("Z")))
-        .otherwise(t)
+        .otherwise(_by_layout(raw, lambda p: F.concat(p.day(), p.time())))
     )
     micros = F.unix_micros(text.try_cast("timestamp"))
     return F.timestamp_add("MICROSECOND", micros, F.expr(_EPOCH_NTZ))
@@ -126,10 +122,10 @@ def to_utc_ntz(c: str | Column) -> Column:
 
 def parse_date(c: str | Column) -> Column:
     """Lenient date text -> date: ISO date or timestamp (time part ignored),
-    and the layouts of ``_REWRITES``. Unparseable text, or text after the date that
+    and the other accepted layouts. Unparseable text, or text after the date that
     is no time of day, -> null. Zone independent."""
     raw = trimmed(c)
-    day = F.when(raw.rlike(_ISO_DAY), raw).otherwise(F.regexp_extract(_iso_text(c), _DAY_AND_TIME, 1))
+    day = F.when(raw.rlike(_ISO_DAY), raw).otherwise(_by_layout(raw, lambda p: p.day()))
     return day.try_cast("date")
 
 
