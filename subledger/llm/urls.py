@@ -98,8 +98,14 @@ def with_features(urls: DataFrame, rates: DataFrame, url_col: str = "url") -> Da
     df = urls.withColumns({f"f_{k}": F.coalesce(c.cast("double"), F.lit(0.0)) for k, c in columns.items()})
     overall = rates.where("suffix = ''").select(F.max("rate").alias("f_overall"))
     df = df.withColumn("_tld", F.substring_index("host", ".", -1)).withColumn("_suffix", F.substring_index("host", ".", -2))
-    for key, name in (("_tld", "f_tld_rate"), ("_suffix", "f_suffix_rate")):
-        df = df.join(rates.where("suffix <> ''").select(F.col("suffix").alias(key), F.col("rate").alias(name)), key, "left")
+    # Two tables, for there are few top-level labels, some with a large share of all rows, and
+    # as many pairs of labels as sites: the planner sees the size of each.
+    last = cut(rates.where("suffix <> '' and instr(suffix, '.') = 0"), "tld-rates")
+    pairs = cut(rates.where("instr(suffix, '.') > 0"), "pair-rates")
+    for table, key, name in ((last, "_tld", "f_tld_rate"), (pairs, "_suffix", "f_suffix_rate")):
+        df = df.join(table.select(F.col("suffix").alias(key), F.col("rate").alias(name)), key, "left")
+    # A host of one label is its own last two.
+    df = df.withColumn("f_suffix_rate", F.when(F.col("_suffix") == F.col("_tld"), F.col("f_tld_rate")).otherwise(F.col("f_suffix_rate")))
     whole = overall.first()["f_overall"]
     return df.fillna(0.5 if whole is None else whole, ["f_tld_rate", "f_suffix_rate"])
 
