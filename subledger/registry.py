@@ -87,7 +87,7 @@ def q_bronze_events(spark, d):
 
 def q_bronze_events_bad_rows(spark, d):
     _, bad = bronze.ingest_events(spark, _raw_events(spark, d))
-    return bad.select("_source_line_no", "_raw_line", "_error")
+    return bad.select("_source_line_no", "_raw_line", "_raw_head", "_error")
 
 
 def q_bronze_subscriptions(spark, d):
@@ -134,7 +134,8 @@ def q_bronze_marketing_bad_rows(spark, d):
 
 def q_silver_events(spark, d):
     good, _ = silver.clean_events(adapters.bronze_events_dirty(spark, d))
-    return good.select("event_id", "user_id", "event_type", "event_ts_utc", F.round("amount_num", 2).alias("amount_num"))
+    shown = ("event_id", "user_id", "event_type", "acquisition_channel", "_source_line_no", "event_ts_utc", "amount_num", "event_type_norm", "user_id_norm")
+    return good.select(*shown)
 
 
 def q_silver_events_rejected(spark, d):
@@ -532,6 +533,9 @@ _EVENT_LINES = f"""
     ln AS (SELECT l.event_id, kind,
              ROW_NUMBER() OVER (PARTITION BY l.event_id // {raw_files.KEYS_PER_FILE} ORDER BY l.event_id, kind) AS line_no FROM l)"""
 
+_BROKEN = """'{"event_id": ' || CAST(event_id AS VARCHAR) || ', "broken"' ||
+      CASE WHEN event_id % 581 = 0 THEN repeat(' x', 2000) ELSE '' END"""
+
 _SUB_STRINGS = """
     SELECT CAST(k AS VARCHAR) AS subscription_id, CAST(o_custkey AS VARCHAR) AS user_id, o_orderpriority AS plan_id,
       CAST(p AS VARCHAR) AS price, 'USD' AS currency,
@@ -573,8 +577,7 @@ ORACLE: dict[str, str] = {
         FROM events e JOIN ln ON ln.event_id = e.event_id AND ln.kind = 3""",
     "bronze_events_bad_rows": f"""
         WITH {_EVENT_LINES}
-        SELECT line_no AS _source_line_no, '{{"event_id": ' || CAST(event_id AS VARCHAR) || ', "broken"' AS _raw_line,
-          'invalid_json' AS _error
+        SELECT line_no AS _source_line_no, {_BROKEN} AS _raw_line, left({_BROKEN}, {bronze.HEAD_CHARS}) AS _raw_head, 'invalid_json' AS _error
         FROM ln WHERE kind = 2""",
     "bronze_subscriptions": f"""
         WITH s AS ({_SUB_STRINGS})
@@ -615,15 +618,19 @@ ORACLE: dict[str, str] = {
         "SELECT " + ", ".join(f"(SELECT COUNT(*) FROM {t}) AS {t}_rows" for t in catalog.DIM_TABLES)
     ),
     "silver_events": """
-        SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
-          CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'login'
-                          WHEN 'error' THEN 'refund' ELSE event_type END AS event_type,
-          CASE WHEN event_id % 15 <> 0 AND event_id % 10 = 0 AND event_id % 17 = 0
-               THEN ts - INTERVAL 1 HOUR ELSE ts END AS event_ts_utc,
-          round(CASE WHEN event_id % 15 = 0 THEN value + 2000
-                     WHEN event_id % 10 = 0 AND event_id % 17 = 0 THEN value + 1000
-                     WHEN event_id % 13 = 0 THEN NULL ELSE value END, 2) AS amount_num
-        FROM events WHERE event_id % 17 <> 0 OR event_id % 15 = 0 OR event_id % 10 = 0""",
+        WITH e AS (
+          SELECT event_id AS i, CAST(user_id AS VARCHAR) AS user_id, ts, value,
+            CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'login' WHEN 'error' THEN 'refund' ELSE event_type END AS kind,
+            CASE WHEN event_type = 'signup' THEN 'ch' ||
+              CAST(TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) % 5 AS VARCHAR) END AS acquisition_channel,
+            -- which of an event's rows is the latest: the copy of the same time, the original, or the older one
+            CASE WHEN event_id % 15 = 0 THEN 3 WHEN event_id % 17 <> 0 THEN 1 WHEN event_id % 10 = 0 THEN 2 END AS latest
+          FROM events)
+        SELECT CAST(i AS VARCHAR) AS event_id, user_id, kind AS event_type, acquisition_channel, i * 3 + latest AS _source_line_no,
+          CASE latest WHEN 2 THEN ts - INTERVAL 1 HOUR ELSE ts END AS event_ts_utc,
+          CASE latest WHEN 3 THEN value + 2000 WHEN 2 THEN value + 1000 ELSE CASE WHEN i % 13 <> 0 THEN value END END AS amount_num,
+          lower(trim(kind)) AS event_type_norm, trim(user_id) AS user_id_norm
+        FROM e WHERE latest IS NOT NULL""",
     "silver_events_rejected": """
         SELECT '  ' AS event_id, event_id * 3 + 1000000 AS _source_line_no, 'missing_event_id' AS reject_reason
         FROM events WHERE event_id % 101 = 0
@@ -857,7 +864,7 @@ ORACLE["pipeline_step_audit"] = with_ctes(
 ORACLE["quarantine_rows"] = with_ctes(
     f"""
     SELECT 'events_bad_rows' AS table_name, 'invalid_json' AS reason,
-      CAST(line_no AS VARCHAR) || '|{{"event_id": ' || CAST(event_id AS VARCHAR) || ', "broken"' AS row_text FROM qlines WHERE kind = 2
+      CAST(line_no AS VARCHAR) || '|' || {_BROKEN} AS row_text FROM qlines WHERE kind = 2
     UNION ALL
     SELECT 'events_rejected_silver', CASE kind WHEN 4 THEN 'bad_timestamp' ELSE 'missing_event_id' END,
       CASE kind WHEN 4 THEN 'late' || CAST(event_id AS VARCHAR) || '|-|10:00|'

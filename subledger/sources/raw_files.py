@@ -42,7 +42,8 @@ def _lines(frame: DataFrame, file_key: Column, o1: Column, o2: int, value: Colum
 
 def write_events_ndjson(spark: SparkSession, sf_dir: str, path: str, keys_per_file: int = KEYS_PER_FILE, rejects: bool = False) -> str:
     """One JSON object per event, plus planted defects:
-    id%50=0 blank line before the event; id%83=0 truncated object after it;
+    id%50=0 blank line before the event; id%83=0 truncated object after it, which
+    id%581=0 makes some 4,000 characters long;
     id%97=0 an extra object 'dup<id>' whose duplicate key event_type ends as
     'signup' (last key wins). With ``rejects`` also id%89=0 an extra object 'late<id>'
     without a full date, id%71=0 one whose id is 'None'."""
@@ -67,10 +68,12 @@ def write_events_ndjson(spark: SparkSession, sf_dir: str, path: str, keys_per_fi
         F.col("user_id").cast("string"), F.lit('","timestamp":"'),
         F.regexp_replace(ts_txt, " ", "T"), F.lit('Z","event_type":"signup"}'),
     )
+    tail = F.when(i % 581 == 0, F.repeat(F.lit(" x"), 2000)).otherwise(F.lit(""))
+    broken = F.concat(F.lit('{"event_id": '), i.cast("string"), F.lit(', "broken"'), tail)
     lines = (
         _lines(ev.where(i % 50 == 0), key, i, 0, F.lit("   "))
         .unionByName(_lines(ev, key, i, 1, obj))
-        .unionByName(_lines(ev.where(i % 83 == 0), key, i, 2, F.concat(F.lit('{"event_id": '), i.cast("string"), F.lit(', "broken"'))))
+        .unionByName(_lines(ev.where(i % 83 == 0), key, i, 2, broken))
         .unionByName(_lines(ev.where(i % 97 == 0), key, i, 3, dup))
     )
     if rejects:
