@@ -120,6 +120,64 @@ SENTENCES = (
     ("mpl-2.0", 90, r"this\s+source\s+code\s+form\s+is\s+subject\s+to\s+the\s+terms\s+of\s+the\s+mozilla\s+public\s+license"),
     ("boost", 90, r"distributed\s+under\s+the\s+boost\s+software\s+license"),
     ("unlicense", 90, r"this\s+is\s+free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain"),
+    ("mit", 88, r"the\s+above\s+copyright\s+notice\s+and\s+this\s+permission\s+notice\s+shall\s+be\s+included\s+in\s+all\s+copies"),
+    ("mit-0", 93, r"permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person\s+obtaining\s+a\s+copy\s+of\s+this\s+software[\s\S]{1,400}?to\s+permit\s+persons\s+to\s+whom\s+the\s+software\s+is\s+furnished\s+to\s+do\s+so\."),
+    ("x11", 91, r"except\s+as\s+contained\s+in\s+this\s+notice,?\s+the\s+names?\s+of[\s\S]{1,120}?\s+shall\s+not\s+be\s+used\s+in\s+advertising"),
+    ("isc", 88, r"appear\s+in\s+all\s+copies\.\s+the\s+software\s+is\s+provided\s+[\"“']?as\s+is"),
+    ("bsd-0-clause", 92, r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software\s+for\s+any\s+purpose\s+with\s+or\s+without\s+fee\s+is\s+hereby\s+granted\.\s+the\s+software"),
+    ("bsd", 87, r"redistributions\s+of\s+source\s+code\s+must\s+retain\s+the\s+above\s+copyright"),
+    ("bsd", 87, r"redistributions\s+in\s+binary\s+form\s+must\s+reproduce\s+the\s+above\s+copyright"),
+    ("apache-2.0", 89, r"licensed\s+under\s+the\s+apache\s+license,\s+version\s+2\.0\s+\(the\s+[\"“']license"),
+    ("apache-2.0", 86, r"you\s+may\s+not\s+use\s+this\s+file\s+except\s+in\s+compliance\s+with\s+the\s+license"),
+    ("apache-1.1", 91, r"this\s+product\s+includes\s+software\s+developed\s+by\s+the\s+apache\s+software\s+foundation"),
+    ("gnu-2.0-or-later", 92, r"either\s+version\s+2\s+of\s+the\s+license,?\s+or\s+\(at\s+your\s+option\)\s+any\s+later\s+version"),
+    ("gnu-3.0-or-later", 92, r"either\s+version\s+3\s+of\s+the\s+license,?\s+or\s+\(at\s+your\s+option\)\s+any\s+later\s+version"),
+    ("gnu", 85, r"free\s+software[:;,]\s+you\s+can\s+redistribute\s+it\s+and/or\s+modify\s+it\s+under\s+the\s+terms"),
+    ("gpl", 84, r"you\s+should\s+have\s+received\s+a\s+copy\s+of\s+the\s+gnu\s+general\s+public\s+license"),
+    ("lgpl", 93, r"gnu\s+(?:lesser|library)\s+general\s+public\s+license\s+as\s+published\s+by\s+the\s+free\s+software\s+foundation"),
+    ("lgpl", 85, r"you\s+should\s+have\s+received\s+a\s+copy\s+of\s+the\s+gnu\s+(?:lesser|library)\s+general\s+public\s+license"),
+    ("agpl", 93, r"gnu\s+affero\s+general\s+public\s+license\s+as\s+published\s+by\s+the\s+free\s+software\s+foundation"),
+    ("agpl-3.0", 88, r"remote\s+network\s+interaction;\s+use\s+with\s+the\s+gnu\s+general\s+public\s+license"),
+    ("gpl", 86, r"https?://(?:www\.)?gnu\.org/licenses/(?:old-licenses/)?gpl(?:-[0-9.]+)?"),
+    ("lgpl", 86, r"https?://(?:www\.)?gnu\.org/licenses/(?:old-licenses/)?lgpl(?:-[0-9.]+)?"),
+    ("agpl", 86, r"https?://(?:www\.)?gnu\.org/licenses/agpl(?:-[0-9.]+)?"),
+    ("gfdl", 92, r"permission\s+is\s+granted\s+to\s+copy,\s+distribute\s+and/or\s+modify\s+this\s+document\s+under\s+the\s+terms\s+of\s+the\s+gnu\s+free\s+documentation"),
+    ("gpl-classpath", 92, r"as\s+a\s+special\s+exception,?\s+the\s+copyright\s+holders\s+of\s+this\s+library\s+give\s+you\s+permission\s+to\s+link"),
+    ("mpl-2.0", 88, r"you\s+can\s+obtain\s+one\s+at\s+https?://mozilla\.org/MPL/2\.0"),
+    ("mpl-1.1", 91, r"the\s+contents\s+of\s+this\s+file\s+are\s+subject\s+to\s+the\s+mozilla\s+public\s+license"),
+    ("mpl-tri", 90, r"mpl\s+1\.1/gpl\s+2\.0/lgpl\s+2\.1"),
+    ("epl", 90, r"this\s+program\s+and\s+the\s+accompanying\s+materials\s+are\s+made\s+available\s+under\s+the\s+terms\s+of\s+the\s+eclipse"),
+    ("epl", 86, r"https?://www\.eclipse\.org/legal/epl-(?:v10|2\.0)"),
+    ("cddl", 90, r"the\s+contents\s+of\s+this\s+file\s+are\s+subject\s+to\s+the\s+terms\s+of\s+the\s+common\s+development\s+and\s+distribution"),
+    ("zlib", 90, r"this\s+software\s+is\s+provided\s+[\"“']?as-is[\"”']?,\s+without\s+any\s+express\s+or\s+implied\s+warranty"),
+    ("zlib", 88, r"altered\s+source\s+versions\s+must\s+be\s+plainly\s+marked\s+as\s+such"),
+    ("boost", 88, r"https?://www\.boost\.org/LICENSE_1_0\.txt"),
+    ("wtfpl", 91, r"do\s+what\s+the\s+f\*?u?ck\s+you\s+want\s+to\s+public\s+license"),
+    ("beerware", 90, r"if\s+we\s+meet\s+some\s+day,?\s+and\s+you\s+think\s+this\s+stuff\s+is\s+worth\s+it"),
+    ("cc0", 91, r"has\s+waived\s+all\s+copyright\s+and\s+related\s+or\s+neighbou?ring\s+rights"),
+    ("artistic", 90, r"same\s+terms\s+as\s+perl\s+itself"),
+    ("ruby", 90, r"same\s+terms\s+as\s+ruby\s+itself"),
+    ("psf", 90, r"psf\s+is\s+making\s+python\s+available\s+to\s+licensee"),
+    ("php", 90, r"this\s+product\s+includes\s+php\s+software,?\s+freely\s+available"),
+    ("openssl", 90, r"this\s+product\s+includes\s+software\s+developed\s+by\s+the\s+openssl\s+project"),
+    ("ofl", 90, r"this\s+font\s+software\s+is\s+licensed\s+under\s+the\s+sil\s+open\s+font\s+license"),
+    ("ncsa", 90, r"to\s+deal\s+with\s+the\s+software\s+without\s+restriction"),
+    ("ms-pl", 88, r"this\s+license\s+governs\s+use\s+of\s+the\s+accompanying\s+software"),
+    ("cecill", 90, r"governed\s+by\s+the\s+cecill(?:-[abc])?\s+license\s+under\s+french\s+law"),
+    ("eupl", 90, r"licensed\s+under\s+the\s+eupl"),
+    ("sspl", 90, r"offering\s+the\s+program\s+as\s+a\s+service[\s\S]{1,120}?service\s+source\s+code"),
+    ("busl", 90, r"the\s+licensor\s+hereby\s+grants\s+you\s+the\s+right\s+to\s+copy,\s+modify,\s+create\s+derivative\s+works,\s+redistribute"),
+    ("elastic-2.0", 90, r"elastic\s+license\s+2\.0"),
+    ("commons-clause", 90, r"[\"“']commons\s+clause[\"”']?\s+license\s+condition"),
+    ("json", 92, r"the\s+software\s+shall\s+be\s+used\s+for\s+good,\s+not\s+evil"),
+    ("hpnd", 88, r"permission\s+to\s+use,\s+copy,\s+modify\s+and\s+distribute\s+this\s+software\s+and\s+its\s+documentation\s+for\s+any\s+purpose"),
+    ("curl", 89, r"in\s+no\s+event\s+shall\s+the\s+authors\s+or\s+copyright\s+holders\s+be\s+liable\s+for\s+any\s+claim,\s+damages\s+or\s+other\s+liability,[\s\S]{1,200}?except\s+as\s+contained\s+in\s+this\s+notice"),
+    ("odbl", 88, r"https?://(?:www\.)?opendatacommons\.org/licenses/odbl"),
+    ("proprietary", 56, r"(?:confidential\s+and\s+proprietary|proprietary\s+and\s+confidential)"),
+    ("proprietary", 54, r"no\s+part\s+of\s+this\s+(?:publication|document|work|book)\s+may\s+be\s+(?:reproduced|copied|distributed)"),
+    ("proprietary", 54, r"without\s+the\s+(?:express\s+)?(?:prior\s+)?written\s+(?:permission|consent)\s+of\s+the\s+(?:publisher|author|owner|copyright\s+holder)s?"),
+    ("non-commercial", 58, r"for\s+(?:personal,?\s+)?non-?commercial\s+use\s+only"),
+    ("warranty-disclaimer", 21, r"merchantability\s+(?:or|and)\s+fitness\s+for\s+a\s+particular\s+purpose"),
     ("public-domain", 60, r"(?:in|into|to)\s+the\s+public\s+domain"),
     ("proprietary", 50, r"all\s+rights\s+reserved"),
     ("proprietary", 55, r"unauthori[sz]ed\s+(?:copying|use|distribution|reproduction)[^.]{0,80}\s+prohibited"),
