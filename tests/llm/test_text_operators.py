@@ -173,6 +173,14 @@ def test_license_gate_passes_every_match_of_every_rule():
         ("Unauthorised use of this file is prohibited", "proprietary"),
         ("Creative Commons Attribution-ShareAlike 4.0", "cc-by-sa"),
         ("Creative Commons Attribution-NoDerivatives 4.0", "cc-by-nd"),
+        ("free software; you can redistribute it and/or\n modify it under the terms", "gnu"),
+        ("the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "lgpl"),
+        ("Redistributions of source code must\n * retain the above copyright notice".replace(" *", ""), "bsd"),
+        ("The Software shall be used for Good, not Evil.", "json"),
+        ("available under the same terms as Perl itself", "artistic"),
+        ("You may not use this file except in compliance with the License", "apache-2.0"),
+        ("has waived all copyright and related or neighboring rights", "cc0"),
+        ("either version 3 of the License, or (at your option) any later version", "gnu-3.0-or-later"),
         ("Neither the name of the copyright\nholder nor the names of its contributors may be used to endorse or promote", "bsd-3-clause"),
     ],
 )
