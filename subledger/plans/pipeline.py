@@ -164,8 +164,16 @@ class Pipeline:
         return audit
 
     def _steps(self) -> None:
+        self.refresh_inputs()
+        self.refresh_published()
+
+    def refresh_inputs(self) -> None:
+        """Bronze and silver from the raw files."""
         for layer in (self.bronze_events, self.bronze_subscriptions, self.bronze_marketing, self.silver_events, self.silver_marketing, self.silver_subscriptions):
             self._step(layer.__name__, layer)
+
+    def refresh_published(self) -> None:
+        """Facts, dimensions and views from the silver tables as they are."""
         self._step([f"gold_{n}" for n in gold.EVENT_FACTS], self.event_facts)
         facts: dict[str, Callable[[], DataFrame]] = {
             "fact_mrr_daily": lambda: gold.mrr_daily(self._subscriptions()),

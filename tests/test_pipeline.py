@@ -58,9 +58,9 @@ def test_a_failing_run_leaves_the_former_tables(spark, tmp_dir, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(Pipeline, "_dims", fail)
         with pytest.raises(RuntimeError):
-            run_all(spark, raw, f"{tmp_dir}/lake", "refreshed")
+            Pipeline(spark, raw, f"{tmp_dir}/lake", "refreshed").refresh_published()
     assert {n: (catalog.location(spark, n, "refreshed"), sorted(spark.table(f"refreshed.{n}").collect())) for n in names} == before
-    run_all(spark, raw, f"{tmp_dir}/lake", "refreshed")
+    Pipeline(spark, raw, f"{tmp_dir}/lake", "refreshed").refresh_published()
     after = {n: (catalog.location(spark, n, "refreshed"), sorted(spark.table(f"refreshed.{n}").collect())) for n in names}
     assert all(after[n][0] != before[n][0] and after[n][1] == before[n][1] for n in names)
 
