@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import math
 import re
 import time
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -522,6 +524,28 @@ def test_recall_of_planted_secrets(spark):
     assert flagged < 0.01, flagged
 
 
+def test_secret_models_learn_from_every_text(spark):
+    """The counts of all distinct texts, many thousands, with base spans and without."""
+    plain = [f"{i:05d}" + "ab" * (i % 3 + 1) for i in range(12_000)]
+    values = [f"{i:05d}zyxwvuts" for i in range(6_000)]
+    texts = plain + [f"token={v}" for v in values] + plain[:50] * 20
+    model = secrets.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    counts = [Counter(s[i : i + 2] for s in of for i in range(len(s) - 1)) for of in (plain, values)]
+    for i, a in enumerate(secrets.ALPHABET, 1):
+        after = [sum(c[a + b] for b in secrets.ALPHABET) + 0.5 * len(secrets.ALPHABET) for c in counts]
+        for j, b in enumerate(secrets.ALPHABET, 1):
+            ordinary, random = ((c[a + b] + 0.5) / n for c, n in zip(counts, after, strict=True))
+            assert model.ratios[i * secrets._CLASSES + j] == pytest.approx(math.log(random / ordinary), abs=2e-6), a + b
+
+
+def test_secret_thresholds_come_from_every_text(spark):
+    """The tokens that set them stand in texts of which a sample would hold few."""
+    texts = [f"word {i:x}" for i in range(11_000)] + ["zq" * 6 + f" {i}" for i in range(9)] + ["token=" + "zq" * 8]
+    strings = secrets._strings(spark.createDataFrame([(t,) for t in texts], "text string"), "text")
+    got = {(r.k, r.s): r.n for r in strings.where("k > 0 or s in ('word', 'zqzqzqzqzqzq')").collect()}
+    assert got == {(0, "word"): 11_000, (0, "zq" * 6): 9, (2, "zq" * 6): 9, (1, "zq" * 8): 1}
+
+
 def test_a_token_that_reaches_beyond_a_base_span_stays(spark):
     table = [0.0] * secrets._CLASSES**2
     model = secrets.Markov(tuple(1.0 for _ in table))
