@@ -14,6 +14,7 @@ rank, and the pieces' ids are joined. Decoding concatenates the tokens' bytes.
 from __future__ import annotations
 
 import base64
+import struct
 from functools import cache
 
 import numpy as np
@@ -22,10 +23,14 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct pieces whose ids a worker remembers.
+#: Distinct pieces, and distinct words, whose ids a worker remembers, and as many of
+#: those before them.
 CACHE_PIECES = 200_000
 #: Rank of a pair that has none.
 _NONE = 1 << 40
+#: Patterns under which a space between two characters that are not white begins a
+#: piece, whatever else stands around it, so that a text may be cut there.
+CUT_AT_SPACES = frozenset({r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"})
 
 
 @cache
@@ -49,17 +54,17 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     equals) until no pair has a rank."""
     if (whole := ranks.get(piece)) is not None:
         return [whole]
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    pair = [ranks.get(a + b, _NONE) for a, b in zip(parts, parts[1:], strict=False)]
+    get = ranks.get
+    starts = list(range(len(piece) + 1))
+    pair = [get(piece[i : i + 2], _NONE) for i in starts[:-2]]
     while pair and (low := min(pair)) < _NONE:
         i = pair.index(low)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del pair[i]
+        del starts[i + 1], pair[i]
         if i:
-            pair[i - 1] = ranks.get(parts[i - 1] + parts[i], _NONE)
+            pair[i - 1] = get(piece[starts[i - 1] : starts[i + 1]], _NONE)
         if i < len(pair):
-            pair[i] = ranks.get(parts[i] + parts[i + 1], _NONE)
-    return [ranks[p] for p in parts]
+            pair[i] = get(piece[starts[i] : starts[i + 2]], _NONE)
+    return [ranks[piece[i:j]] for i, j in zip(starts, starts[1:], strict=False)]
 
 
 def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -88,29 +93,75 @@ def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
 
+class Lately(dict):
+    """A map that forgets what was not asked for lately: once it holds ``CACHE_PIECES``
+    keys, it starts anew, and takes over from the former one what is missed."""
+
+    def __init__(self):
+        super().__init__()
+        self.former: dict = {}
+
+    def find(self, key):
+        """The value of a key that ``get`` does not know, if the former map has it."""
+        if (value := self.former.get(key)) is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(self) >= CACHE_PIECES:
+            self.former = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class Encoder:
-    """Encodes texts piece by piece and remembers the pieces' ids."""
+    """Encodes texts piece by piece and remembers the ids of pieces, and of words
+    between single spaces where the pattern allows to cut there."""
 
     def __init__(self, raw: bytes, pattern: str):
-        self.ranks, self.tokens = load_ranks(raw), token_bytes(raw)
-        self.split, self.known = regex.compile(pattern), {}
+        self.ranks, self.tokens = load_ranks(raw), np.array(token_bytes(raw), object)
+        self.split, self.known = regex.compile(pattern), Lately()
+        self.words, self.cuts = Lately(), pattern in CUT_AT_SPACES
 
     def _piece(self, piece: str) -> bytes:
+        if (ids := self.known.find(piece)) is not None:
+            return ids
         data = piece.encode("utf-8", "replace")
-        ids = np.array((merge if len(data) < 200 else merge_long)(data, self.ranks), "<u4").tobytes()
+        found = (merge if len(data) < 200 else merge_long)(data, self.ranks)
+        ids = struct.pack(f"<{len(found)}I", *found)
         if len(piece) < 64:
-            if len(self.known) >= CACHE_PIECES:
-                self.known.clear()
-            self.known[piece] = ids
+            self.known.keep(piece, ids)
         return ids
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
+    def _by_piece(self, text: str) -> bytes:
         known, own = self.known.get, self._piece
         return b"".join([known(p) or own(p) for p in self.split.findall(text)])
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word that neither starts nor ends white, and of the space before it."""
+        if (ids := self.words.find(word)) is None:
+            ids = self._by_piece(" " + word)
+            if len(word) < 64:
+                self.words.keep(word, ids)
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers. A text with other
+        white characters beside a space is not cut into words."""
+        first, *words = text.split(" ")
+        if not self.cuts or not words or first[-1:].isspace():
+            return self._by_piece(text)
+        ids = list(map(self.words.get, words))
+        if None in ids:
+            new = [i for i, x in enumerate(ids) if x is None]
+            if any(not w or w[0].isspace() or w[-1].isspace() for w in map(words.__getitem__, new)):
+                return self._by_piece(text)
+            for i in new:
+                ids[i] = self._word(words[i])
+        return self._by_piece(first) + b"".join(ids)
+
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return b"".join(self.tokens[np.frombuffer(ids, "<u4")])
 
 
 _encoders: dict[tuple[int, str], Encoder] = {}

@@ -524,6 +524,26 @@ def test_recall_of_planted_secrets(spark):
     assert flagged < 0.01, flagged
 
 
+def test_texts_cut_into_words_have_the_ids_of_whole_texts():
+    """White characters of every kind beside spaces; maps that forget all the time."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        raw = f.read()
+    rng, kept = np.random.default_rng(3), bpe.CACHE_PIECES
+    signs = [" ", " ", " ", "a", "Be", "é", "'s", "'", "1", "\n", "\t", "\x1c", "\x85", "\xa0", "!", "😀", "\u3000"]
+    own = bpe.Encoder(raw, public_tokenizers.PATTERN)
+    assert own.cuts
+    try:
+        bpe.CACHE_PIECES = 50
+        for _ in range(3000):
+            text = "".join(rng.choice(signs, rng.integers(0, 14)))
+            pieces = [i for p in own.split.findall(text) for i in bpe.merge_long(p.encode(), own.ranks)]
+            ids = own.encode(text)
+            assert np.frombuffer(ids, "<u4").tolist() == pieces and own.decode(ids) == text.encode(), repr(text)
+    finally:
+        bpe.CACHE_PIECES = kept
+    assert max(len(m) for x in (own.known, own.words) for m in (x, x.former)) <= 50
+
+
 def test_secret_models_learn_from_every_text(spark):
     """The counts of all distinct texts, many thousands, with base spans and without."""
     plain = [f"{i:05d}" + "ab" * (i % 3 + 1) for i in range(12_000)]
