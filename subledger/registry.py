@@ -29,7 +29,7 @@ from subledger.plans.lake import POSITION, read_in_order, table_path
 from subledger.plans.pipeline import Pipeline, run_all
 from subledger.plans.silver import flag_overlaps
 from subledger.schemas import SUBSCRIPTION_FIELDS
-from subledger.session import scratch_path
+from subledger.session import scratch_path, written
 from subledger.sources import adapters, bronze, raw_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -323,8 +323,28 @@ _PUBLISHED: dict[str, Query] = {
 }
 
 
+#: The silver tables, those aside that are a projection of the input, and the
+#: published tables that read them.
+_SILVER: dict[str, tuple[Query, set[str]]] = {
+    "marketing": (_marketing, {"fact_cac_by_channel", "fact_ltv_cac_ratio", "dim_date", "dim_channel"}),
+    "subscriptions": (_subscriptions, {"fact_mrr_daily", "dim_date", "dim_plan"}),
+}
+
+
 def _tables(spark, d, names) -> dict[str, DataFrame]:
-    return {n: _PUBLISHED[n](spark, d) for n in names}
+    """Published tables by name. A silver table that several of them read is made once,
+    written and read back."""
+    held = {k: written(q(spark, d), f"silver-{k}") for k, (q, users) in _SILVER.items() if len(users & set(names)) > 1}
+    inputs = {"marketing": lambda: held.get("marketing") or _marketing(spark, d), "subscriptions": lambda: held.get("subscriptions") or _subscriptions(spark, d)}
+    own: dict[str, Callable[[], DataFrame]] = {
+        "fact_mrr_daily": lambda: gold.mrr_daily(inputs["subscriptions"]()),
+        "fact_cac_by_channel": lambda: gold.cac_by_channel(_events(spark, d), inputs["marketing"]()),
+        "fact_ltv_cac_ratio": lambda: gold.ltv_cac_ratio(gold.ltv_per_user(_events(spark, d)), inputs["marketing"](), _events(spark, d)),
+        "dim_date": lambda: dims.dim_date(_events(spark, d), inputs["marketing"](), inputs["subscriptions"]()),
+        "dim_channel": lambda: dims.dim_channel(inputs["marketing"]()),
+        "dim_plan": lambda: dims.dim_plan(inputs["subscriptions"]()),
+    }
+    return {n: own[n]() if n in own else _PUBLISHED[n](spark, d) for n in names}
 
 
 def q_fact_row_counts(spark, d):

@@ -1,9 +1,13 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
 
-
+from subledger import registry
 from subledger.plans import dims, gold, silver
 
+from conftest import SF_SMALL
+
 D = dt.date
 
 
@@ -149,3 +153,22 @@ def test_dim_date_columns(spark):
         (D(2024, 1, 7), 6, D(2024, 1, 1)),
         (D(2024, 1, 8), 0, D(2024, 1, 8)),
     ]
+
+
+@pytest.mark.parametrize("names", [("fact_mrr_daily", "dim_date"), ("dim_date", "dim_channel", "dim_plan", "dim_user")])
+def test_tables_of_one_query_share_the_silver_tables(spark, monkeypatch, names):
+    made = []
+    for name in ("clean_subscriptions", "clean_marketing"):
+        clean = getattr(silver, name)
+        monkeypatch.setattr(silver, name, lambda df, clean=clean, name=name: made.append(name) or clean(df))
+    tables = registry._tables(spark, SF_SMALL, names)
+    assert list(tables) == list(names) and sorted(made) == ["clean_marketing", "clean_subscriptions"]
+
+
+def test_dim_date_reads_the_subscriptions_once(spark, tmp_dir):
+    rows = [("2024-01-01", "2024-01-03"), ("2024-01-03", None), (None, "2024-02-01"), (None, None), ("2024-01-01", "2024-01-03")]
+    spark.createDataFrame(rows, "s string, e string").select(F.col("s").cast("date").alias("start_date"), F.col("e").cast("date").alias("end_date")).write.parquet(f"{tmp_dir}/subs")
+    events = spark.createDataFrame([], "event_ts_utc timestamp_ntz")
+    found = dims.dim_date(events, spark.createDataFrame([], "date date"), spark.read.parquet(f"{tmp_dir}/subs"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    assert sorted(str(r.date) for r in found.collect()) == ["2024-01-01", "2024-01-03", "2024-02-01"]
